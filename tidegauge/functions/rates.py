@@ -27,7 +27,7 @@ def mean_of(total: Column, n: Column) -> Column:
     The sum is cut to six decimals first: a distributed double sum depends on the
     order of its terms, and two-decimal prices often average to an exact half cent.
     """
-    return F.when(n > 0, F.round(F.round(total, 6) / n, 2))
+    return F.when(n > 0, F.round(F.rint(total * 1e6) / 1e6 / n, 2))
 
 
 def mean_or_zero(total: Column, n: Column) -> Column:

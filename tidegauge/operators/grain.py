@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 _UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
 
@@ -26,6 +26,24 @@ def span(length: int) -> Column:
     return F.expr(f"INTERVAL '{length}' SECOND")
 
 
+# Aligned times as whole numbers of steps since the epoch: date arithmetic is slow and
+# has no place in rows that a window spread multiplies. Zone-less times are counted
+# without passing through the session zone.
+_EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+
+
+def slot_of(name: str, kind: T.DataType, step: int) -> Column:
+    if isinstance(kind, T.TimestampNTZType):
+        return F.expr(f"({name} - {_EPOCH}) div INTERVAL '{step}' SECOND")
+    return F.expr(f"unix_seconds({name}) div {step}")
+
+
+def time_of(name: str, kind: T.DataType, step: int) -> Column:
+    if isinstance(kind, T.TimestampNTZType):
+        return F.expr(f"{_EPOCH} + {name} * INTERVAL '{step}' SECOND")
+    return F.expr(f"timestamp_seconds({name} * {step})")
+
+
 @dataclass(frozen=True)
 class Grain:
     """Epoch-aligned windows ``[start, start + window)`` every ``slide``; no slide: tumbling."""

@@ -25,10 +25,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidegauge.functions.rates import conversion_rate, mean_of, mean_or_zero
-from tidegauge.operators.grain import REALTIME, Grain, span
+from tidegauge.operators.grain import REALTIME, Grain, slot_of, span, time_of
 from tidegauge.schema import SERVED_SCHEMAS
 
 EVENT_TIME = "event_timestamp"
@@ -159,7 +159,8 @@ def window_totals(events: DataFrame, table: WindowTable, grain: Grain = REALTIME
     events = events.filter(F.col(EVENT_TIME).isNotNull())
     if grain.panes is None or grain.panes == 1:
         return _grouped_directly(events, table, grain)
-    return _spread(_pane_rows(events, table, grain), table, grain)
+    return _spread(_pane_rows(events, table, grain), table, grain,
+                   events.schema[EVENT_TIME].dataType)
 
 
 def _grouped_directly(events: DataFrame, table: WindowTable, grain: Grain) -> DataFrame:
@@ -176,51 +177,50 @@ def _grouped_directly(events: DataFrame, table: WindowTable, grain: Grain) -> Da
 
 
 def _pane_rows(events: DataFrame, table: WindowTable, grain: Grain) -> DataFrame:
-    """Combined measures per key and pane; with a distinct count also per reach."""
+    """Combined measures per key and slot (pane number); with a distinct count also per
+    reach, the number of windows a user newly enters there."""
     events = events.withColumn("pane", grain.pane(F.col(EVENT_TIME)))
+    slot = slot_of("pane", events.schema["pane"].dataType, grain.slide_seconds).alias("slot")
     updates = [m.of_events() for m in table.measures]
+    names = [m.name for m in table.measures]
     if not table.distinct:
-        return events.groupBy(*table.keys, "pane").agg(*updates)
+        return (events.groupBy(*table.keys, "pane").agg(*updates)
+                      .select(*table.keys, slot, *names))
 
     user, _ = table.distinct
-    per_user = events.groupBy(*table.keys, user, "pane").agg(*updates)
-    visits = Window.partitionBy(*table.keys, user).orderBy("pane")
-    previous = F.lag("pane").over(visits)
-    gap = F.timestamp_diff("SECOND", previous, F.col("pane")) / grain.slide_seconds
+    per_user = (events.groupBy(*table.keys, user, "pane").agg(*updates)
+                      .select(*table.keys, user, slot, *names))
+    previous = F.lag("slot").over(Window.partitionBy(*table.keys, user).orderBy("slot"))
     reach = (F.when(F.col(user).isNull(), 0)
-              .when(previous.isNull(), grain.panes)
-              .otherwise(F.least(gap.cast("int"), F.lit(grain.panes))))
+              .otherwise(F.least(F.coalesce(F.col("slot") - previous, F.lit(grain.panes)),
+                                 F.lit(grain.panes))))
     return (per_user.withColumn("reach", reach)
-                    .groupBy(*table.keys, "pane", "reach")
+                    .groupBy(*table.keys, "slot", "reach")
                     .agg(*[m.of_partials() for m in table.measures],
                          F.count(user).alias("users")))
 
 
-def _spread(pane_rows: DataFrame, table: WindowTable, grain: Grain) -> DataFrame:
-    """Sum pane rows over the windows that hold them."""
-    slide, panes = grain.slide_seconds, grain.panes
-    block = panes * _BLOCK_FACTOR * slide
-
-    def block_of(ts: str) -> Column:
-        return F.window(F.col(ts), f"{block} seconds")["start"]
-
-    rows = pane_rows.withColumn("first_start", F.col("pane") - span((panes - 1) * slide))
-    # One window() call is allowed per projection.
-    rows = rows.withColumn("first_block", block_of("first_start"))
-    rows = rows.withColumn("last_block", block_of("pane"))
-    rows = rows.withColumn("block", F.explode(F.array_distinct(F.array("first_block", "last_block"))))
-    rows = rows.drop("first_block", "last_block").repartition(*table.keys, "block")
-
-    starts = F.sequence(F.greatest("first_start", "block"),
-                        F.least(F.col("pane"), F.col("block") + span(block - slide)),
-                        span(slide))
-    rows = rows.withColumn("window_start", F.explode(starts))
+def _spread(pane_rows: DataFrame, table: WindowTable, grain: Grain,
+            kind: T.DataType) -> DataFrame:
+    """Sum pane rows over the windows that hold them; a window goes by its first slot."""
+    panes, block = grain.panes, grain.panes * _BLOCK_FACTOR
+    slot, first = F.col("slot"), F.col("slot") - (panes - 1)
+    rows = pane_rows.withColumn("block", F.explode(F.array_distinct(F.array(
+        first - F.pmod(first, F.lit(block)), slot - F.pmod(slot, F.lit(block))))))
+    # A set number of partitions: what follows multiplies the rows by ``panes``, so
+    # adaptive coalescing by shuffled bytes would leave too few tasks for it.
+    tasks = int(pane_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(tasks, *table.keys, "block")
+
+    rows = rows.withColumn("opening", F.explode(F.sequence(
+        F.greatest(first, F.col("block")), F.least(slot, F.col("block") + (block - 1)))))
     merges = [m.of_partials() for m in table.measures]
     if table.distinct:
-        behind = F.timestamp_diff("SECOND", F.col("window_start"), F.col("pane")) / slide
-        merges.append(F.sum(F.when(behind < F.col("reach"), F.col("users")).otherwise(0))
+        enters = slot - F.col("opening") < F.col("reach")
+        merges.append(F.sum(F.when(enters, F.col("users")).otherwise(0))
                        .alias(table.distinct[1]))
-    return (rows.groupBy(*table.keys, "block", "window_start").agg(*merges)
+    return (rows.groupBy(*table.keys, "block", "opening").agg(*merges)
+                .withColumn("window_start", time_of("opening", kind, grain.slide_seconds))
                 .withColumn("window_end", F.col("window_start") + span(grain.window_seconds))
                 .select("window_start", "window_end", *table.keys, *table.measure_names))
 

@@ -89,12 +89,13 @@ def read_parts(spark: SparkSession, root: str, table: WindowTable) -> DataFrame:
 def newest_parts(parts: DataFrame, table: WindowTable) -> DataFrame:
     """The last write of each window, key and part.
 
-    A key has one row per micro-batch that touched it, and Spark keeps only the
-    first of them per task before the shuffle.
+    Rows are shuffled by window and key, which also serves the merge of the parts
+    later on. A window and key has one row per split and micro-batch that touched it.
     """
     writes = (Window.partitionBy("window_start", *table.keys, "part")
                     .orderBy(F.desc("run"), F.desc("batch")))
-    return (parts.withColumn("nth", F.row_number().over(writes))
+    return (parts.repartition("window_start", *table.keys)
+                 .withColumn("nth", F.row_number().over(writes))
                  .filter(F.col("nth") == 1).drop("nth"))
 
 
