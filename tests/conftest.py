@@ -4,7 +4,10 @@ import tempfile
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+TESTS = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, os.path.dirname(TESTS))
+# Python workers import the package and test helpers too.
+os.environ["PYTHONPATH"] = os.pathsep.join([os.path.dirname(TESTS), TESTS, os.environ.get("PYTHONPATH", "")])
 
 from tidegauge.session import build_session  # noqa: E402
 

@@ -1,0 +1,273 @@
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF
+from helpers import at, event, events, same_rows, tuples
+from tidegauge.operators import windowed as w
+from tidegauge.operators.grain import Grain
+from tidegauge.plans.adapter import event_stream, shop_events
+from tidegauge.settings import Settings
+from tidegauge.sources.decode import decode_messages
+from tidegauge.sources.messages import text_stream
+from tidegauge.streaming import jobs, serving
+from tidegauge.streaming.keyvalue import write_key_values
+from tidegauge.streaming.publish import to_messages
+
+
+def deliver(spark, folder, rows):
+    """Append events as one file of JSON lines."""
+    (to_messages(events(spark, rows)).select("value").coalesce(1)
+     .write.mode("append").text(folder))
+
+
+def run(spark, folder, root, table=w.USER_BEHAVIOR, settings=Settings(splits=3), **options):
+    stream = decode_messages(text_stream(spark, folder, **options))
+    parts = jobs.table_parts(stream, table, settings)
+    query = jobs.start_serving(parts, table, root, settings, available_now=True)
+    jobs.finish([query])
+    return query
+
+
+def served(spark, root, table=w.USER_BEHAVIOR):
+    return serving.read_latest(spark, f"{root}/serving", table, ttl=None).select(*table.columns)
+
+
+def test_all_tables_from_one_stream_equal_batch(spark, shared):
+    settings = Settings(root=shared)
+    queries = jobs.start_all(event_stream(spark, SF), settings, available_now=True)
+    assert [q.name for q in queries] == [f"serve_{t}" for t in w.TABLES]
+    jobs.finish(queries)
+    batch = shop_events(spark, SF).withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
+    for table in w.TABLES.values():
+        same_rows(served(spark, shared, table), w.window_table(batch, table))
+
+
+def test_late_event_reaches_only_open_windows(spark, shared):
+    inbox = f"{shared}/in"
+    deliver(spark, inbox, [event(31, user="a")])
+    run(spark, inbox, shared)
+    deliver(spark, inbox, [event(20, user="b")])
+    run(spark, inbox, shared)
+    got = tuples(served(spark, shared).filter(F.col("window_start") < F.lit(at(21))), "window_start")
+    assert got == [(at(m),) for m in (17, 18, 19, 20)]
+
+
+def test_restart_loses_and_repeats_nothing(spark, shared):
+    inbox = f"{shared}/in"
+    first = [event(0, user="a"), event(1, "purchase", user="b", revenue=2.5)]
+    second = [event(2, user="a"), event(3, user="c", source="email")]
+    deliver(spark, inbox, first)
+    run(spark, inbox, shared)
+    run(spark, inbox, shared)  # nothing new
+    deliver(spark, inbox, second)
+    run(spark, inbox, shared)
+    same_rows(served(spark, shared), w.user_behavior(events(spark, first + second)))
+
+
+def test_file_by_file_refines_windows(spark, shared):
+    inbox = f"{shared}/in"
+    rows = [[event(m, user=f"u{m}") for m in range(d * 3, d * 3 + 3)] for d in range(3)]
+    for delivery in rows:
+        deliver(spark, inbox, delivery)
+    run(spark, inbox, shared, maxFilesPerTrigger="1")
+    batches = serving.read_parts(spark, f"{shared}/serving", w.USER_BEHAVIOR).select("batch").distinct()
+    assert batches.count() == 3
+    same_rows(served(spark, shared), w.user_behavior(events(spark, sum(rows, []))))
+
+
+def test_unsplit_stream_has_whole_rows(spark, shared):
+    inbox = f"{shared}/in"
+    rows = [event(0, user="a"), event(0, user="a"), event(0, user=None), event(0, user="b")]
+    deliver(spark, inbox, rows)
+    table = w.TRENDING_PRODUCTS
+    whole = table.finish(w.stream_parts(decode_messages(text_stream(spark, inbox)), table, splits=1))
+    query = (whole.writeStream.format("memory").queryName("whole").outputMode("update")
+             .option("checkpointLocation", f"{shared}/cp").trigger(availableNow=True).start())
+    query.awaitTermination()
+    same_rows(spark.table("whole"), w.trending_products(events(spark, rows)))
+
+
+def test_console_and_replies(spark, shared):
+    deliver(spark, f"{shared}/in", [event(0)])
+    parts = jobs.table_parts(decode_messages(text_stream(spark, f"{shared}/in")), w.CATEGORY_ANALYTICS,
+                             Settings())
+    query = jobs.start_console(parts, "debug", f"{shared}/cp", available_now=True)
+    assert query.name == "debug"
+    jobs.finish([query])
+    assert query.lastProgress["numInputRows"] >= 0
+
+
+def test_wait_stops_the_other_queries(spark, shared):
+    deliver(spark, f"{shared}/in", [event(0)])
+    settings = Settings(root=shared, trigger="1 second")
+    stream = decode_messages(text_stream(spark, f"{shared}/in"))
+    queries = jobs.start_all(stream, settings, tables=["category_analytics"], console=True)
+    assert len(queries) == 2 and all(q.isActive for q in queries)
+    spark.streams.resetTerminated()
+    queries[0].stop()
+    jobs.wait(spark, queries)
+    assert not any(q.isActive for q in queries)
+    spark.streams.resetTerminated()
+
+
+def test_sink_errors_fail_the_query_and_a_retry_recovers(spark, shared):
+    inbox, root = f"{shared}/in", shared
+    deliver(spark, inbox, [event(0, user="a")])
+    stream = decode_messages(text_stream(spark, inbox))
+    parts = jobs.table_parts(stream, w.USER_BEHAVIOR, Settings(splits=2))
+
+    def broken(rows, batch):
+        raise RuntimeError("store is away")
+
+    query = jobs.start_serving(parts, w.USER_BEHAVIOR, root, available_now=True, on_batch=broken)
+    with pytest.raises(Exception, match="store is away"):
+        jobs.finish([query])
+    spark.streams.resetTerminated()
+    run(spark, inbox, root, settings=Settings(splits=2))
+    same_rows(served(spark, root), w.user_behavior(events(spark, [event(0, user="a")])))
+
+
+class FileClient:
+    """A key-value client whose pipelines append to a folder all tasks see."""
+
+    def __init__(self, folder):
+        self.folder, self.calls = folder, []
+
+    def pipeline(self):
+        return FileClient(self.folder)
+
+    def set(self, key, value):
+        self.calls.append(["set", key, value])
+
+    def expire(self, key, ttl):
+        self.calls.append(["expire", key, ttl])
+
+    def execute(self):
+        with open(os.path.join(self.folder, "calls"), "a") as out:
+            out.write("".join(json.dumps(c) + "\n" for c in self.calls))
+
+
+def test_changed_rows_go_to_an_external_store(spark, shared):
+    inbox, calls = f"{shared}/in", f"{shared}/calls"
+    os.makedirs(calls)
+    sent = []
+
+    def forward(key_values, batch):
+        sent.append({r["serving_key"] for r in key_values.collect()})
+        write_key_values(key_values.coalesce(1), lambda: FileClient(calls), ttl_seconds=60, chunk=2)
+
+    for rows in ([event(0, user="a"), event(0, user="b")], [event(9, user="c")]):
+        deliver(spark, inbox, rows)
+        parts = jobs.table_parts(decode_messages(text_stream(spark, inbox)), w.USER_BEHAVIOR, Settings(splits=5))
+        jobs.finish([jobs.start_serving(parts, w.USER_BEHAVIOR, shared, available_now=True, on_batch=forward)])
+
+    assert len(sent[0]) == 10 and len(sent[1]) == 10
+    lines = [json.loads(line) for line in open(f"{calls}/calls")]
+    store = {c[1]: json.loads(c[2]) for c in lines if c[0] == "set"}
+    assert {c[2] for c in lines if c[0] == "expire"} == {60}
+    assert len(store) == 19
+    # the window both deliveries share holds all three users, though only one part changed
+    shared_window = store["user_behavior:2024-01-01T00_00_00_000Z_mobile_organic"]
+    assert shared_window["unique_users_affected"] == 3 and shared_window["total_events"] == 3
+
+
+# --- serving table ---
+
+def totals(spark, rows, table=w.USER_BEHAVIOR):
+    return w.window_totals(events(spark, rows), table, Grain("10 minutes", None))
+
+
+def test_replaying_a_batch_changes_nothing(spark, shared):
+    rows = totals(spark, [event(0)])
+    for _ in range(2):
+        assert serving.write_batch(rows, 0, shared, w.USER_BEHAVIOR, "r1")
+    assert serving.read_parts(spark, shared, w.USER_BEHAVIOR).count() == 1
+
+
+def test_later_runs_win_whatever_their_batch_number(spark, shared):
+    old, new = totals(spark, [event(0)] * 3), totals(spark, [event(0)] * 5)
+    serving.write_batch(old, 7, shared, w.USER_BEHAVIOR, "r1")
+    serving.write_batch(new, 0, shared, w.USER_BEHAVIOR, "r2")
+    got = serving.read_latest(spark, shared, w.USER_BEHAVIOR)
+    assert tuples(got, "total_events", "run", "batch") == [(5, "r2", 0)]
+
+
+def test_empty_batches_write_nothing(spark, shared):
+    assert not serving.write_batch(totals(spark, [event(None)]), 0, shared, w.USER_BEHAVIOR, "r1")
+    assert os.listdir(shared) == []
+    empty = serving.read_latest(spark, shared, w.USER_BEHAVIOR)
+    assert empty.isEmpty() and empty.columns[:-3] == w.USER_BEHAVIOR.columns
+    assert serving.decode_values(serving.read_values(spark, f"{shared}/no", w.USER_BEHAVIOR),
+                                 w.USER_BEHAVIOR).columns == w.USER_BEHAVIOR.columns
+
+
+def test_names_of_one_product_do_not_overwrite_each_other(spark, shared):
+    rows = totals(spark, [event(0, name="A"), event(0, name="B")], w.TRENDING_PRODUCTS)
+    serving.write_batch(rows, 0, shared, w.TRENDING_PRODUCTS, "r1")
+    got = serving.read_latest(spark, shared, w.TRENDING_PRODUCTS)
+    assert tuples(got, "product_name") == [("A",), ("B",)]
+
+
+def test_expiry_follows_the_last_written_part(spark):
+    def part(n, minute, key="email"):
+        return (at(0), at(10), "mobile", key, n, 1, 1, 0, 0.0, 1, at(minute), "r1", minute)
+
+    columns = serving.stored_schema(w.USER_BEHAVIOR)
+    parts = spark.createDataFrame([part(0, 0), part(1, 50), part(0, 10, "social")], columns)
+    now = F.lit(at(75))
+    got = serving.latest_rows(parts, w.USER_BEHAVIOR, now=now, ttl="1 hour")
+    assert tuples(got, "source", "total_events", "unique_users_affected") == [("email", 2, 2)]
+    edge = serving.latest_rows(parts, w.USER_BEHAVIOR, now=F.lit(at(70)), ttl="1 hour")
+    assert tuples(edge, "source") == [("email",)]
+
+
+def test_compaction(spark, shared):
+    a, b = f"{shared}/a", f"{shared}/b"
+    serving.write_batch(totals(spark, [event(0), event(20)]), 0, a, w.USER_BEHAVIOR, "r1", F.lit(at(0)))
+    serving.write_batch(totals(spark, [event(0), event(0)]), 1, a, w.USER_BEHAVIOR, "r1", F.lit(at(90)))
+    serving.compact(spark, a, b, w.USER_BEHAVIOR, now=F.lit(at(100)))
+    assert serving.read_parts(spark, b, w.USER_BEHAVIOR).count() == 1
+    now = F.lit(at(100))
+    same_rows(serving.read_latest(spark, a, w.USER_BEHAVIOR, now), serving.read_latest(spark, b, w.USER_BEHAVIOR, now))
+    serving.write_batch(totals(spark, [event(0)] * 4), 2, b, w.USER_BEHAVIOR, "r1", F.lit(at(95)))
+    assert tuples(serving.read_latest(spark, b, w.USER_BEHAVIOR, now), "total_events") == [(4,)]
+
+
+def test_key_text(spark):
+    rows = w.window_table(events(spark, [event(0, product=None, name=None, category=None, device=None, source=None)]),
+                          w.TRENDING_PRODUCTS, Grain("10 minutes", None))
+    stamp = "2024-01-01T00_00_00_000Z"
+    assert tuples(serving.as_key_values(rows, w.TRENDING_PRODUCTS), "serving_key") == [
+        (f"trending_products:{stamp}_unknown_product",)]
+    value = json.loads(serving.as_key_values(rows, w.TRENDING_PRODUCTS).collect()[0]["value"])
+    assert value["window_start"] == "2024-01-01T00:00:00.000Z" and "product_id" not in value
+    blank = events(spark, [event(0, category=None, device=None, source=None)])
+    for table, tail in ((w.CATEGORY_ANALYTICS, "unknown_category"), (w.USER_BEHAVIOR, "unknown_ua_unknown_source")):
+        keyed = serving.as_key_values(w.window_table(blank, table, Grain("10 minutes", None)), table)
+        assert tuples(keyed, "serving_key") == [(f"{table.name}:{stamp}_{tail}",)]
+
+
+def test_values_survive_the_round_trip_and_bad_ones_are_dropped(spark, shared):
+    rows = w.trending_products(events(spark, [event(0), event(3, "purchase", revenue=2.0)]))
+    serving.export_values(rows, shared, w.TRENDING_PRODUCTS)
+    serving.export_values(w.user_behavior(events(spark, [event(0)])), shared, w.USER_BEHAVIOR)
+    stored = serving.read_values(spark, shared, w.TRENDING_PRODUCTS)
+    same_rows(serving.decode_values(stored, w.TRENDING_PRODUCTS), rows)
+    assert "PartitionFilters: [isnotnull(prefix" in stored._jdf.queryExecution().toString()
+    bad = spark.createDataFrame([("k", v) for v in ("", None, "{", '{"window_start":"x"}', '{"category":"c"}',
+                                                    '{"window_start":"2024-01-01T00:00:00.000Z","window_end":"x"}')],
+                                "serving_key string, value string")
+    assert tuples(serving.decode_values(bad, w.TRENDING_PRODUCTS), "window_start", "window_end") == [(at(0), None)]
+
+
+def test_unknown_tables_are_refused(spark, shared):
+    with pytest.raises(ValueError):
+        jobs.start_all(spark.readStream.format("rate").load(), Settings(root=shared), tables=["clicks"])
+    stranger = w.WindowTable("clicks", ("a",), (), dict)
+    with pytest.raises(ValueError):
+        serving.write_batch(spark.range(1), 0, shared, stranger, "r1")
+    with pytest.raises(ValueError):
+        serving.serving_key(stranger)
