@@ -104,7 +104,7 @@ def test_shared_root(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-@hypothesis_settings(max_examples=8, deadline=None)
+@hypothesis_settings(max_examples=4, deadline=None)
 @given(st.lists(st.text(max_size=12), min_size=1, max_size=6))
 def test_decoding_never_fails(spark, texts):
     raw = messages(spark, texts)

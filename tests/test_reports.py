@@ -140,7 +140,7 @@ def test_funnel_and_channels(spark):
 def test_trend_names_and_rank(spark):
     rows = events(spark, [event(0, "purchase", revenue=2.0, name="Zed"), event(0, "click", name="Ada"),
                           event(5, "purchase", revenue=1.0, name="Ada", category="other")])
-    trend = reports.revenue_per_window(trending_products(rows)).collect()
+    trend = reports.revenue_trend(trending_products(rows)).collect()
     assert [r["window_start"] for r in trend] == [at(m) for m in range(-9, 6)]
     assert [r["revenue"] for r in trend][:6] == [2.0] * 5 + [3.0]
     assert [r[0] for r in reports.product_names(trending_products(rows)).collect()] == ["Ada", "Zed"]

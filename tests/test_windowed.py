@@ -46,7 +46,7 @@ def test_pane_path_equals_expansion(spark, table, grain):
     same_rows(w.window_table(rows, table, grain), by_expansion(rows, table, grain))
 
 
-@hypothesis_settings(max_examples=12, deadline=None)
+@hypothesis_settings(max_examples=6, deadline=None)
 @given(st.lists(st.tuples(st.floats(-30, 45), st.sampled_from(["click", "purchase", "view"]),
                           st.sampled_from(["u1", "u2", "u3", None]),
                           st.sampled_from(["p1", "p2", None]), st.integers(0, 500)),

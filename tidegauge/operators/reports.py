@@ -117,10 +117,14 @@ def top_k(rows: DataFrame, metric: str, k: int = 10,
 
 
 def revenue_per_window(products: DataFrame) -> DataFrame:
-    """Revenue of all products per window, in time order."""
+    """Revenue of all products per window."""
     return (products.filter(F.col("window_start").isNotNull())
-                    .groupBy("window_start").agg(F.sum("revenue").alias("revenue"))
-                    .orderBy("window_start"))
+                    .groupBy("window_start").agg(F.sum("revenue").alias("revenue")))
+
+
+def revenue_trend(products: DataFrame) -> DataFrame:
+    """As :func:`revenue_per_window`, in time order."""
+    return revenue_per_window(products).orderBy("window_start")
 
 
 def product_names(products: DataFrame) -> DataFrame:

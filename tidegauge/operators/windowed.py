@@ -23,7 +23,7 @@ hence sizes add up exactly, and no state row or task holds a whole hot key.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -64,7 +64,12 @@ class WindowTable:
 
     @property
     def columns(self) -> list[str]:
-        return SERVED_SCHEMAS[self.name].fieldNames()
+        names = SERVED_SCHEMAS[self.name].fieldNames()
+        return names if self.distinct else [n for n in names if not n.startswith("unique_users")]
+
+    def without_users(self) -> WindowTable:
+        """The table less its distinct count, whose two shuffles are saved."""
+        return replace(self, distinct=None)
 
     @property
     def measure_names(self) -> list[str]:

@@ -98,9 +98,10 @@ def _money(x: str) -> str:
 
 def _title(x: str) -> str:
     """Upper-case each word; words end at underscores and blanks."""
+    x = f"lower({x})"
     for separator in " _":
         x = (f"array_to_string(list_transform(string_split({x}, '{separator}'), "
-             f"lambda part: upper(part[1:1]) || lower(part[2:])), '{separator}')")
+             f"lambda part: upper(part[1:1]) || part[2:]), '{separator}')")
     return x
 
 

@@ -15,6 +15,7 @@ from tidegauge.operators.latest import at_latest_window, latest_window_table
 from tidegauge.operators.windowed import (
     CATEGORY_ANALYTICS, TRENDING_PRODUCTS, USER_BEHAVIOR, WindowTable, window_table, window_totals)
 from tidegauge.plans.adapter import SOURCES, event_stream, raw_events, shop_events
+from tidegauge.session import tune
 from tidegauge.settings import Settings, shared_root
 from tidegauge.sources.decode import decode_messages, rejected_messages
 from tidegauge.streaming import jobs, serving
@@ -51,8 +52,7 @@ def result(rows: DataFrame) -> DataFrame:
 def query(build: Query) -> Query:
     """Register under the function's name."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return result(build(spark, sf_dir))
+        return result(build(tune(spark), sf_dir))
 
     run.__name__ = build.__name__
     QUERIES[build.__name__] = run
@@ -333,8 +333,8 @@ def product_names(spark, sf_dir):
 @query
 def product_compare(spark, sf_dir):
     events = shop_events(spark, sf_dir)
-    return reports.compare_products(window_table(events, TRENDING_PRODUCTS, WEEKLY),
-                                    *reports.first_two_names(events))
+    products = window_table(events, TRENDING_PRODUCTS.without_users(), WEEKLY)
+    return reports.compare_products(products, *reports.first_two_names(events))
 
 
 @query
@@ -363,7 +363,7 @@ def _hourly_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def revenue_trend(spark, sf_dir):
-    return _hourly_revenue(spark, sf_dir)
+    return reports.revenue_trend(window_table(shop_events(spark, sf_dir), TRENDING_PRODUCTS, HOURLY))
 
 
 @query

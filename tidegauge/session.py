@@ -13,9 +13,21 @@ SESSION_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # User sets of a micro-batch are small and many: hash them up to this many groups
+    # per task before sorting instead (default 128).
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
 }
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Give an existing session what it does not set itself; times are always UTC."""
+    own = spark.conf.getAll
+    for key, value in SESSION_CONF.items():
+        if key not in own or key == "spark.sql.session.timeZone":
+            spark.conf.set(key, value)
+    return spark
+
+
 def build_session(app_name: str = "tidegauge", master: str | None = None,
                   **extra: str) -> SparkSession:
     """A session with ``SESSION_CONF``; ``extra`` overrides it, ``_`` standing for ``.``."""
