@@ -93,6 +93,7 @@ def test_connector_options():
     assert kafka_source_options(settings) == {
         "kafka.bootstrap.servers": "a:1,b:2", "subscribe": "t", "startingOffsets": "latest",
         "failOnDataLoss": "false"}
+    assert kafka_source_options(Settings(min_partitions=64))["minPartitions"] == "64"
     sink = kafka_sink_options(settings)
     assert sink["topic"] == "t" and sink["kafka.acks"] == "all"
     assert sink["kafka.compression.type"] == "snappy"

@@ -120,7 +120,23 @@ def test_fit_equals_the_recurrences(spark):
 def test_grid_choice_has_the_least_error(spark):
     row = fit(points(spark, Y), period=3).collect()[0]
     best = min(GRID, key=lambda g: (holt_winters(Y, 3, *g)[3], g))
-    assert tuple(row["weights"]) == best
+    assert tuple(row["state"][w] for w in ("alpha", "beta", "gamma")) == best
+
+
+def test_series_of_different_length_in_one_batch(spark):
+    series = {f"s{n}": [float((7 * i * n) % 13 + i) for i in range(n)] for n in (6, 31, 7, 18, 25)}
+    frame = None
+    for name, values in series.items():
+        rows = points(spark, values, name=name)
+        frame = rows if frame is None else frame.union(rows)
+    got = {r["name"]: r["state"] for r in fit(frame.coalesce(1), ["name"], period=3).collect()}
+    for name, values in series.items():
+        best = min(GRID, key=lambda g: (holt_winters(values, 3, *g)[3], g))
+        level, trend, season, sse = holt_winters(values, 3, *best)
+        assert got[name]["level"] == pytest.approx(level, abs=1e-9)
+        assert got[name]["trend"] == pytest.approx(trend, abs=1e-9)
+        assert got[name]["season"] == pytest.approx(season, abs=1e-9)
+        assert got[name]["sse"] == pytest.approx(sse, rel=1e-9)
 
 
 def test_forecast(spark):

@@ -6,9 +6,12 @@
     h steps ahead: l + h b + s[(h - 1) mod m]
 
 The state starts from the first two seasons. Smoothing weights are those of a
-fixed grid with the least one-step squared error, per series. Each series is one
-array (a time step per element) folded once per grid point; series times grid
-points are spread over tasks by a shuffle.
+fixed grid with the least one-step squared error, per series.
+
+A recurrence over an ordered series is no aggregate Spark can split, and a fold with
+``aggregate()`` is interpreted step by step. So Spark gathers each series as one
+array (a time step per element) and spreads the series over tasks, and a pandas UDF
+walks through time once for all series of an Arrow batch and all grid points.
 """
 
 from __future__ import annotations
@@ -16,7 +19,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import product
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F
 
 from tidegauge.functions.text import grouped
 from tidegauge.operators.grain import seconds
@@ -30,42 +35,55 @@ WEIGHTS = (0.1, 0.3, 0.6)
 GRID = tuple(product(WEIGHTS, WEIGHTS, WEIGHTS))
 
 
-def _grid_column(grid: Sequence[tuple[float, float, float]]) -> Column:
-    return F.array(*[F.struct(F.lit(a).alias("alpha"), F.lit(b).alias("beta"),
-                              F.lit(g).alias("gamma")) for a, b, g in grid])
-
-
-def _mean(values: Column, n: int) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda total, v: total + v) / n
-
+STATE = ("struct<alpha: double, beta: double, gamma: double, level: double, trend: double, "
+         "season: array<double>, sse: double>")
 
-def _start(y: Column, period: int) -> Column:
-    first = _mean(F.slice(y, 1, period), period)
-    second = _mean(F.slice(y, period + 1, period), period)
-    return F.struct(
-        first.alias("level"),
-        ((second - first) / period).alias("trend"),
-        F.transform(F.slice(y, 1, period), lambda v: v - first).alias("season"),
-        F.lit(0.0).alias("sse"))
 
+def _fitter(period: int, grid: Sequence[tuple[float, float, float]]):
+    """UDF from arrays of at least two seasons to the best weights and final state.
 
-def _step(period: int, weights: Column):
-    """One observation: the oldest season term leaves the front, the new one joins the end."""
-    alpha, beta, gamma = weights["alpha"], weights["beta"], weights["gamma"]
-
-    def step(state: Column, y: Column) -> Column:
-        level, trend, season = state["level"], state["trend"], state["season"]
-        due = season[0]
-        error = y - (level + trend + due)
-        new_level = alpha * (y - due) + (1 - alpha) * (level + trend)
-        new_trend = beta * (new_level - level) + (1 - beta) * trend
-        new_due = gamma * (y - level - trend) + (1 - gamma) * due
-        return F.struct(
-            new_level.alias("level"), new_trend.alias("trend"),
-            F.concat(F.slice(season, 2, period - 1), F.array(new_due)).alias("season"),
-            (state["sse"] + error * error).alias("sse"))
-
-    return step
+    All it needs is in its closure, so workers need numpy and pandas only.
+    """
+    grid = [tuple(map(float, weights)) for weights in grid]
+
+    def fit_batch(series: pd.Series) -> pd.DataFrame:
+        alpha, beta, gamma = np.array(grid).T
+        lengths = series.map(len).to_numpy()
+        order = np.argsort(-lengths, kind="stable")  # longest first: the active ones lead
+        values = np.zeros((lengths.max(initial=0), len(series)))
+        for column, row in enumerate(order):
+            values[:lengths[row], column] = series.iloc[row]
+        active = [int(n) for n in (lengths[None, :] > np.arange(len(values))[:, None]).sum(axis=1)]
+
+        first = values[:period].sum(axis=0) / period
+        second = values[period:2 * period].sum(axis=0) / period
+        shape = (len(series), len(grid))
+        level = np.broadcast_to(first[:, None], shape).copy()
+        trend = np.broadcast_to(((second - first) / period)[:, None], shape).copy()
+        season = [np.broadcast_to((values[i] - first)[:, None], shape).copy()
+                  for i in range(min(period, len(values)))]
+        error = np.zeros(shape)
+        for t, k in enumerate(active):
+            y, due = values[t, :k, None], season[t % period][:k]
+            before, slope = level[:k], trend[:k]
+            ahead = before + slope
+            miss = y - (ahead + due)
+            error[:k] += miss * miss
+            now = alpha * (y - due) + (1 - alpha) * ahead
+            season[t % period][:k] = gamma * (y - before - slope) + (1 - gamma) * due
+            trend[:k] = beta * (now - before) + (1 - beta) * slope
+            level[:k] = now
+
+        best = error.argmin(axis=1)
+        fitted = {}
+        for column, row in enumerate(order):
+            g = best[column]
+            due_next = [float(season[(lengths[row] + i) % period][column, g]) for i in range(period)]
+            fitted[row] = (*grid[g], level[column, g], trend[column, g], due_next, error[column, g])
+        return pd.DataFrame([fitted[row] for row in range(len(series))],
+                            columns=["alpha", "beta", "gamma", "level", "trend", "season", "sse"])
+
+    return F.pandas_udf(fit_batch, STATE)
 
 
 def fit(rows: DataFrame, series: Sequence[str] = (), ts: str = "window_start",
@@ -73,26 +91,18 @@ def fit(rows: DataFrame, series: Sequence[str] = (), ts: str = "window_start",
         grid: Sequence[tuple[float, float, float]] = GRID) -> DataFrame:
     """Best weights and final state per series of regular (densified) points.
 
-    Series shorter than two seasons are left out.
+    Of equally good weights the first in the grid count. Series shorter than two
+    seasons are left out; the length filter comes before the fit, as the grouping is
+    what makes the arrays.
     """
-    spark = rows.sparkSession
     points = F.array_sort(F.collect_list(F.struct(F.col(ts).alias("at"),
                                                   F.col(value).cast("double").alias("y"))))
     whole = (rows.filter(F.col(ts).isNotNull())
                  .groupBy(*series).agg(points.alias("points"))
                  .filter(F.size("points") >= 2 * period)
                  .select(*series, F.element_at("points", -1)["at"].alias("last"),
-                         F.transform("points", lambda p: p["y"]).alias("y")))
-    tasks = max(len(grid), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    tried = (whole.withColumn("weights", F.explode(_grid_column(grid)))
-                  .repartition(tasks, *series, "weights")
-                  .withColumn("state", F.aggregate("y", _start(F.col("y"), period),
-                                                   _step(period, F.col("weights"))))
-                  .drop("y"))
-    best = F.min_by(F.struct("last", "weights", "state"), F.struct("state.sse", "weights"))
-    return (tried.groupBy(*series).agg(best.alias("best"))
-                 .filter(F.col("best").isNotNull())
-                 .select(*series, "best.last", "best.weights", "best.state"))
+                         F.transform("points", lambda p: F.coalesce(p["y"], F.lit(0.0))).alias("y")))
+    return whole.select(*series, "last", _fitter(period, grid)(F.col("y")).alias("state"))
 
 
 def forecast(rows: DataFrame, horizon: int = HORIZON, step: str = "1 minute",

@@ -16,6 +16,8 @@ SESSION_CONF = {
     # User sets of a micro-batch are small and many: hash them up to this many groups
     # per task before sorting instead (default 128).
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
+    # A record of the forecast is a whole series.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 

@@ -14,6 +14,8 @@ class Settings:
     bootstrap_servers: str = "localhost:9092"
     topic: str = "commerce-events"
     starting_offsets: str = "latest"
+    # Read tasks per micro-batch where topic partitions are too few; None: one each.
+    min_partitions: int | None = None
     window: str = "10 minutes"
     slide: str = "1 minute"
     watermark: str = "5 minutes"

@@ -9,12 +9,15 @@ from tidegauge.settings import Settings
 
 
 def kafka_source_options(settings: Settings) -> dict[str, str]:
-    return {
+    options = {
         "kafka.bootstrap.servers": settings.bootstrap_servers,
         "subscribe": settings.topic,
         "startingOffsets": settings.starting_offsets,
         "failOnDataLoss": "false",
     }
+    if settings.min_partitions is not None:
+        options["minPartitions"] = str(settings.min_partitions)
+    return options
 
 
 def kafka_stream(spark: SparkSession, settings: Settings) -> DataFrame:

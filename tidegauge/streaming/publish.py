@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidegauge.schema import EVENT_SCHEMA
 from tidegauge.settings import Settings
@@ -35,3 +36,11 @@ def kafka_sink_options(settings: Settings) -> dict[str, str]:
 def publish(events: DataFrame, settings: Settings) -> None:
     """Send a batch of events; needs the Kafka package of Spark on the class path."""
     to_messages(events).write.format("kafka").options(**kafka_sink_options(settings)).save()
+
+
+def start_publishing(events: DataFrame, settings: Settings, checkpoint: str) -> StreamingQuery:
+    """Send a stream of events; delivery is at least once."""
+    return (to_messages(events).writeStream.queryName("publish_events")
+            .format("kafka").options(**kafka_sink_options(settings))
+            .option("checkpointLocation", checkpoint)
+            .trigger(processingTime=settings.trigger).start())
