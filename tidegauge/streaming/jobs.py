@@ -10,7 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tidegauge.operators.grain import Grain
 from tidegauge.operators.windowed import TABLES, WindowTable, stream_parts, table_named
 from tidegauge.settings import Settings, shared_root
-from tidegauge.streaming.serving import as_key_values, changed_rows, new_run, write_batch
+from tidegauge.streaming.serving import (
+    as_key_values, batch_is_empty, changed_rows, new_run, write_batch)
 
 OnBatch = Callable[[DataFrame, int], None]
 
@@ -39,8 +40,8 @@ def start_serving(parts: DataFrame, table: WindowTable, root: str,
                   run: str | None = None) -> StreamingQuery:
     """Keep the serving table of ``table`` up to date from a stream of its parts.
 
-    ``on_batch`` gets the key and value rows a batch changed, for stores outside. An
-    error in the sink fails the query; it resumes from the checkpoint without loss,
+    ``on_batch`` gets the key and value rows a batch changed, for stores outside; it is
+    not called for a batch without rows. An error in the sink fails the query; it resumes from the checkpoint without loss,
     and the repeated batch replaces what it wrote before.
     """
     table_named(table.name)
@@ -48,10 +49,12 @@ def start_serving(parts: DataFrame, table: WindowTable, root: str,
     target = f"{root.rstrip('/')}/serving"
 
     def upsert(batch_rows: DataFrame, batch: int) -> None:
-        if not write_batch(batch_rows, batch, target, table, run):
+        write_batch(batch_rows, batch, target, table, run)
+        if on_batch is None:
             return
-        if on_batch is not None:
-            rows = changed_rows(batch_rows.sparkSession, target, table, run, batch)
+        spark = batch_rows.sparkSession
+        if not batch_is_empty(spark, target, table, run, batch):
+            rows = changed_rows(spark, target, table, run, batch)
             on_batch(as_key_values(rows, table), batch)
 
     return (parts.writeStream.queryName(f"serve_{table.name}").outputMode(output_mode)

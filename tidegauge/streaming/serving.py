@@ -48,29 +48,31 @@ def stored_schema(table: WindowTable) -> T.StructType:
 
 # --- writing -----------------------------------------------------------------
 
+def batch_path(root: str, table: WindowTable, run: str, batch: int) -> str:
+    return f"{table_path(root, table)}/run={run}/batch={batch}"
+
+
 def write_batch(parts: DataFrame, batch: int, root: str, table: WindowTable, run: str,
-                written_at: Column | None = None) -> bool:
-    """Store one micro-batch of parts; False where it has no rows.
+                written_at: Column | None = None) -> None:
+    """Store one micro-batch of parts in a single pass.
 
-    ``parts`` is read twice (is there a row, the write), hence kept meanwhile: the
-    state behind it must not be computed twice.
+    There is no look at the rows beforehand: that would compute the state behind them
+    twice or hold them in memory. A batch without rows leaves a folder without rows.
     """
     table_named(table.name)
-    parts = parts.persist()
-    try:
-        if parts.isEmpty():
-            return False
-        if "part" not in parts.columns:
-            parts = parts.withColumn("part", F.lit(0))
-        parts = parts.withColumn("written_at",
-                                 F.current_timestamp() if written_at is None else written_at)
-        columns = [F.col(f.name).cast(f.dataType).alias(f.name)
-                   for f in stored_schema(table).fields if f.name not in ("run", "batch")]
-        (parts.select(*columns).write.mode("overwrite")
-              .parquet(f"{table_path(root, table)}/run={run}/batch={batch}"))
-        return True
-    finally:
-        parts.unpersist()
+    if "part" not in parts.columns:
+        parts = parts.withColumn("part", F.lit(0))
+    parts = parts.withColumn("written_at",
+                             F.current_timestamp() if written_at is None else written_at)
+    columns = [F.col(f.name).cast(f.dataType).alias(f.name)
+               for f in stored_schema(table).fields if f.name not in ("run", "batch")]
+    parts.select(*columns).write.mode("overwrite").parquet(batch_path(root, table, run, batch))
+
+
+def batch_is_empty(spark: SparkSession, root: str, table: WindowTable, run: str,
+                   batch: int) -> bool:
+    stored = spark.read.schema(stored_schema(table)).parquet(batch_path(root, table, run, batch))
+    return stored.isEmpty()
 
 
 # --- reading -----------------------------------------------------------------
