@@ -1,10 +1,11 @@
 import json
+from types import SimpleNamespace
 
 import pytest
 from hypothesis import given, settings as hypothesis_settings, strategies as st
 from pyspark.sql import functions as F
 
-from helpers import at, event, events, tuples
+from helpers import event, events, tuples
 from tidegauge.operators.events import purchase_revenue, with_catalog
 from tidegauge.schema import CATALOG_SCHEMA
 from tidegauge.settings import Settings, shared_root
@@ -104,6 +105,14 @@ def test_shared_root(spark):
     assert shared_root(spark, Settings(root="/x")) == "/x"
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
 
+    def bare(master):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default),
+                               sparkContext=SimpleNamespace(master=master))
+
+    assert shared_root(bare("local[2]")) == shared_root(bare("local[2]"))
+    with pytest.raises(ValueError):
+        shared_root(bare("spark://cluster:7077"))
+
 
 @hypothesis_settings(max_examples=4, deadline=None)
 @given(st.lists(st.text(max_size=12), min_size=1, max_size=6))

@@ -263,6 +263,12 @@ def test_values_survive_the_round_trip_and_bad_ones_are_dropped(spark, shared):
                                                     '{"window_start":"2024-01-01T00:00:00.000Z","window_end":"x"}')],
                                 "serving_key string, value string")
     assert tuples(serving.decode_values(bad, w.TRENDING_PRODUCTS), "window_start", "window_end") == [(at(0), None)]
+    dropped = serving.rejected_values(bad, w.TRENDING_PRODUCTS).collect()
+    assert {r["value"] for r in dropped} == {"", None, "{", '{"window_start":"x"}', '{"category":"c"}'}
+    cut = spark.createDataFrame([("k", '{"window_start":"2024-01-01T00:00:00.000Z","cate')],
+                                "serving_key string, value string")
+    assert serving.rejected_values(cut, w.TRENDING_PRODUCTS).count() == 1
+    assert serving.decode_values(cut, w.TRENDING_PRODUCTS).isEmpty()
 
 
 def test_unknown_tables_are_refused(spark, shared):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -37,6 +38,11 @@ class Settings:
         )
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tidegauge-")
+
+
 def shared_root(spark: SparkSession, settings: Settings | None = None) -> str:
     """The folder for checkpoints, serving tables and staged data.
 
@@ -49,7 +55,5 @@ def shared_root(spark: SparkSession, settings: Settings | None = None) -> str:
     if configured:
         return configured
     if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="tidegauge-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
+        return _local_folder()
     raise ValueError("set spark.checkpoint.dir (or Settings.root) to a shared folder")

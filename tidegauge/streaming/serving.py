@@ -203,15 +203,28 @@ def read_values(spark: SparkSession, path: str, table: WindowTable) -> DataFrame
     return stored.filter(F.col("prefix") == table.name).drop("prefix")
 
 
+def _decoded(table: WindowTable) -> Column:
+    """The JSON value as a struct, its times still text."""
+    return F.from_json("value", T.StructType([
+        T.StructField(f.name, T.StringType() if f.name in _times(table) else f.dataType)
+        for f in SERVED_SCHEMAS[table.name].fields]))
+
+
+def _times(table: WindowTable) -> list[str]:
+    return [f.name for f in SERVED_SCHEMAS[table.name].fields
+            if isinstance(f.dataType, T.TimestampType)]
+
+
 def decode_values(values: DataFrame, table: WindowTable) -> DataFrame:
     """JSON values as typed rows; those without a readable ``window_start`` are dropped.
 
     Times that do not parse become null, so empty and undecodable values go too.
     """
-    schema = SERVED_SCHEMAS[table.name]
-    times = [f.name for f in schema.fields if isinstance(f.dataType, T.TimestampType)]
-    lenient = T.StructType([T.StructField(f.name, T.StringType() if f.name in times else f.dataType)
-                            for f in schema.fields])
-    rows = values.select(F.from_json("value", lenient).alias("row")).select("row.*")
-    return (rows.withColumns({t: F.try_to_timestamp(F.col(t)) for t in times})
+    rows = values.select(_decoded(table).alias("row")).select("row.*")
+    return (rows.withColumns({t: F.try_to_timestamp(F.col(t)) for t in _times(table)})
                 .na.drop(subset=["window_start"]))
+
+
+def rejected_values(values: DataFrame, table: WindowTable) -> DataFrame:
+    """The key and value rows that :func:`decode_values` drops."""
+    return values.filter(F.try_to_timestamp(_decoded(table)["window_start"]).isNull())
