@@ -118,16 +118,23 @@ def numbered(frame: DataFrame, groups: list[str], order: list[str], name: str,
     keys = [column(c) for c in [*groups, *order]]
     dealt = settle(frame.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
                    .mapInArrow(run, schema), name)
-    counts = dealt.groupBy(*groups, "__part").agg(F.count("*").alias("__n"))
-    # One row per group and task: a group's list is as long as the number of tasks.
-    before = (counts.groupBy(*groups).agg(F.array_sort(F.collect_list(F.struct("__part", "__n"))).alias("__all"))
-              .select(*groups, F.explode(F.transform("__all", lambda x: F.struct(
-                  x["__part"].alias("__part"),
-                  F.aggregate(F.filter("__all", lambda y: y["__part"] < x["__part"]), F.lit(0).cast("long"),
-                              lambda sum_, y: sum_ + y["__n"]).alias("__before")))).alias("__x"))
-              .select(*groups, "__x.*"))
-    on = dealt["__part"] == before["__part"]
-    for g in groups:
-        on = on & dealt[g].eqNullSafe(before[g])
+    counts = dealt.groupBy(*groups, "__part").agg(F.count("*").alias("n"))
+    ours = [f"__group{i}" for i in range(len(groups))]
+    before = before_parts(counts, groups, "__part").toDF(*ours, "__of", "__before")
+    on = F.col("__part") == F.col("__of")
+    for g, name in zip(groups, ours):
+        on = on & column(g).eqNullSafe(F.col(name))
     return dealt.join(before, on).select(
-        *[dealt[c] for c in frame.columns], (dealt["__local"] + before["__before"]).alias(number))
+        *[column(c) for c in frame.columns], (F.col("__local") + F.col("__before")).alias(number))
+
+
+def before_parts(counts: DataFrame, groups: list[str], part: str) -> DataFrame:
+    """groups, part and ``before``: the sum of ``n`` over a group's earlier parts.
+
+    ``counts`` has one row per group and part; a group's list is as long as there are parts.
+    """
+    lists = counts.groupBy(*groups).agg(F.array_sort(F.collect_list(F.struct(part, "n"))).alias("all"))
+    each = F.transform("all", lambda x: F.struct(x[part].alias(part), F.aggregate(
+        F.filter("all", lambda y: y[part] < x[part]), F.lit(0).cast("long"),
+        lambda total, y: total + y["n"]).alias("before")))
+    return lists.select(*groups, F.explode(each).alias("x")).select(*groups, "x.*")

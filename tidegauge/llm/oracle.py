@@ -14,6 +14,15 @@ FROM d
 WINDOW w AS (PARTITION BY plain ORDER BY n_chars DESC, doc_id)
 """
 
+OP4 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS last FROM p)
+SELECT page_id, strlen(html)::bigint AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN strlen(html) >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN strlen(html) >= 1000 AND page_id < last THEN last END AS refers_to
+FROM g
+"""
+
 # A window: 13 words in a row of an item, or all of a shorter one.
 OP10 = r"""
 WITH folded AS (
@@ -47,4 +56,4 @@ FROM worded w LEFT JOIN hit h ON h.doc_id = w.id LEFT JOIN items t ON t.doc_id =
 WHERE side = 'd'
 """
 
-LLM_ORACLES = {"op6_exact_dedup": OP6, "op10_decontamination": OP10}
+LLM_ORACLES = {"op4_warc": OP4, "op6_exact_dedup": OP6, "op10_decontamination": OP10}

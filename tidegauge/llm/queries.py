@@ -2,26 +2,102 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import decontaminate, exact_dedup, simhash
+from tidegauge.llm import (decontaminate, exact_dedup, language, mixing, prefix_counts, quality, sharding, simhash,
+                           tokens_file, warc)
+from tidegauge.llm.common import fresh_path
+
+#: Target shares of tokens by domain of the labels table, see ``domains``, and the tokens
+#: of the mix against those of the documents.
+MIX, BUDGET = {"good": 0.90, "plain": 0.07, "toxic": 0.03}, 1.05
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out(id_col: str = "doc_id") -> Column:
+    """Whether a document is kept from learning its language."""
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 4 == 2
+
+
+def domains(labels: DataFrame) -> DataFrame:
+    """doc_id and domain: toxic, or good or plain by quality; null where a label is."""
+    return labels.select("doc_id", F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good")
+                         .when((F.col("toxic") == 0) & (F.col("quality") == 0), "plain").alias("domain"))
+
+
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(_table(spark, sf_dir, "documents"), shingle=3, distance=3)
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_counts.prefix_answers(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), budget=512,
+        keep=["doc_id"]).withColumnRenamed("over_budget", "over_limit")
+
+
+def op3_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_by_bytes(_table(spark, sf_dir, "documents"), shards=16, keep=["doc_id"]).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "archives")
+    warc.write_archives(_table(spark, sf_dir, "pages"), path)
+    records = warc.read_archives(spark, path).filter("kind = 'record'")
+    revisit = F.col("headers")["warc-type"] == "revisit"
+
+    def page(field: str) -> Column:
+        return F.nullif(F.regexp_extract(F.col("headers")[field], "^<urn:x-page:(.*)>$", 1), F.lit("")).cast("long")
+
+    return records.select(
+        page("warc-record-id").alias("page_id"),
+        F.when(revisit, F.col("http")["content-length"].cast("long"))
+        .otherwise(F.octet_length("payload").cast("long")).alias("payload_bytes"),
+        F.when(revisit, F.substring_index(F.col("headers")["warc-payload-digest"], ":", -1))
+        .otherwise(F.sha1("payload")).alias("payload_digest"),
+        F.col("headers")["warc-type"].alias("record_type"), page("warc-refers-to").alias("refers_to"))
+
+
+def op5_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language.learn(docs.filter(~held_out()))
+    return language.languages(docs, model, keep=["doc_id"]).select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", "score", F.size("languages").alias("n_languages"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model, steps = mixing.mix(docs, domains(_table(spark, sf_dir, "labels")), MIX, BUDGET)
+    found = mixing.with_rates(docs, model, steps, keep=["doc_id"])
+    return found.select("doc_id", "n_tokens", *[
+        F.element_at("p", model.names.index(name) + 1).alias(f"p_{name}") if name in model.names
+        else F.lit(0.0).alias(f"p_{name}") for name in MIX], "rate", mixing.copies("rate", "doc_id").alias("copies"))
+
+
+def op8_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "tokens")
+    tokens_file.write_tokens(_table(spark, sf_dir, "documents"), path,
+                             public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return tokens_file.token_digests(spark, path)
+
+
+def op9_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = _table(spark, sf_dir, "labels").filter("quality = 1 and toxic = 0")
+    return quality.judge_quality(_table(spark, sf_dir, "documents"), trusted)
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated_spans(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), keep=["doc_id"])
@@ -32,8 +108,6 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((hit > 0) & (20 * hit >= F.col("n_words"))).alias("contaminated"))
 
 
-LLM_QUERIES = {
-    "op1_simhash": op1_simhash,
-    "op6_exact_dedup": op6_exact_dedup,
-    "op10_decontamination": op10_decontamination,
-}
+LLM_QUERIES = {f.__name__: f for f in (
+    op1_simhash, op2_prefix_counts, op3_kd_shards, op4_warc, op5_language_mixture, op6_exact_dedup, op7_soft_mixing,
+    op8_token_file, op9_kneser_ney_quality, op10_decontamination)}
