@@ -140,8 +140,10 @@ def _different(slim: DataFrame, groups: DataFrame, key: list[str]) -> DataFrame:
 
     schema = "fp long, n_bytes long, text_sha256 string, place int, bytes binary"
     ours = copies.filter("not stays").drop("stays").mapInArrow(cut, schema)
-    stay = copies.filter("stays").drop("stays").mapInArrow(cut, schema).select(
-        *key, "place", F.col("bytes").alias("stays"), F.col("text_sha256").alias("digest")).dropDuplicates([*key, "place"])
+    # Stored, so that the skew join can divide the copies of a large group.
+    stay = settle(copies.filter("stays").drop("stays").mapInArrow(cut, schema).select(
+        *key, "place", F.col("bytes").alias("stays"))
+        .dropDuplicates([*key, "place"]), "stays")
     return (ours.join(stay, [*key, "place"]).filter("bytes != stays")
             .select(*key, "text_sha256").distinct())
 
