@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as contract
 from conftest import SF
+from tidegauge.plans.oracle import ORACLES
+from tidegauge.plans.queries import QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
@@ -26,12 +28,13 @@ def rows(frame):
 
 
 def test_contract(spark):
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries()) and set(contract.oracle_sql()) <= set(contract.queries())
     flagship = contract.entry(spark)
     assert flagship.columns[:3] == ["window_start", "window_end", "product_id"]
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, db, name):
     ours = contract.queries()[name](spark, SF).toPandas()
     theirs = db.execute(contract.oracle_sql()[name]).df()
