@@ -10,7 +10,10 @@ from __future__ import annotations
 import functools
 import os
 import re
+import sys
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,10 +22,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import before_parts, column, pieces
+from tidegauge.llm.common import before_parts, column, pieces, utf8
+from tidegauge.llm.prefix_counts import byte_letters
 
-#: Encoded words that a worker remembers at most.
-REMEMBERED = 1 << 20
+#: Encoded words of a generation that a worker remembers, and words given to the library at once.
+REMEMBERED, AT_ONCE = 1 << 18, 4096
+#: Marks at the end of a word of letters or digits are a piece of their own.
+MARKS = re.compile(rb"(?<=[a-z0-9])([.,;:!?]+)(?=\s|$)")
+BEYOND_LATIN = "\u0250"
 SCHEMA = "doc_id long, part int, first long, n_tokens long, ids array<int>"
 PARQUET = {
     "parquet.writer.version": "v2",
@@ -39,26 +46,77 @@ PARQUET = {
 class Encoder:
     """Ids of whole texts by the library, which sees each word between blanks once.
 
-    The tokenizer must drop white space and let no token cross it.
+    For a tokenizer that composes, lowers letter by letter, drops white space and lets
+    no token cross it, nor the border from letters or digits to marks. Unseen words of
+    Latin letters alone are one piece to the library's model; others take its whole way.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        split = [re.split("[ \n]+", t) for t in texts]
+        self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
+        letters = {b: c for c, b in byte_letters().items()}
+        self.letters = [letters[b] for b in range(256)]
+        # Two generations of known words: the frequent ones pass on to the next.
+        self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
+
+    def latin(self, word: bytes) -> str | None:
+        """The word as the model takes it, if it is of Latin letters alone."""
+        if word.isalpha():  # of bytes: ASCII
+            return word.decode()
+        text = word.decode()
+        if not unicodedata.is_normalized("NFC", text):
+            text = unicodedata.normalize("NFC", text)
+        if max(text) >= BEYOND_LATIN:
+            return None
+        text = text.lower()
+        return "".join([self.letters[b] for b in text.encode()]) if text.isalpha() else None
+
+    def learn(self, words: set[bytes]) -> None:
+        rest = []
+        tokenize, latin = self.library.model.tokenize, self.latin
+        for word in words:
+            ids = self.before.get(word)
+            if ids is None:
+                text = latin(word)
+                if text is None:
+                    rest.append(word)
+                    continue
+                ids = as_bytes([t.id for t in tokenize(text)])
+            self.known[word] = ids
+        for at in range(0, len(rest), AT_ONCE):
+            some = rest[at: at + AT_ONCE]
+            found = self.library.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
+            for word, one in zip(some, found):
+                self.known[word] = as_bytes(one.ids)
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Little-endian 32-bit ids of each text, which is in UTF-8."""
+        if len(self.known) > REMEMBERED:
+            self.before, self.known = self.known, {}
+        out: list[bytes | list[bytes]] = []
+        new: set[bytes] = set()
         known = self.known
-        new = list({w for words in split for w in words} - known.keys())
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list({w for words in split for w in words})
-        for word, found in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
-            known[word] = np.array(found.ids, "<u4").tobytes()
-        return [b"".join([known[w] for w in words]) for words in split]
+        for text in texts:
+            plain = text.lower()  # of bytes: A-Z
+            if any(x in plain for x in self.special):
+                # Only so written is a special string one.
+                out.append(as_bytes(self.library.encode(text.decode(), add_special_tokens=False).ids))
+                continue
+            words = MARKS.sub(rb" \1", plain).split()
+            new.update([w for w in words if w not in known])
+            out.append(words)
+        self.learn(new)
+        return [one if isinstance(one, bytes) else b"".join([known[w] for w in one]) for one in out]
+
+
+def as_bytes(ids: list[int]) -> bytes:
+    found = array("I", ids)
+    if sys.byteorder == "big":
+        found.byteswap()
+    return found.tobytes()
 
 
 @functools.lru_cache(maxsize=2)
@@ -81,21 +139,23 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
                        F.coalesce(column(text).cast("string"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, at = TaskContext.get().partitionId(), 0
+        part, total = TaskContext.get().partitionId(), 0
         encode = encoder(tokenizer).encode
         for batch in batches:
             for piece in pieces(batch, "text"):
-                found = [ids + end for ids in encode(piece.column("text").to_pylist())]
+                data, places = utf8(piece.column("text"))
+                raw, places = data.tobytes(), places.tolist()
+                found = [ids + end for ids in encode([raw[a:b] for a, b in zip(places, places[1:])])]
                 sizes = np.array([len(f) // 4 for f in found], np.int64)
                 ends = np.cumsum(sizes)
                 values = np.frombuffer(b"".join(found), "<u4").astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("doc_id"), pa.array(np.full(len(found), part, np.int32)),
-                     pa.array(at + ends - sizes), pa.array(sizes),
+                     pa.array(total + ends - sizes), pa.array(sizes),
                      pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)),
                                               pa.array(values))],
                     ["doc_id", "part", "first", "n_tokens", "ids"])
-                at += int(ends[-1]) if len(ends) else 0
+                total += int(ends[-1]) if len(ends) else 0
 
     (rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
      .mapInArrow(run, SCHEMA).write.options(**{**PARQUET, **(options or {})}).parquet(path))
