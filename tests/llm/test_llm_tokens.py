@@ -67,11 +67,20 @@ def test_other_tokenizers_are_refused():
 
 def test_encoder_equals_the_library():
     library = Tokenizer.from_file(WORDS)
-    texts = samples() + ["don't  stop\n\nNOW", "ΑΣ ΟΔΟΣ", "x<|endoftext|>y <|startoftext|> z"]
-    for ids, text in zip(f.Encoder(WORDS).encode(texts), texts):
+    texts = samples() + ["don't  stop\n\nNOW", "ΑΣ ΟΔΟΣ", "x<|endoftext|>y <|startoftext|> z", "x<|ENDOFTEXT|>y",
+                         "Ab, a!. 1, é, É. e\u0301, —, x\u0085, \u00a0y ſ K ĳ ß ẞ ŉ it's, 'll. İ, ǅ ª º µ Å",
+                         "a\x00b \x00, c\x1c. d", "naïve café ÀÉÎ"]
+    for ids, text in zip(f.Encoder(WORDS).encode([t.encode() for t in texts]), texts):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_forgetting_words_changes_nothing(spark, monkeypatch):
+    texts = [r["text"].encode() for r in spark.read.parquet(f"{SF}/documents.parquet").limit(60).collect()]
+    want = f.Encoder(WORDS).encode(texts)
+    monkeypatch.setattr(f, "REMEMBERED", 50)
+    assert f.Encoder(WORDS).encode(texts) == want
+
+
 def test_files_round_trip(spark):
     library = Tokenizer.from_file(WORDS)
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
