@@ -10,7 +10,7 @@ from tidegauge.operators import windowed as w
 from tidegauge.operators.grain import Grain
 from tidegauge.plans.adapter import event_stream, shop_events
 from tidegauge.settings import Settings
-from tidegauge.sources.decode import decode_messages
+from tidegauge.sources.decode import decode_messages, rejected_messages
 from tidegauge.sources.messages import text_stream
 from tidegauge.streaming import jobs, serving
 from tidegauge.streaming.keyvalue import write_key_values
@@ -90,14 +90,31 @@ def test_unsplit_stream_has_whole_rows(spark, shared):
     same_rows(spark.table("whole"), w.trending_products(events(spark, rows)))
 
 
-def test_console_and_replies(spark, shared):
-    deliver(spark, f"{shared}/in", [event(0)])
-    parts = jobs.table_parts(decode_messages(text_stream(spark, f"{shared}/in")), w.CATEGORY_ANALYTICS,
-                             Settings())
-    query = jobs.start_console(parts, "debug", f"{shared}/cp", available_now=True)
+def test_console_shows_finished_rows(spark, shared):
+    table = w.TRENDING_PRODUCTS
+    deliver(spark, f"{shared}/in", [event(0, user=f"u{i}") for i in range(9)])
+    rows = jobs.console_rows(decode_messages(text_stream(spark, f"{shared}/in")), table, Settings())
+    assert rows.columns == table.columns
+    query = jobs.start_console(rows, "debug", f"{shared}/cp", available_now=True)
     assert query.name == "debug"
     jobs.finish([query])
-    assert query.lastProgress["numInputRows"] >= 0
+    shown = (rows.writeStream.format("memory").queryName("shown").outputMode("update")
+             .option("checkpointLocation", f"{shared}/cp2").trigger(availableNow=True).start())
+    shown.awaitTermination()
+    assert set(tuples(spark.table("shown"), "unique_users")) == {(9,)}
+    assert spark.table("shown").groupBy("window_start").count().filter("count > 1").isEmpty()
+
+
+def test_rejects_and_callbacks_of_start_all(spark, shared):
+    deliver(spark, f"{shared}/in", [event(0)])
+    (spark.createDataFrame([("{",)], "value string").write.mode("append").text(f"{shared}/in"))
+    messages, seen = text_stream(spark, f"{shared}/in"), []
+    queries = jobs.start_all(decode_messages(messages), Settings(root=shared), ["category_analytics"],
+                             available_now=True, rejects=rejected_messages(messages),
+                             on_batch={"category_analytics": lambda rows, batch: seen.append(rows.count())})
+    jobs.finish(queries)
+    assert seen == [10]
+    assert spark.read.parquet(f"{shared}/rejects").count() == 1
 
 
 def test_wait_stops_the_other_queries(spark, shared):
@@ -122,7 +139,8 @@ def test_sink_errors_fail_the_query_and_a_retry_recovers(spark, shared):
     def broken(rows, batch):
         raise RuntimeError("store is away")
 
-    query = jobs.start_serving(parts, w.USER_BEHAVIOR, root, available_now=True, on_batch=broken)
+    query = jobs.start_serving(parts, w.USER_BEHAVIOR, root, Settings(splits=2), available_now=True,
+                               on_batch=broken)
     with pytest.raises(Exception, match="store is away"):
         jobs.finish([query])
     spark.streams.resetTerminated()
@@ -162,7 +180,8 @@ def test_changed_rows_go_to_an_external_store(spark, shared):
     for rows in ([event(0, user="a"), event(0, user="b")], [event(9, user="c")]):
         deliver(spark, inbox, rows)
         parts = jobs.table_parts(decode_messages(text_stream(spark, inbox)), w.USER_BEHAVIOR, Settings(splits=5))
-        jobs.finish([jobs.start_serving(parts, w.USER_BEHAVIOR, shared, available_now=True, on_batch=forward)])
+        jobs.finish([jobs.start_serving(parts, w.USER_BEHAVIOR, shared, Settings(splits=5), available_now=True,
+                                        on_batch=forward)])
 
     # batches that only move the watermark change no rows and are not forwarded
     assert [len(keys) for keys in sent] == [10, 10]
@@ -199,6 +218,7 @@ def test_later_runs_win_whatever_their_batch_number(spark, shared):
 def test_empty_batches_and_tables(spark, shared):
     assert serving.read_latest(spark, shared + "/none", w.USER_BEHAVIOR).isEmpty()
     serving.write_batch(totals(spark, [event(None)]), 0, shared, w.USER_BEHAVIOR, "r1")
+    assert not files(shared)
     assert serving.batch_is_empty(spark, shared, w.USER_BEHAVIOR, "r1", 0)
     empty = serving.read_latest(spark, shared, w.USER_BEHAVIOR)
     assert empty.isEmpty() and empty.columns[:-3] == w.USER_BEHAVIOR.columns
@@ -215,7 +235,7 @@ def test_names_of_one_product_do_not_overwrite_each_other(spark, shared):
 
 def test_expiry_follows_the_last_written_part(spark):
     def part(n, minute, key="email"):
-        return (at(0), at(10), "mobile", key, n, 1, 1, 0, 0.0, 1, at(minute), "r1", minute)
+        return (at(0), at(10), "mobile", key, n, 1, 1, 0, 0.0, 1, at(minute), "l1", "r1", minute)
 
     columns = serving.stored_schema(w.USER_BEHAVIOR)
     parts = spark.createDataFrame([part(0, 0), part(1, 50), part(0, 10, "social")], columns)
@@ -226,16 +246,60 @@ def test_expiry_follows_the_last_written_part(spark):
     assert tuples(edge, "source") == [("email",)]
 
 
-def test_compaction(spark, shared):
-    a, b = f"{shared}/a", f"{shared}/b"
-    serving.write_batch(totals(spark, [event(0), event(20)]), 0, a, w.USER_BEHAVIOR, "r1", F.lit(at(0)))
-    serving.write_batch(totals(spark, [event(0), event(0)]), 1, a, w.USER_BEHAVIOR, "r1", F.lit(at(90)))
-    serving.compact(spark, a, b, w.USER_BEHAVIOR, now=F.lit(at(100)))
-    assert serving.read_parts(spark, b, w.USER_BEHAVIOR).count() == 1
-    now = F.lit(at(100))
-    same_rows(serving.read_latest(spark, a, w.USER_BEHAVIOR, now), serving.read_latest(spark, b, w.USER_BEHAVIOR, now))
-    serving.write_batch(totals(spark, [event(0)] * 4), 2, b, w.USER_BEHAVIOR, "r1", F.lit(at(95)))
-    assert tuples(serving.read_latest(spark, b, w.USER_BEHAVIOR, now), "total_events") == [(4,)]
+def files(folder):
+    return sorted(os.path.join(d, f) for d, _, names in os.walk(folder) for f in names if f.startswith("part-"))
+
+
+def test_maintenance_deletes_expired_hours_and_merges_commits(spark, shared):
+    table = w.USER_BEHAVIOR
+    for batch in range(4):
+        rows = totals(spark, [event(0)] * (batch + 1) + [event(200)] * (batch == 0))
+        serving.write_batch(rows, batch, shared, table, "r1", F.lit(at(210 + batch)) if batch else F.lit(at(90)))
+    now = F.lit(at(220))
+    before = serving.read_latest(spark, shared, table, now)
+    want = same_rows(before, before)
+    assert len(files(shared)) == 5
+    serving.maintain(spark, shared, table, "r1", 3, now=now, most_commits=3)
+    left = files(shared)
+    assert len(left) == 1 and "hour=473352" in left[0]  # 2024-01-01T00; hour 03 had expired
+    assert same_rows(serving.read_latest(spark, shared, table, now), serving.read_latest(spark, shared, table, now)) == want
+    serving.write_batch(totals(spark, [event(0)] * 9), 4, shared, table, "r1", F.lit(at(215)))
+    assert tuples(serving.read_latest(spark, shared, table, now), "total_events") == [(9,)]
+
+
+def test_a_read_with_a_time_to_live_prunes_hours(spark, shared):
+    for batch in range(3):
+        serving.write_batch(totals(spark, [event(batch * 120)]), batch, shared, w.USER_BEHAVIOR, "r1",
+                            F.lit(at(batch * 120)))
+    got = serving.read_latest(spark, shared, w.USER_BEHAVIOR, now=F.lit(at(250)))
+    assert tuples(got, "window_start") == [(at(240),)]
+    assert "PartitionFilters: [isnotnull(hour" in got._jdf.queryExecution().toString()
+
+
+# --- lineage ---
+
+def test_another_split_count_on_a_checkpoint_is_refused(spark, shared):
+    users = [event(0, user=f"u{i}") for i in range(20)]
+    deliver(spark, f"{shared}/in", users)
+    run(spark, f"{shared}/in", shared, settings=Settings(splits=8))
+    with pytest.raises(ValueError, match="8 splits"):
+        run(spark, f"{shared}/in", shared, settings=Settings(splits=3))
+    run(spark, f"{shared}/in", shared, settings=Settings(splits=8))
+    same_rows(served(spark, shared), w.user_behavior(events(spark, users)))
+
+
+@pytest.mark.parametrize("splits", [8, 3])
+def test_a_new_checkpoint_replaces_what_an_old_one_served(spark, shared, splits):
+    users = [event(0, user=f"u{i}") for i in range(20)]
+    deliver(spark, f"{shared}/in", users)
+    run(spark, f"{shared}/in", shared, settings=Settings(splits=8))
+    os.rename(f"{shared}/checkpoints", f"{shared}/lost")
+    run(spark, f"{shared}/in", shared, settings=Settings(splits=splits))
+    same_rows(served(spark, shared), w.user_behavior(events(spark, users)))
+    os.rename(f"{shared}/checkpoints", f"{shared}/lost_again")
+    deliver(spark, f"{shared}/in2", [event(0, user="u3")])
+    run(spark, f"{shared}/in2", shared, settings=Settings(splits=splits))
+    same_rows(served(spark, shared), w.user_behavior(events(spark, [event(0, user="u3")])))
 
 
 def test_key_text(spark):

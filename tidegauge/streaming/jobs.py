@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -11,7 +11,7 @@ from tidegauge.operators.grain import Grain
 from tidegauge.operators.windowed import TABLES, WindowTable, stream_parts, table_named
 from tidegauge.settings import Settings, shared_root
 from tidegauge.streaming.serving import (
-    as_key_values, batch_is_empty, changed_rows, new_run, write_batch)
+    as_key_values, batch_is_empty, changed_rows, lineage_of, maintain, new_run, write_batch)
 
 OnBatch = Callable[[DataFrame, int], None]
 
@@ -25,6 +25,15 @@ def table_parts(events: DataFrame, table: WindowTable, settings: Settings) -> Da
                         settings.watermark, settings.splits)
 
 
+def console_rows(events: DataFrame, table: WindowTable, settings: Settings) -> DataFrame:
+    """Finished rows, one per window and key: the columns that readers of the table get.
+
+    State keeps all users of a window and key together; for debugging on small streams.
+    """
+    return table.finish(stream_parts(events, table, Grain(settings.window, settings.slide),
+                                     settings.watermark, splits=1))
+
+
 def start_console(rows: DataFrame, name: str, checkpoint: str, settings: Settings = Settings(),
                   output_mode: str = "update", available_now: bool = False) -> StreamingQuery:
     """Print changed rows in full width; for debugging."""
@@ -37,51 +46,80 @@ def start_console(rows: DataFrame, name: str, checkpoint: str, settings: Setting
 def start_serving(parts: DataFrame, table: WindowTable, root: str,
                   settings: Settings = Settings(), output_mode: str = "update",
                   available_now: bool = False, on_batch: OnBatch | None = None,
-                  run: str | None = None) -> StreamingQuery:
+                  run: str | None = None, maintain_every: int = 120) -> StreamingQuery:
     """Keep the serving table of ``table`` up to date from a stream of its parts.
 
     ``on_batch`` gets the key and value rows a batch changed, for stores outside; it is
-    not called for a batch without rows. An error in the sink fails the query; it resumes from the checkpoint without loss,
-    and the repeated batch replaces what it wrote before.
+    not called for a batch without rows. Every ``maintain_every`` batches expired hours
+    are deleted and commits merged (0: never). An error in the sink fails the query; it
+    resumes from the checkpoint without loss, and the repeated batch replaces what it
+    wrote before. ``settings.splits`` must be what the checkpoint was started with.
     """
     table_named(table.name)
     run = run or new_run()
-    target = f"{root.rstrip('/')}/serving"
+    base = root.rstrip("/")
+    target, checkpoint = f"{base}/serving", f"{base}/checkpoints/{table.name}"
+    lineage = lineage_of(parts.sparkSession, checkpoint, settings.splits)
 
     def upsert(batch_rows: DataFrame, batch: int) -> None:
-        write_batch(batch_rows, batch, target, table, run)
-        if on_batch is None:
-            return
+        write_batch(batch_rows, batch, target, table, run, lineage=lineage)
         spark = batch_rows.sparkSession
-        if not batch_is_empty(spark, target, table, run, batch):
+        if on_batch is not None and not batch_is_empty(spark, target, table, run, batch):
             rows = changed_rows(spark, target, table, run, batch)
             on_batch(as_key_values(rows, table), batch)
+        if maintain_every and batch % maintain_every == maintain_every - 1:
+            maintain(spark, target, table, run, batch, ttl=settings.ttl)
 
     return (parts.writeStream.queryName(f"serve_{table.name}").outputMode(output_mode)
-                 .option("checkpointLocation", f"{root.rstrip('/')}/checkpoints/{table.name}")
+                 .option("checkpointLocation", checkpoint)
                  .trigger(**_trigger(settings, available_now)).foreachBatch(upsert).start())
 
 
+def start_rejects(rejects: DataFrame, root: str, settings: Settings = Settings(),
+                  available_now: bool = False) -> StreamingQuery:
+    """Append messages that could not be decoded to ``root/rejects``, as Parquet."""
+    base = root.rstrip("/")
+    return (rejects.writeStream.queryName("rejects").outputMode("append").format("parquet")
+                   .option("path", f"{base}/rejects")
+                   .option("checkpointLocation", f"{base}/checkpoints/rejects")
+                   .trigger(**_trigger(settings, available_now)).start())
+
+
 def start_all(events: DataFrame, settings: Settings = Settings(),
               tables: Sequence[str] = tuple(TABLES), console: bool = False,
-              available_now: bool = False) -> list[StreamingQuery]:
-    """A serving query per table over one event stream, and a console query each on request."""
+              available_now: bool = False, on_batch: Mapping[str, OnBatch] | None = None,
+              rejects: DataFrame | None = None) -> list[StreamingQuery]:
+    """A serving query per table over one event stream, and a console query each on request.
+
+    ``on_batch`` has a callback by table name for changed rows; ``rejects`` is a stream
+    of messages that could not be decoded, to be kept.
+    """
     root = shared_root(events.sparkSession, settings)
     queries = []
     for table in map(table_named, tables):
         parts = table_parts(events, table, settings)
-        queries.append(start_serving(parts, table, root, settings, available_now=available_now))
+        queries.append(start_serving(parts, table, root, settings, available_now=available_now,
+                                     on_batch=(on_batch or {}).get(table.name)))
         if console:
-            queries.append(start_console(parts, f"{table.name}_console",
+            queries.append(start_console(console_rows(events, table, settings), f"{table.name}_console",
                                          f"{root.rstrip('/')}/checkpoints/{table.name}_console",
                                          settings, available_now=available_now))
+    if rejects is not None:
+        queries.append(start_rejects(rejects, root, settings, available_now))
     return queries
 
 
-def wait(spark: SparkSession, queries: Sequence[StreamingQuery]) -> None:
-    """Wait until any of the queries ends, then stop them all; the session stays."""
+def wait(spark: SparkSession, queries: Sequence[StreamingQuery], poll_seconds: float = 1.0) -> None:
+    """Wait until any of these queries ends, then stop them all; a failure is raised.
+
+    Other queries of the session are not looked at, and the session stays.
+    """
     try:
-        spark.streams.awaitAnyTermination()
+        while all(q.isActive for q in queries):
+            queries[0].awaitTermination(poll_seconds)
+        for query in queries:
+            if (failure := query.exception()) is not None:
+                raise failure
     finally:
         stop(queries)
 

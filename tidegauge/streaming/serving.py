@@ -1,10 +1,14 @@
 """The keyed serving table: appended per micro-batch, newest row per key wins.
 
-Each micro-batch overwrites its own folder ``root/<table>/run=<run>/batch=<n>``, so
-a replayed batch changes nothing and executors write in parallel. ``run`` names one
-start of the writer and sorts by time; rows of later runs and batches replace
-earlier ones of the same window, key and part. Readers merge the newest parts into
-whole rows and leave out rows whose last write is older than the time to live.
+Files lie by hour of the window start and by commit: ``root/<table>/hour=<n>/commit=<run>-<batch>``.
+A replayed batch overwrites its own commits and so changes nothing, executors write in
+parallel, and a batch without rows writes nothing. ``run`` names one start of the writer
+and sorts by time. ``lineage`` names one checkpoint: all starts from it share it, and a
+new checkpoint, whose state starts from nothing, has a later one. Per window and key only
+parts of the newest lineage count, and of those the last run and batch of each part;
+readers merge them into whole rows and leave out rows whose last write is older than the
+time to live. ``maintain`` deletes hours that have expired and merges the commits of an
+hour.
 """
 
 from __future__ import annotations
@@ -42,44 +46,77 @@ def stored_schema(table: WindowTable) -> T.StructType:
               *[(k, "string") for k in table.keys], ("part", "int"),
               *[(m.name, m.type) for m in table.measures],
               *([(table.distinct[1], "bigint")] if table.distinct else []),
-              ("written_at", "timestamp"), ("run", "string"), ("batch", "bigint")]
+              ("written_at", "timestamp"), ("lineage", "string"), ("run", "string"),
+              ("batch", "bigint")]
     return T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t in fields))
 
 
 # --- writing -----------------------------------------------------------------
 
-def batch_path(root: str, table: WindowTable, run: str, batch: int) -> str:
-    return f"{table_path(root, table)}/run={run}/batch={batch}"
+def lineage_of(spark: SparkSession, checkpoint: str, splits: int) -> str:
+    """The lineage stored with a checkpoint, made on its first use.
+
+    Parts of different split counts do not replace each other, so a checkpoint keeps the
+    count it was started with; another one is refused.
+    """
+    path = f"{checkpoint.rstrip('/')}/lineage"
+    try:
+        stored = spark.read.schema("lineage string, splits int").json(path).first()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        stored = None
+    if stored is None:
+        lineage = new_run()
+        (spark.createDataFrame([(lineage, splits)], "lineage string, splits int").coalesce(1)
+              .write.mode("overwrite").json(path))
+        return lineage
+    if stored["splits"] != splits:
+        raise ValueError(f"{checkpoint} holds state of {stored['splits']} splits, not {splits}; "
+                         "keep the setting or start from a new checkpoint")
+    return stored["lineage"]
+
+
+def commit_name(run: str, batch: int) -> str:
+    return f"{run}-{batch:012d}"
+
+
+def hour_of(column: str = "window_start") -> Column:
+    """Hours since the epoch, whatever the session's time zone."""
+    return F.floor(F.unix_seconds(F.col(column).cast("timestamp")) / 3600).cast("bigint")
 
 
 def write_batch(parts: DataFrame, batch: int, root: str, table: WindowTable, run: str,
-                written_at: Column | None = None) -> None:
-    """Store one micro-batch of parts in a single pass.
+                written_at: Column | None = None, lineage: str = "") -> None:
+    """Store one micro-batch of parts in a single pass, a few files per hour of windows.
 
     There is no look at the rows beforehand: that would compute the state behind them
-    twice or hold them in memory. A batch without rows leaves a folder without rows.
+    twice or hold them in memory.
     """
     table_named(table.name)
     if "part" not in parts.columns:
         parts = parts.withColumn("part", F.lit(0))
-    parts = parts.withColumn("written_at",
-                             F.current_timestamp() if written_at is None else written_at)
-    columns = [F.col(f.name).cast(f.dataType).alias(f.name)
-               for f in stored_schema(table).fields if f.name not in ("run", "batch")]
-    parts.select(*columns).write.mode("overwrite").parquet(batch_path(root, table, run, batch))
+    parts = parts.withColumns({
+        "written_at": F.current_timestamp() if written_at is None else written_at,
+        "lineage": F.lit(lineage), "run": F.lit(run), "batch": F.lit(batch)})
+    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in stored_schema(table).fields]
+    _write(parts.select(*columns, hour_of().alias("hour"),
+                        F.lit(commit_name(run, batch)).alias("commit")), root, table)
 
 
-def batch_is_empty(spark: SparkSession, root: str, table: WindowTable, run: str,
-                   batch: int) -> bool:
-    stored = spark.read.schema(stored_schema(table)).parquet(batch_path(root, table, run, batch))
-    return stored.isEmpty()
+def _write(rows: DataFrame, root: str, table: WindowTable) -> None:
+    # Rebalanced: small hours share a task, a large one is divided over several.
+    (rows.hint("rebalance", "hour").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("hour", "commit").parquet(table_path(root, table)))
 
 
 # --- reading -----------------------------------------------------------------
 
 def read_parts(spark: SparkSession, root: str, table: WindowTable) -> DataFrame:
-    """All stored parts; a typed empty frame before the first batch."""
-    schema = stored_schema(table)
+    """All stored parts with their ``hour`` and ``commit``; a typed empty frame before the
+    first batch."""
+    schema = T.StructType([*stored_schema(table).fields, T.StructField("hour", T.LongType()),
+                           T.StructField("commit", T.StringType())])
     try:
         return spark.read.schema(schema).parquet(table_path(root, table))
     except AnalysisException as missing:
@@ -88,23 +125,38 @@ def read_parts(spark: SparkSession, root: str, table: WindowTable) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def batch_is_empty(spark: SparkSession, root: str, table: WindowTable, run: str,
+                   batch: int) -> bool:
+    return _of_commit(read_parts(spark, root, table), run, batch).isEmpty()
+
+
+def _of_commit(stored: DataFrame, run: str, batch: int) -> DataFrame:
+    return stored.filter(F.col("commit") == commit_name(run, batch))
+
+
 def newest_parts(parts: DataFrame, table: WindowTable) -> DataFrame:
-    """The last write of each window, key and part.
+    """The last write of each window, key and part within the window and key's newest lineage.
 
     Rows are shuffled by window and key, which also serves the merge of the parts
     later on. A window and key has one row per split and micro-batch that touched it.
     """
+    of_row = Window.partitionBy("window_start", *table.keys)
     writes = (Window.partitionBy("window_start", *table.keys, "part")
                     .orderBy(F.desc("run"), F.desc("batch")))
     return (parts.repartition("window_start", *table.keys)
+                 .withColumn("newest", F.max("lineage").over(of_row))
+                 .filter(F.col("lineage") == F.col("newest"))
                  .withColumn("nth", F.row_number().over(writes))
-                 .filter(F.col("nth") == 1).drop("nth"))
+                 .filter(F.col("nth") == 1).drop("nth", "newest"))
 
 
 def unexpired(rows: DataFrame, now: Column | None = None, ttl: str = TTL) -> DataFrame:
     """Rows written less than ``ttl`` before ``now``."""
-    now = F.current_timestamp() if now is None else now
-    return rows.filter(F.col("written_at") > now - span(seconds(ttl)))
+    return rows.filter(F.col("written_at") > _cutoff(now, ttl))
+
+
+def _cutoff(now: Column | None, ttl: str) -> Column:
+    return (F.current_timestamp() if now is None else now) - span(seconds(ttl))
 
 
 def latest_rows(parts: DataFrame, table: WindowTable, now: Column | None = None,
@@ -128,42 +180,63 @@ def latest_rows(parts: DataFrame, table: WindowTable, now: Column | None = None,
 
 def read_latest(spark: SparkSession, root: str, table: WindowTable,
                 now: Column | None = None, ttl: str | None = TTL) -> DataFrame:
-    return latest_rows(read_parts(spark, root, table), table, now, ttl)
+    """As :func:`latest_rows`, from the stored table. With a time to live only hours from
+    the first one written to within it are read, before anything is shuffled."""
+    stored = read_parts(spark, root, table)
+    if ttl is not None:
+        since = unexpired(stored, now, ttl).agg(F.min("hour")).scalar()
+        stored = stored.filter(F.col("hour") >= since)
+    return latest_rows(stored, table, now, ttl)
 
 
 def changed_rows(spark: SparkSession, root: str, table: WindowTable, run: str,
                  batch: int) -> DataFrame:
-    """Whole rows of the windows and keys that one micro-batch touched."""
+    """Whole rows of the windows and keys that one micro-batch touched; reads its hours only."""
     stored = read_parts(spark, root, table)
-    touched = stored.filter((F.col("run") == run) & (F.col("batch") == batch))
-    since = touched.agg(F.min("window_start").alias("since")).scalar()
-    rows = latest_rows(stored.filter(F.col("window_start") >= since), table, ttl=None)
+    touched = _of_commit(stored, run, batch)
+    first, last = touched.agg(F.min("hour")).scalar(), touched.agg(F.max("hour")).scalar()
+    rows = latest_rows(stored.filter((F.col("hour") >= first) & (F.col("hour") <= last)), table, ttl=None)
     keys = ["window_start", *table.keys]
     touched = touched.select(*[F.col(k).alias(f"touched_{k}") for k in keys])
     same = [F.col(k).eqNullSafe(F.col(f"touched_{k}")) for k in keys]
     return rows.join(touched, same, "left_semi")
 
 
-def compact(spark: SparkSession, root: str, into: str, table: WindowTable,
-            now: Column | None = None, ttl: str | None = TTL) -> None:
-    """Write the newest unexpired parts of ``root`` as one batch under ``into``.
+# --- upkeep ------------------------------------------------------------------
 
-    That batch carries the last run and batch number seen, so a writer that goes on
-    under ``into`` with the same checkpoint replaces it. Compact while the writer is
-    stopped; ``root`` is not changed.
+def maintain(spark: SparkSession, root: str, table: WindowTable, run: str, batch: int,
+             now: Column | None = None, ttl: str = TTL, most_commits: int = 20) -> None:
+    """Delete the hours of which nothing was written within ``ttl``, and merge the
+    commits of each hour that has more than ``most_commits``.
+
+    Call from the table's only writer, between batches. What is merged is written first,
+    as one commit per hour of the newest parts, and the commits it replaces are deleted
+    after: a failure between leaves parts twice, of which readers take one. The names of
+    hours and commits that go reach the driver, not their rows.
     """
     stored = read_parts(spark, root, table)
-    parts = newest_parts(stored, table)
-    if ttl is not None:
-        of_row = Window.partitionBy("window_start", *table.keys)
-        cutoff = (F.current_timestamp() if now is None else now) - span(seconds(ttl))
-        parts = (parts.withColumn("row_written_at", F.max("written_at").over(of_row))
-                      .filter(F.col("row_written_at") > cutoff).drop("row_written_at"))
-    last = stored.agg(F.max(F.struct("run", "batch")).alias("last"))
-    parts = (parts.drop("run", "batch").withColumn("last", last.scalar())
-                  .withColumns({"run": F.col("last.run"), "batch": F.col("last.batch")})
-                  .drop("last"))
-    parts.write.mode("overwrite").partitionBy("run", "batch").parquet(table_path(into, table))
+    expired = (stored.groupBy("hour").agg(F.max("written_at").alias("last"))
+                     .filter(~(F.col("last") > _cutoff(now, ttl))).select("hour"))
+    gone = [r["hour"] for r in expired.collect()]
+    _delete(spark, [f"{table_path(root, table)}/hour={h}" for h in gone])
+    stored = read_parts(spark, root, table)
+    commits = stored.select("hour", "commit").distinct()
+    full = [r["hour"] for r in commits.groupBy("hour").count()
+            .filter(F.col("count") > most_commits).select("hour").collect()]
+    if not full:
+        return
+    old = [(r["hour"], r["commit"]) for r in commits.filter(F.col("hour").isin(full)).collect()]
+    name = f"{commit_name(run, batch)}m"
+    _write(newest_parts(stored.filter(F.col("hour").isin(full)), table)
+           .withColumn("commit", F.lit(name)), root, table)
+    _delete(spark, [f"{table_path(root, table)}/hour={h}/commit={c}" for h, c in old if c != name])
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
 
 
 # --- key and value text ------------------------------------------------------
