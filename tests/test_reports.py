@@ -104,11 +104,12 @@ def test_compare(spark):
     assert reports.compare_products(one, *reports.first_two_names(one)).count() == 2
 
 
-def test_compare_meets_all_rows_of_a_shared_name(spark):
+def test_compare_adds_up_the_ids_of_a_shared_name(spark):
     rows = products(spark, [(1, "a", "A", "x", 0.0, 5, 0), (1, "a2", "A", "x", 0.0, 6, 0),
-                            (1, "b", "B", "x", 0.0, 7, 0), (1, "b2", "B", "x", 0.0, 8, 0)])
-    assert tuples(reports.compare_products(rows, "A", "B"), "product_1", "product_2") == [
-        (5, 7), (5, 8), (6, 7), (6, 8)]
+                            (1, "b", "B", "x", 0.0, 7, 0), (1, "b2", "B", "x", 0.0, 8, 0), (1, "c", "C", "x", 0.0, 9, 0)])
+    compared = reports.compare_products(rows, "A", "B")
+    assert tuples(compared, "product_1", "product_2") == [(11, 15)]
+    assert "Join" not in compared._jdf.queryExecution().toString()
 
 
 def test_rollup_and_share(spark):

@@ -52,6 +52,38 @@ def test_bands(spark):
         "which is outside the expected range."]
 
 
+@hypothesis_settings(max_examples=6, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(0, 50)), min_size=6, max_size=60), st.integers(2, 9), st.booleans())
+def test_bands_across_block_borders_equal_pandas(spark, values, size, before):
+    minutes = [m + (m // 9) * 25 for m in range(len(values))]  # some blocks without a point
+    rows = points(spark, [None if v is None else float(v) for v in values], minutes)
+    old, series.PIECE = series.PIECE, 7
+    try:
+        got = series.rolling_bands(rows, size, exclude_current=before, block="10 minutes").orderBy("window_start").collect()
+    finally:
+        series.PIECE = old
+    assert [r["window_start"] for r in got] == [at(m) for m in minutes]
+    for column, want in (("rolling_mean", "mean"), ("rolling_std", "std")):
+        rolling = pd.Series(values, dtype=float).shift(1 if before else 0).rolling(size)
+        for r, x in zip(got, getattr(rolling, want)()):
+            assert (r[column] is None) == math.isnan(x)
+            assert r[column] is None or abs(r[column] - x) < 1e-6
+
+
+def test_densify_in_blocks(spark):
+    minutes = [0, 3, 19, 20, 57, 58]
+    got = series.densify(points(spark, [1.0] * 6, minutes), block="7 minutes").orderBy("window_start").collect()
+    assert [(r["window_start"], r["revenue"]) for r in got] == [(at(m), float(m in minutes)) for m in range(59)]
+
+
+def test_no_task_holds_a_global_series(spark):
+    """What meets in one task are counts per block, which are aggregates of aggregates."""
+    rows = series.rolling_bands(series.densify(points(spark, [1.0] * 40)))
+    lines = rows._jdf.queryExecution().executedPlan().toString().splitlines()
+    below = [after for line, after in zip(lines, lines[1:]) if "SinglePartition" in line]
+    assert below and all("functions=[partial_" in line for line in below)
+
+
 def test_too_little_history(spark):
     few = points(spark, [1.0, 2.0, 3.0, 400.0])
     assert series.rolling_bands(few, 2, 0.1).isEmpty()

@@ -30,7 +30,7 @@ from tidegauge.operators.grain import seconds
 PERIOD = 12
 HORIZON = 30
 SUMMARY = ("**Forecast Summary:** The model predicts a total revenue of **€%s** "
-           "over the next %d minutes.")
+           "over the next %s.")
 WEIGHTS = (0.1, 0.3, 0.6)
 GRID = tuple(product(WEIGHTS, WEIGHTS, WEIGHTS))
 
@@ -121,11 +121,20 @@ def forecast(rows: DataFrame, horizon: int = HORIZON, step: str = "1 minute",
                           .alias("predicted_revenue")))
 
 
-def forecast_summary(predicted: DataFrame, horizon: int = HORIZON,
+def time_text(length: int) -> str:
+    """Seconds in their largest whole unit, minutes at least: 1800 is ``30 minutes``."""
+    for unit, size in (("day", 86_400), ("hour", 3_600), ("minute", 60)):
+        if length % size == 0 or unit == "minute":
+            number = length / size
+            return f"{number:g} {unit}{'' if number == 1 else 's'}"
+
+
+def forecast_summary(predicted: DataFrame, horizon: int = HORIZON, step: str = "1 minute",
                      series: Sequence[str] = ()) -> DataFrame:
     """Total forecast per series with its sentence; no row without a forecast."""
     return (predicted.groupBy(*series)
                      .agg(F.sum("predicted_revenue").alias("total_revenue"))
                      .filter(F.col("total_revenue").isNotNull())
                      .withColumn("summary", F.format_string(
-                         SUMMARY, grouped(F.col("total_revenue")), F.lit(horizon))))
+                         SUMMARY, grouped(F.col("total_revenue")),
+                         F.lit(time_text(horizon * seconds(step))))))

@@ -140,17 +140,20 @@ def first_two_names(products: DataFrame) -> tuple[Column, Column]:
 
 def compare_products(products: DataFrame, first: str | Column, second: str | Column,
                      metric: str = "purchases") -> DataFrame:
-    """``metric`` of two products side by side per window, 0 where one is missing.
+    """``metric`` of two products side by side, one row per window with either of them.
 
-    An outer join of the rows: a name carried by several product ids has several
-    rows in a window, and each meets each row of the other name there.
+    A product without rows in a window counts 0 there; a name carried by several product
+    ids counts with all of them. One pass and one grouping, no join.
     """
-    def series(name: str | Column, column: str) -> DataFrame:
-        return (products.filter(F.col("product_name") == name)
-                        .select("window_start", F.col(metric).alias(column)))
+    first, second = (F.lit(n) if isinstance(n, str) else n for n in (first, second))
+    name = F.col("product_name")
 
-    joined = series(first, "product_1").join(series(second, "product_2"), "window_start", "full_outer")
-    return joined.na.fill(0, ["product_1", "product_2"]).orderBy("window_start")
+    def total(of: Column) -> Column:
+        return F.coalesce(F.sum(F.when(name == of, F.col(metric))), F.lit(0))
+
+    return (products.filter((name == first) | (name == second))
+                    .groupBy("window_start").agg(total(first).alias("product_1"), total(second).alias("product_2"))
+                    .orderBy("window_start"))
 
 
 def revenue_rollup(products: DataFrame) -> DataFrame:

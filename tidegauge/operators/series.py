@@ -1,16 +1,18 @@
 """Regular time series, rolling bands and anomalies.
 
 Series are rows after aggregation, one per time step and series key, so their
-length grows with the time covered and not with the events behind them. Every
-window below is partitioned by the series key; the one global series (no key) is
-as long as the number of time steps.
+length grows with the time covered and not with the events behind them. Windows
+are partitioned by the series key. The one global series (no key) is cut into
+blocks of time, so that no task holds it all: what a block needs of the others is
+their row counts and first times (one small row per block), and for rolling values
+the last points before it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from tidegauge.functions.text import clock, grouped
 from tidegauge.operators.grain import seconds, span
@@ -19,20 +21,36 @@ from tidegauge.operators.grain import seconds, span
 MIN_POINTS = 5
 ALERT = ("**Latest Anomaly Alert:** Revenue of **€%s** was detected at **%s**, "
          "which is outside the expected range.")
+# Time that a block of a global series covers, and rows of a piece of one.
+BLOCK = "30 days"
+PIECE = 10_000
+NO_BLOCK = -(1 << 62)
 
 
 def _by(series: Sequence[str]) -> WindowSpec:
-    return Window.partitionBy(*series) if series else Window.partitionBy(F.lit(0))
+    return Window.partitionBy(*series)
+
+
+def in_blocks(rows: DataFrame, ts: str, length: str) -> DataFrame:
+    """The rows with their ``block`` of that length of time, and in ``blocks`` all blocks
+    in order with their row counts ``n`` and ``first`` times."""
+    rows = rows.withColumn("block", F.floor(F.unix_micros(F.col(ts).cast("timestamp"))
+                                            / (seconds(length) * 1_000_000)).cast("bigint"))
+    each = rows.groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.min(ts).alias("first"))
+    every = each.agg(F.array_sort(F.collect_list(F.struct("block", "n", "first")))).scalar()
+    return rows.withColumn("blocks", every)
 
 
 def with_min_points(rows: DataFrame, at_least: int, series: Sequence[str] = ()) -> DataFrame:
     """Only series with enough points."""
+    if not series:
+        return rows.filter(rows.agg(F.count(F.lit(1))).scalar() >= at_least)
     return (rows.withColumn("points", F.count(F.lit(1)).over(_by(series)))
                 .filter(F.col("points") >= at_least).drop("points"))
 
 
 def densify(rows: DataFrame, step: str = "1 minute", series: Sequence[str] = (),
-            ts: str = "window_start", value: str = "revenue") -> DataFrame:
+            ts: str = "window_start", value: str = "revenue", block: str = BLOCK) -> DataFrame:
     """A row per ``step`` from first to last point of each series, 0 where there was none.
 
     Times off the grid that starts at the first point are left out. Each point
@@ -40,13 +58,18 @@ def densify(rows: DataFrame, step: str = "1 minute", series: Sequence[str] = (),
     the only shuffle is by series key.
     """
     length = seconds(step)
-    in_order = _by(series).orderBy(ts)
-    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = (rows.filter(F.col(ts).isNotNull())
-                .withColumn("first_point", F.first(ts).over(so_far))
-                .filter(F.timestamp_diff("MICROSECOND", F.col("first_point"), F.col(ts))
-                        % (length * 1_000_000) == 0)
-                .withColumn("next_point", F.lead(ts).over(in_order)))
+    rows = rows.filter(F.col(ts).isNotNull())
+    if series:
+        in_order = _by(series).orderBy(ts)
+        so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        rows = _on_grid(rows.withColumn("first_point", F.first(ts).over(so_far)), ts, length)
+        rows = rows.withColumn("next_point", F.lead(ts).over(in_order))
+    else:
+        rows = _on_grid(rows.withColumn("first_point", rows.agg(F.min(ts)).scalar()), ts, length)
+        rows = in_blocks(rows, ts, block)
+        later = F.filter("blocks", lambda b: b["block"] > F.col("block"))
+        rows = rows.withColumn("next_point", F.coalesce(
+            F.lead(ts).over(Window.partitionBy("block").orderBy(ts)), F.try_element_at(later, F.lit(1))["first"]))
     last_filled = F.coalesce(F.col("next_point") - span(length), F.col(ts))
     return (rows.withColumn("at", F.explode(F.sequence(F.col(ts), last_filled, span(length))))
                 .select(*series, F.col("at").alias(ts),
@@ -54,9 +77,14 @@ def densify(rows: DataFrame, step: str = "1 minute", series: Sequence[str] = (),
                          .otherwise(0).cast("double").alias(value)))
 
 
+def _on_grid(rows: DataFrame, ts: str, length: int) -> DataFrame:
+    apart = F.timestamp_diff("MICROSECOND", F.col("first_point"), F.col(ts))
+    return rows.filter(apart % (length * 1_000_000) == 0)
+
+
 def rolling_bands(rows: DataFrame, size: int = 10, deviations: float = 2.0,
                   series: Sequence[str] = (), ts: str = "window_start", value: str = "revenue",
-                  exclude_current: bool = False) -> DataFrame:
+                  exclude_current: bool = False, block: str = BLOCK) -> DataFrame:
     """Rolling mean and sample deviation, bands around the mean and the anomaly flag.
 
     Undefined (null) until ``size`` values are there, and then not flagged. The
@@ -65,9 +93,15 @@ def rolling_bands(rows: DataFrame, size: int = 10, deviations: float = 2.0,
     values before it.
     """
     frame = (-size, -1) if exclude_current else (-(size - 1), 0)
-    recent = _by(series).orderBy(ts).rowsBetween(*frame)
-    full = F.count(value).over(recent) == size
     rows = with_min_points(rows, MIN_POINTS, series)
+    columns = rows.columns
+    if series:
+        recent = _by(series).orderBy(ts).rowsBetween(*frame)
+        rows = rows.withColumn("context", F.lit(False))
+    else:
+        rows = _with_context(rows, ts, block, size)
+        recent = Window.partitionBy("piece").orderBy("place").rowsBetween(*frame)
+    full = F.count(value).over(recent) == size
     rows = rows.withColumns({
         "rolling_mean": F.when(full, F.avg(value).over(recent)),
         "rolling_std": F.when(full, F.stddev_samp(value).over(recent)),
@@ -76,10 +110,30 @@ def rolling_bands(rows: DataFrame, size: int = 10, deviations: float = 2.0,
         "upper_band": F.col("rolling_mean") + F.col("rolling_std") * deviations,
         "lower_band": F.col("rolling_mean") - F.col("rolling_std") * deviations,
     })
+    rows = rows.filter(~F.col("context")).select(
+        *columns, "rolling_mean", "rolling_std", "upper_band", "lower_band")
     outside = (F.col(value) > F.col("upper_band")) | (F.col(value) < F.col("lower_band"))
     return rows.withColumn("anomaly", F.coalesce(outside, F.lit(False)))
 
 
+def _with_context(rows: DataFrame, ts: str, block: str, size: int) -> DataFrame:
+    """The rows in pieces of PIECE in time order, each with the ``size`` rows before it as
+    ``context``; ``place`` is the row's place in the whole series. Rows without a time
+    come first."""
+    rows = in_blocks(rows, ts, block)
+    here = F.coalesce(F.col("block"), F.lit(NO_BLOCK))
+    before = F.aggregate(F.filter("blocks", lambda b: F.coalesce(b["block"], F.lit(NO_BLOCK)) < here),
+                         F.lit(0).cast("bigint"), lambda total, b: total + b["n"])
+    nth = F.row_number().over(Window.partitionBy("block").orderBy(ts))
+    rows = rows.withColumn("place", before + nth - 1)
+    length = max(PIECE, size)
+    piece = F.floor(F.col("place") / length)
+    # A row near the end of a piece is context of the next one too.
+    copies = F.when(F.col("place") % length >= length - size, F.array(piece, piece + 1)).otherwise(F.array(piece))
+    return (rows.withColumn("piece", F.explode(copies))
+                .withColumn("context", F.col("piece") > piece).drop("block", "blocks"))
+
+
 def anomalies(bands: DataFrame, series: Sequence[str] = (), ts: str = "window_start",
               value: str = "revenue") -> DataFrame:
     return bands.filter("anomaly").select(*series, ts, F.col(value).alias("anomalous_revenue"),

@@ -85,6 +85,14 @@ def with_tables(grain: str, body: str, *more: str) -> str:
     return "with " + ",\n".join(ctes) + "\n" + body
 
 
+def with_missing(columns: list[str], table: str, body: str) -> str:
+    """``body`` over the weekly table, every fifth event without its values in the columns."""
+    gaps = ", ".join(f"case when cast(event_id as bigint) % 5 <> 0 then {c} end as {c}" for c in columns)
+    tables = {"c": _category, "b": _behavior}
+    return "with " + ",\n".join([EVENTS, f"gaps as (select * replace ({gaps}) from ev)", spread("weekly", "gaps"),
+                                 f"{table} as ({tables[table]('w')})"]) + "\n" + body
+
+
 def latest(body: str, *more: str) -> str:
     """``body`` over tl, cl, bl: the tables at the latest weekly window."""
     newest = "(select max(window_start) from b)"
@@ -218,6 +226,9 @@ ORACLES: dict[str, str] = {
   revenue as event_revenue from ev""",
     "catalog_enrichment": f"""with {EVENTS} select event_id, product_id, product_name, category
   from ev""",
+    "catalog_join": f"""with {EVENTS} select event_id, product_id, p_name as product_name,
+  p_type as category, p_retailprice as list_price
+  from ev left join part on product_id = 'SKU_' || p_partkey""",
     "publish_payload": f"""with {EVENTS} select user_id as key, event_id,
   strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%f') as timestamp, user_id, event_type, product_id,
   price, revenue as event_revenue, quantity from ev""",
@@ -240,6 +251,13 @@ ORACLES: dict[str, str] = {
   'trending_products:' || {_KEY_TIME} || '_' || coalesce(product_id, 'unknown_product') as serving_key,
   strftime(window_start, '%Y-%m-%dT%H:%M:%S.000Z') as window_start_text, product_name,
   total_events, conversion_rate from t"""),
+    "serving_keys_behavior": with_missing(["user_agent", "source"], "b", f"""select
+  'user_behavior:' || {_KEY_TIME} || '_' || coalesce(user_agent, 'unknown_ua') || '_'
+    || coalesce(source, 'unknown_source') as serving_key, total_events from b"""),
+    "serving_keys_category": with_missing(["category"], "c", f"""select
+  'category_analytics:' || {_KEY_TIME} || '_' || coalesce(category, 'unknown_category') as serving_key,
+  total_events from c"""),
+    "windows_without_bad_times": with_tables("weekly", "select * from c"),
     "serving_clean_read": with_tables("weekly", "select * from b"),
     "latest_window_products": latest("select * from tl"),
     "kpi_snapshot": latest(f"""select {half_up('coalesce(sum(revenue), 0.0)', 2)} as total_revenue,
@@ -300,12 +318,11 @@ from (select window_start, category, sum(coalesce(revenue, 0.0)) as r,
              sum(sum(coalesce(revenue, 0.0))) over (partition by window_start) as whole
       from w group by window_start, category)"""),
     "product_names": f"with {EVENTS} select distinct product_name from ev",
-    "product_compare": with_tables("weekly", """select
-  coalesce(p1.window_start, p2.window_start) as window_start,
-  coalesce(p1.purchases, 0) as product_1, coalesce(p2.purchases, 0) as product_2
-from (select * from t where product_name = (select name from names where nth = 1)) p1
-full join (select * from t where product_name = (select max(name) from names where nth <= 2)) p2
-  on p1.window_start = p2.window_start""",
+    "product_compare": with_tables("weekly", """select window_start,
+  coalesce(sum(purchases) filter (where product_name = a), 0)::bigint as product_1,
+  coalesce(sum(purchases) filter (where product_name = b), 0)::bigint as product_2
+from t, (select min(name) as a, max(name) as b from names where nth <= 2)
+where product_name = a or product_name = b group by window_start""",
         """names as (select product_name as name, row_number() over (order by product_name) as nth
              from (select distinct product_name from ev where product_name is not null))"""),
     "channel_revenue_pivot": with_tables("hourly", "select window_start, " + ", ".join(
@@ -331,6 +348,6 @@ from bands where anomaly order by window_start desc limit 1""", _HOURLY_RAW, _BA
   {half_up('predicted_revenue', 4)} as predicted_revenue from f""", _CATEGORY_RAW, _DENSE, _FORECAST),
     "forecast_total": _hourly(f"""select {half_up('sum(predicted_revenue)', 2)} as total_revenue,
   '**Forecast Summary:** The model predicts a total revenue of **€' ||
-    {_money('sum(predicted_revenue)')} || '** over the next {HORIZON} minutes.' as summary
+    {_money('sum(predicted_revenue)')} || '** over the next 30 hours.' as summary
 from f""", _HOURLY_RAW, _DENSE, _FORECAST),
 }

@@ -14,7 +14,9 @@ from tidegauge.operators.grain import HOURLY, Grain
 from tidegauge.operators.latest import at_latest_window, latest_window_table
 from tidegauge.operators.windowed import (
     CATEGORY_ANALYTICS, TRENDING_PRODUCTS, USER_BEHAVIOR, WindowTable, window_table, window_totals)
-from tidegauge.plans.adapter import SOURCES, event_stream, raw_events, shop_events
+from tidegauge.operators.events import with_catalog
+from tidegauge.plans.adapter import SOURCES, event_stream, raw_events, read_parts_table, shop_events
+from tidegauge.sources.catalog import read_catalog
 from tidegauge.session import tune
 from tidegauge.settings import Settings, shared_root
 from tidegauge.sources.decode import decode_messages, rejected_messages
@@ -104,6 +106,18 @@ def catalog_enrichment(spark, sf_dir):
     return raw_events(spark, sf_dir).select("event_id", "product_id", "product_name", "category")
 
 
+@query
+def catalog_join(spark, sf_dir):
+    """Events against a stored catalog made from the parts, name, category and price from it."""
+    path = f"{fresh_root(spark)}/catalog"
+    parts = read_parts_table(spark, sf_dir)
+    parts.select(F.concat(F.lit("SKU_"), F.col("p_partkey").cast("string")).alias("product_id"),
+                 F.col("p_name").alias("product_name"), F.col("p_type").alias("category"),
+                 F.col("p_retailprice").alias("price")).write.parquet(path)
+    bare = raw_events(spark, sf_dir).select("event_id", "product_id")
+    return with_catalog(bare, read_catalog(spark, path)).withColumnRenamed("price", "list_price")
+
+
 @query
 def publish_payload(spark, sf_dir):
     messages = to_messages(raw_events(spark, sf_dir))
@@ -193,12 +207,11 @@ def serving_latest(spark, sf_dir):
 @query
 def serving_unexpired(spark, sf_dir):
     """Rows last written at their window's end; now is the end of the newest window."""
-    totals = window_totals(shop_events(spark, sf_dir), USER_BEHAVIOR)
-    parts = totals.withColumns({"part": F.lit(0), "written_at": F.col("window_end"),
-                                "run": F.lit("r1"), "batch": F.lit(0)})
-    newest = latest_window_table(shop_events(spark, sf_dir), USER_BEHAVIOR)
-    now = newest.agg(F.max("window_end")).scalar()
-    return (serving.latest_rows(parts, USER_BEHAVIOR, now=now, ttl="1 hour")
+    root, events = fresh_root(spark), shop_events(spark, sf_dir)
+    serving.write_batch(window_totals(events, USER_BEHAVIOR), 0, root, USER_BEHAVIOR, "r1",
+                        written_at=F.col("window_end"))
+    now = latest_window_table(events, USER_BEHAVIOR).agg(F.max("window_end")).scalar()
+    return (serving.read_latest(spark, root, USER_BEHAVIOR, now=now, ttl="1 hour")
             .select(*USER_BEHAVIOR.columns))
 
 
@@ -214,6 +227,35 @@ def serving_keys(spark, sf_dir):
         F.get_json_object("value", "$.conversion_rate").cast("double").alias("conversion_rate"))
 
 
+def _some_missing(events: DataFrame, *columns: str) -> DataFrame:
+    """Every fifth event without its values in those columns."""
+    fifth = F.col("event_id").cast("bigint") % 5 == 0
+    return events.withColumns({c: F.when(~fifth, F.col(c)) for c in columns})
+
+
+@query
+def serving_keys_behavior(spark, sf_dir):
+    events = _some_missing(shop_events(spark, sf_dir), "user_agent", "source")
+    values = serving.as_key_values(window_table(events, USER_BEHAVIOR, WEEKLY), USER_BEHAVIOR)
+    return values.select("serving_key", F.get_json_object("value", "$.total_events")
+                         .cast("bigint").alias("total_events"))
+
+
+@query
+def serving_keys_category(spark, sf_dir):
+    events = _some_missing(shop_events(spark, sf_dir), "category")
+    values = serving.as_key_values(window_table(events, CATEGORY_ANALYTICS, WEEKLY), CATEGORY_ANALYTICS)
+    return values.select("serving_key", F.get_json_object("value", "$.total_events")
+                         .cast("bigint").alias("total_events"))
+
+
+@query
+def windows_without_bad_times(spark, sf_dir):
+    """Messages with bad times decode to events without a time, which no window holds."""
+    events = decode_messages(_messages_with_rubbish(spark, sf_dir))
+    return window_table(events, CATEGORY_ANALYTICS, WEEKLY)
+
+
 @query
 def serving_clean_read(spark, sf_dir):
     """Values stored with a cut copy, a copy with a bad time and an empty value each."""
@@ -333,8 +375,10 @@ def product_names(spark, sf_dir):
 @query
 def product_compare(spark, sf_dir):
     events = shop_events(spark, sf_dir)
-    products = window_table(events, TRENDING_PRODUCTS.without_users(), WEEKLY)
-    return reports.compare_products(products, *reports.first_two_names(events))
+    first, second = reports.first_two_names(events)
+    both = events.filter((F.col("product_name") == first) | (F.col("product_name") == second))
+    products = window_table(both, TRENDING_PRODUCTS.without_users(), WEEKLY)
+    return reports.compare_products(products, first, second)
 
 
 @query
@@ -406,4 +450,4 @@ def category_forecast(spark, sf_dir):
 @query
 def forecast_total(spark, sf_dir):
     dense = series.densify(_hourly_revenue(spark, sf_dir), "1 hour")
-    return forecast_summary(forecast(dense, step="1 hour"))
+    return forecast_summary(forecast(dense, step="1 hour"), step="1 hour")

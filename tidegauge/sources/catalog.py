@@ -6,46 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegauge.schema import CATALOG_SCHEMA
 
-# Product id | name | category | list price.
-DEFAULT_CATALOG = """
-SKU_iphone_15|Apple iPhone 15|Smartphones|850.00
-SKU_nike_airmax|Nike Air Max|Shoes|149.99
-SKU_macbook_pro|MacBook Pro|Laptops|1899.00
-SKU_logitech_mouse|Logitech Wireless Mouse|Accessories|46.90
-SKU_adidas_shirt|Adidas Running Shirt|Clothing|29.99
-SKU_samsung_tv|Samsung 4K TV|Electronics|3999.00
-SKU_kindle_paperwhite|Kindle Paperwhite|Electronics|134.99
-SKU_sony_headphones|Sony Noise Cancelling Headphones|Audio|299.99
-SKU_gopro_hero|GoPro Hero 12|Cameras|499.99
-SKU_fitbit_charge|Fitbit Charge 6|Wearables|149.95
-SKU_dell_xps|Dell XPS 13|Laptops|1299.00
-SKU_samsung_galaxy_tab|Samsung Galaxy Tab S8|Tablets|649.99
-SKU_bose_soundlink|Bose SoundLink Revolve+|Audio|199.99
-SKU_asus_rog_laptop|ASUS ROG Zephyrus G14|Gaming Laptops|1799.00
-SKU_nintendo_switch|Nintendo Switch OLED Model|Gaming Consoles|349.99
-SKU_smartwatch_apple|Apple Watch Series 9|Wearables|399.99
-SKU_google_pixel_phone|Google Pixel 8 Pro|Smartphones|999.99
-SKU_roku_streaming_stick|Roku Streaming Stick 4K|Streaming Devices|49.99
-SKU_jbl_flip5|JBL Flip 5 Portable Speaker|Audio|89.95
-SKU_philips_air_fryer|Philips Air Fryer XXL|Home Appliances|249.99
-SKU_smart_light_bulb|Philips Hue Smart Light Bulb|Smart Home|49.99
-SKU_roomba_robot_vacuum|iRobot Roomba 694 Robot Vacuum|Home Appliances|299.99
-SKU_samsung_galaxy_watch|Samsung Galaxy Watch 6|Wearables|349.99
-SKU_anker_powerbank|Anker PowerCore 20100mAh Power Bank|Accessories|39.99
-SKU_logitech_keyboard|Logitech K380 Multi-Device Bluetooth Keyboard|Accessories|49.99
-SKU_samsung_galaxy_buds|Samsung Galaxy Buds2 Pro|Audio|199.99
-SKU_microsoft_surface_pro|Microsoft Surface Pro 9|Tablets|999.99
-SKU_apple_airpods_pro|Apple AirPods Pro 2nd Gen|Audio|249.99
-SKU_sony_ps5|Sony PlayStation 5 Console|Gaming Consoles|499.99
-SKU_xbox_series_x|Xbox Series X Console|Gaming Consoles|499.99
-"""
-
-
-def default_catalog(spark: SparkSession) -> DataFrame:
-    rows = [line.split("|") for line in DEFAULT_CATALOG.split("\n") if line]
-    return spark.createDataFrame([(i, n, c, float(p)) for i, n, c, p in rows], CATALOG_SCHEMA)
-
-
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     """A catalog stored as Parquet; columns it lacks come back null."""
     return spark.read.schema(CATALOG_SCHEMA).parquet(path)
