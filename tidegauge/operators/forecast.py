@@ -31,7 +31,7 @@ PERIOD = 12
 HORIZON = 30
 SUMMARY = ("**Forecast Summary:** The model predicts a total revenue of **€%s** "
            "over the next %s.")
-WEIGHTS = (0.1, 0.3, 0.6)
+WEIGHTS = (0.1, 0.3, 0.6, 0.95)
 GRID = tuple(product(WEIGHTS, WEIGHTS, WEIGHTS))
 
 
@@ -105,6 +105,15 @@ def fit(rows: DataFrame, series: Sequence[str] = (), ts: str = "window_start",
     return whole.select(*series, "last", _fitter(period, grid)(F.col("y")).alias("state"))
 
 
+def history(rows: DataFrame, series: Sequence[str] = (), ts: str = "window_start",
+            period: int = PERIOD) -> DataFrame:
+    """Per series its ``points`` and ``status``: ``forecast``, or ``too_short`` for those
+    under two seasons, which :func:`fit` leaves out."""
+    points = F.count(ts)
+    return (rows.groupBy(*series).agg(points.alias("points"))
+                .withColumn("status", F.when(F.col("points") >= 2 * period, "forecast").otherwise("too_short")))
+
+
 def forecast(rows: DataFrame, horizon: int = HORIZON, step: str = "1 minute",
              series: Sequence[str] = (), ts: str = "window_start", value: str = "revenue",
              period: int = PERIOD,

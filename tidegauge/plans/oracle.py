@@ -350,4 +350,11 @@ from bands where anomaly order by window_start desc limit 1""", _HOURLY_RAW, _BA
   '**Forecast Summary:** The model predicts a total revenue of **€' ||
     {_money('sum(predicted_revenue)')} || '** over the next 30 hours.' as summary
 from f""", _HOURLY_RAW, _DENSE, _FORECAST),
+    "forecast_history": _hourly("""select category, count(*) as points,
+  case when count(*) >= 24 then 'forecast' else 'too_short' end as status, 'hour' as step
+from d group by category
+union all
+select category, count(distinct week), case when count(distinct week) >= 24 then 'forecast' else 'too_short' end, 'week'
+from (select category, epoch_us(event_timestamp) // 604800000000 as week from ev) group by category""",
+                                _CATEGORY_RAW, _DENSE),
 }

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tidegauge.operators import reports, series
-from tidegauge.operators.forecast import forecast, forecast_summary
+from tidegauge.operators.forecast import forecast, forecast_summary, history
 from tidegauge.operators.grain import HOURLY, Grain
 from tidegauge.operators.latest import at_latest_window, latest_window_table
 from tidegauge.operators.windowed import (
@@ -451,3 +451,12 @@ def category_forecast(spark, sf_dir):
 def forecast_total(spark, sf_dir):
     dense = series.densify(_hourly_revenue(spark, sf_dir), "1 hour")
     return forecast_summary(forecast(dense, step="1 hour"), step="1 hour")
+
+
+@query
+def forecast_history(spark, sf_dir):
+    """Series by the hour have a forecast; by the week they are too short for one."""
+    weeks = window_table(shop_events(spark, sf_dir), CATEGORY_ANALYTICS, Grain("7 days", None))
+    hours = series.densify(_hourly_by_category(spark, sf_dir), "1 hour", ["category"])
+    return (history(hours, ["category"]).withColumn("step", F.lit("hour"))
+            .union(history(weeks, ["category"]).withColumn("step", F.lit("week"))))

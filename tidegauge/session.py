@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import SparkSession
 
 SESSION_CONF = {
@@ -24,10 +26,16 @@ SESSION_CONF = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Give an existing session what it does not set itself; times are always UTC."""
-    own = spark.conf.getAll
+    """Give an existing session what it does not set itself; times are always UTC.
+
+    The settings hold for everything else in that session too, so a change of its own
+    time zone is reported as a warning.
+    """
+    zone, own = "spark.sql.session.timeZone", spark.conf.getAll
+    if own.get(zone, SESSION_CONF[zone]) != SESSION_CONF[zone]:
+        warnings.warn(f"the session's time zone {own[zone]} is set to UTC", stacklevel=2)
     for key, value in SESSION_CONF.items():
-        if key not in own or key == "spark.sql.session.timeZone":
+        if key not in own or key == zone:
             spark.conf.set(key, value)
     return spark
 

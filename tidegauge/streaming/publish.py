@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidegauge.schema import EVENT_SCHEMA
 from tidegauge.settings import Settings
 
-# Producer settings of the message sink.
+# Producer settings unless others are given.
 PRODUCER_OPTIONS = {
     "kafka.acks": "all",
     "kafka.retries": "5",
@@ -28,19 +28,21 @@ def to_messages(events: DataFrame) -> DataFrame:
                          F.to_json(F.struct(*fields)).alias("value"))
 
 
-def kafka_sink_options(settings: Settings) -> dict[str, str]:
+def kafka_sink_options(settings: Settings, producer: dict[str, str] | None = None) -> dict[str, str]:
+    """``producer`` replaces or adds to ``PRODUCER_OPTIONS``."""
     return {"kafka.bootstrap.servers": settings.bootstrap_servers, "topic": settings.topic,
-            **PRODUCER_OPTIONS}
+            **PRODUCER_OPTIONS, **(producer or {})}
 
 
-def publish(events: DataFrame, settings: Settings) -> None:
+def publish(events: DataFrame, settings: Settings, producer: dict[str, str] | None = None) -> None:
     """Send a batch of events; needs the Kafka package of Spark on the class path."""
-    to_messages(events).write.format("kafka").options(**kafka_sink_options(settings)).save()
+    to_messages(events).write.format("kafka").options(**kafka_sink_options(settings, producer)).save()
 
 
-def start_publishing(events: DataFrame, settings: Settings, checkpoint: str) -> StreamingQuery:
+def start_publishing(events: DataFrame, settings: Settings, checkpoint: str,
+                     producer: dict[str, str] | None = None) -> StreamingQuery:
     """Send a stream of events; delivery is at least once."""
     return (to_messages(events).writeStream.queryName("publish_events")
-            .format("kafka").options(**kafka_sink_options(settings))
+            .format("kafka").options(**kafka_sink_options(settings, producer))
             .option("checkpointLocation", checkpoint)
             .trigger(processingTime=settings.trigger).start())
