@@ -215,6 +215,12 @@ w as (select * from all_windows where not late or window_end > watermark)"""
 
 _KEY_TIME = "strftime(window_start, '%Y-%m-%dT%H_%M_%S_000Z')"
 
+_KPIS = f"""select {half_up('coalesce(sum(revenue), 0.0)', 2)} as total_revenue,
+  cast(coalesce(sum(purchases), 0) as bigint) as total_purchases,
+  cast(coalesce(sum(clicks), 0) as bigint) as total_clicks,
+  case when sum(clicks) > 0 then {half_up('sum(purchases) / sum(clicks) * 100', 4)}
+       else 0.0 end as overall_conversion_rate from tl"""
+
 ORACLES: dict[str, str] = {
     "decoded_events": f"""with {EVENTS} select event_id, event_timestamp, user_id, event_type,
   product_id, product_name, category, price, quantity, revenue, user_agent, source from ev""",
@@ -260,11 +266,13 @@ ORACLES: dict[str, str] = {
     "windows_without_bad_times": with_tables("weekly", "select * from c"),
     "serving_clean_read": with_tables("weekly", "select * from b"),
     "latest_window_products": latest("select * from tl"),
-    "kpi_snapshot": latest(f"""select {half_up('coalesce(sum(revenue), 0.0)', 2)} as total_revenue,
-  cast(coalesce(sum(purchases), 0) as bigint) as total_purchases,
-  cast(coalesce(sum(clicks), 0) as bigint) as total_clicks,
-  case when sum(clicks) > 0 then {half_up('sum(purchases) / sum(clicks) * 100', 4)}
-       else 0.0 end as overall_conversion_rate from tl"""),
+    "kpi_snapshot": latest(_KPIS),
+    "kpi_snapshot_lagging": "with " + ",\n".join([
+        EVENTS, "old as (select * from ev where event_timestamp < (select date_trunc('day', max(event_timestamp)) from ev))",
+        spread("weekly"), spread("weekly", "old", "wo"), f"told as ({_trending('wo')})", f"b as ({_behavior('w')})",
+        "tl as (select * from told where window_start = (select max(window_start) from b))"]) + "\n" + _KPIS,
+    "latest_complete_window": with_tables("weekly", """select * from c where window_start = (
+  select max(window_start) from c where window_end <= (select max(window_start) from c))"""),
     "overview_headlines": latest(f"""select *,
   'Live Snapshot (Window starting at ' || strftime(window_start, '%H:%M:%S') || ')' as title,
   '€' || {_money('total_revenue')} as revenue_text,

@@ -287,6 +287,23 @@ def kpi_snapshot(spark, sf_dir):
                                 _latest(spark, sf_dir, USER_BEHAVIOR))
 
 
+@query
+def kpi_snapshot_lagging(spark, sf_dir):
+    """Products stop a day before behavior does, so the common newest window has none of them."""
+    events = shop_events(spark, sf_dir)
+    newest_day = events.agg(F.date_trunc("day", F.max("event_timestamp"))).scalar()
+    products = window_table(events.filter(F.col("event_timestamp") < newest_day), TRENDING_PRODUCTS, WEEKLY)
+    behavior = window_table(events, USER_BEHAVIOR, WEEKLY)
+    return reports.kpi_snapshot(products, behavior)
+
+
+@query
+def latest_complete_window(spark, sf_dir):
+    """The newest window that had ended when the newest of all opened."""
+    return at_latest_window(window_table(shop_events(spark, sf_dir), CATEGORY_ANALYTICS, WEEKLY),
+                            complete_only=True)
+
+
 @query
 def overview_headlines(spark, sf_dir):
     return reports.overview(_latest(spark, sf_dir, TRENDING_PRODUCTS),
