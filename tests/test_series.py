@@ -209,3 +209,16 @@ def test_series_are_independent(spark):
         alone = forecast(points(spark, values), horizon=3)
         assert tuples(together.filter(F.col("name") == name), "timestamp", "predicted_revenue") == \
             tuples(alone, "timestamp", "predicted_revenue")
+
+
+def test_series_of_any_lengths_are_fitted_in_groups(spark):
+    """The same fits whether a batch is padded as a whole or series by series."""
+    from tidegauge.operators.forecast import _fitter
+    rows = [[math.sin(i / 3) + i * 0.01 * k for i in range(24 + 13 * k)] for k in (3, 0, 7, 1, 7)]
+    values = pd.Series(rows)
+    one, many = (_fitter(12, GRID, cells).func(values) for cells in (1 << 20, 60))
+    assert len(one) == 5 and one[["alpha", "beta", "gamma"]].equals(many[["alpha", "beta", "gamma"]])
+    for a, b in zip(one.itertuples(index=False), many.itertuples(index=False)):
+        assert (a.level, a.trend, a.sse) == pytest.approx((b.level, b.trend, b.sse))
+        assert a.season == pytest.approx(b.season)
+    assert len(_fitter(12, GRID).func(pd.Series([], dtype=object))) == 0

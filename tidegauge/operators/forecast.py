@@ -33,13 +33,15 @@ SUMMARY = ("**Forecast Summary:** The model predicts a total revenue of **€%s*
            "over the next %s.")
 WEIGHTS = (0.1, 0.3, 0.6, 0.95)
 GRID = tuple(product(WEIGHTS, WEIGHTS, WEIGHTS))
+# Points, padding included, that a step of the fit holds at most beside one whole series.
+CELLS = 1 << 20
 
 
 STATE = ("struct<alpha: double, beta: double, gamma: double, level: double, trend: double, "
          "season: array<double>, sse: double>")
 
 
-def _fitter(period: int, grid: Sequence[tuple[float, float, float]]):
+def _fitter(period: int, grid: Sequence[tuple[float, float, float]], cells: int = CELLS):
     """UDF from arrays of at least two seasons to the best weights and final state.
 
     All it needs is in its closure, so workers need numpy and pandas only.
@@ -47,6 +49,18 @@ def _fitter(period: int, grid: Sequence[tuple[float, float, float]]):
     grid = [tuple(map(float, weights)) for weights in grid]
 
     def fit_batch(series: pd.Series) -> pd.DataFrame:
+        """Series of about the same length together, so that padding stays within ``cells``."""
+        lengths = series.map(len).to_numpy()
+        order, done, at = np.argsort(-lengths, kind="stable"), [], 0
+        while at < len(order):
+            stop = at + max(1, cells // max(1, int(lengths[order[at]])))
+            done.append(fit_some(series.iloc[order[at:stop]]))
+            at = stop
+        columns = ["alpha", "beta", "gamma", "level", "trend", "season", "sse"]
+        out = pd.concat(done, ignore_index=True) if done else pd.DataFrame([], columns=columns)
+        return out.iloc[np.argsort(order)].reset_index(drop=True)
+
+    def fit_some(series: pd.Series) -> pd.DataFrame:
         alpha, beta, gamma = np.array(grid).T
         lengths = series.map(len).to_numpy()
         order = np.argsort(-lengths, kind="stable")  # longest first: the active ones lead
