@@ -95,6 +95,8 @@ def test_drop_keeps_columns_and_clean_rows(spark):
     kept = d.drop_contaminated(docs, bench)
     assert kept.columns == docs.columns
     assert sorted((r["doc_id"], r["n_words"]) for r in kept.collect()) == [(2, 6), (3, 7), (3, 8)]
+    again = d.drop_contaminated(docs, bench, block_bytes=10)
+    assert again.columns == docs.columns and sorted(again.collect(), key=repr) == sorted(kept.collect(), key=repr)
     found = d.contaminated_spans(docs, bench).collect()
     assert {len(r["items"]) for r in found} == {0, 1}
     assert d.contaminated_spans(docs.limit(0), bench).count() == 0

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from tidegauge.settings import shared_root
 
 #: Bytes of text that one step of an operator looks at; a longer text is looked at alone.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -47,43 +47,58 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0]: offsets[-1]], offsets - offsets[0]
 
 
-def pieces(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
-    """Slices of the batch with about PIECE_BYTES of text each."""
-    at, sizes = 0, pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+def spans(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Places and lengths of slices with about PIECE_BYTES of text each."""
+    at, sizes = 0, pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes, dtype=np.int64)
     while at < len(sizes):
         before = ends[at - 1] if at else 0
         stop = max(at + 1, int(np.searchsorted(ends, before + PIECE_BYTES, "right")))
-        yield batch.slice(at, stop - at)
+        yield at, stop - at
         at = stop
 
 
+def pieces(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
+    for at, n in spans(batch.column(text)):
+        yield batch.slice(at, n)
+
+
+#: As ``keep``: the whole input row as one column of that name, clear of any computed one.
+WHOLE = "__row"
+
+
 def with_text_columns(frame: DataFrame, text: str, fields: T.StructType | str,
                       make: Callable[[], Callable[[pa.Array], list[pa.Array]]],
-                      keep: list[str] | None = None) -> DataFrame:
+                      keep: list[str] | str | None = None) -> DataFrame:
     """The kept columns (all by default), then columns computed from whole texts.
 
     ``make()`` runs once per task and returns a function from a piece of the text column
     to one array per field. A computed column takes the place of a kept one of its name.
     """
-    keep = frame.columns if keep is None else keep
+    names = frame.columns if keep is None or keep == WHOLE else list(keep)
     fields = T._parse_datatype_string(fields) if isinstance(fields, str) else fields
-    source = frame.select(F.struct(*[column(c) for c in keep]).alias("row") if keep
+    # A kept text is sent once, within the row.
+    place = names.index(text) if text in names and isinstance(frame.schema[text].dataType, T.StringType) else None
+    source = frame.select(F.struct(*[column(c) for c in names]).alias("row") if names
                           else F.lit(0).alias("row"),
-                          column(text).cast("string").alias("text"))
+                          *([column(text).cast("string").alias("text")] if place is None else []))
     schema = T.StructType([source.schema["row"], *fields.fields])
-    names = schema.names
+    outputs = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
         for batch in batches:
-            for piece in pieces(batch, "text"):
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column("row"), *compute(piece.column("text"))], names)
-
-    return source.mapInArrow(run, schema).select(
-        *[F.col("row").getField(c).alias(c) for c in keep if c not in fields.names],
-        *[column(f) for f in fields.names])
+            rows = batch.column("row")
+            texts = batch.column("text") if place is None else pc.struct_field(rows, [place])
+            for at, n in spans(texts):
+                yield pa.RecordBatch.from_arrays([rows.slice(at, n), *compute(texts.slice(at, n))], outputs)
+            pa.default_memory_pool().release_unused()
+
+    found = source.mapInArrow(run, schema)
+    if keep == WHOLE:
+        return found.withColumnRenamed("row", WHOLE)
+    return found.select(*[F.col("row").getField(c).alias(c) for c in names if c not in fields.names],
+                        *[column(f) for f in fields.names])
 
 
 def numbered(frame: DataFrame, groups: list[str], order: list[str], name: str,

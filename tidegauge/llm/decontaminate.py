@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import column, settle, utf8, with_text_columns
+from tidegauge.llm.common import WHOLE, column, settle, utf8, with_text_columns
 
 #: Byte classes: 0-9, a-z and all bytes of other characters make words; A-Z are lowered.
 FOLD = np.zeros(256, np.uint8)
@@ -240,7 +240,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 SPANS = "n_words bigint, spans array<struct<first:int,stop:int>>, items array<string>"
 
 
-def _scan(docs: DataFrame, text: str, block, keep: list[str] | None) -> DataFrame:
+def _scan(docs: DataFrame, text: str, block, keep: list[str] | str | None) -> DataFrame:
     span = pa.struct([("first", pa.int32()), ("stop", pa.int32())])
 
     def make():
@@ -273,7 +273,7 @@ def _blocks(benchmark: DataFrame, item_id: str, item_text: str, block_bytes: int
 
 def contaminated_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
                        item_text: str = "text", window: int = 13, kgram: int = 5,
-                       block_bytes: int = 8 << 20, keep: list[str] | None = None) -> DataFrame:
+                       block_bytes: int = 8 << 20, keep: list[str] | str | None = None) -> DataFrame:
     """The kept columns of every row, then n_words, spans and items.
 
     spans: word places [first, stop) inside occurrences of item windows, merged and in
@@ -285,12 +285,15 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     if not 1 <= kgram <= window:
         raise ValueError("kgram must be between 1 and window")
     context = docs.sparkSession.sparkContext
-    names = docs.columns if keep is None else keep
     blocks = _blocks(benchmark, item_id, item_text, block_bytes)
     first, rows = next(blocks), next(blocks, None)
     sent = context.broadcast(build_block(first, window, kgram))
     if rows is None:
-        return _scan(docs, text, sent, names)
+        return _scan(docs, text, sent, keep)
+    if keep == WHOLE:
+        docs = docs.select(F.struct("*").alias(WHOLE), column(text).alias("__text"))
+        text, keep = "__text", [WHOLE]
+    names = docs.columns if keep is None else keep
     # Hits of the further blocks, by text: rows of equal texts have equal hits.
     keyed = docs.withColumn("__key", F.sha2(F.coalesce(column(text).cast("string"), F.lit("")), 256))
     out, more = _scan(keyed, text, sent, [*names, "__key"]), None
@@ -325,10 +328,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, share: int = 20, te
 
     A row without hits stays, so an empty text always does.
     """
-    row = docs.select(F.struct("*").alias("__row"), column(text).alias("__text"))
-    found = contaminated_spans(row, benchmark, "__text", keep=["__row"], **options)
+    found = contaminated_spans(docs, benchmark, text, keep=WHOLE, **options)
     hit = hit_words()
-    return found.filter(~((hit > 0) & (share * hit >= F.col("n_words")))).select("__row.*")
+    return found.filter(~((hit > 0) & (share * hit >= F.col("n_words")))).select(f"{WHOLE}.*")
 
 
 def hit_words() -> Column:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import column, pieces, utf8, with_text_columns
+from tidegauge.llm.common import WHOLE, column, pieces, utf8, with_text_columns
 
 BUCKETS = 1 << 16
 #: A model is at most this many languages times BUCKETS 32-bit numbers.
@@ -174,7 +174,7 @@ def select(model: Model, data: np.ndarray, at: np.ndarray, penalty: float) -> tu
 
 
 def languages(docs: DataFrame, model: Model, text: str = "text", penalty: float = 1.5,
-              keep: list[str] | None = None) -> DataFrame:
+              keep: list[str] | str | None = None) -> DataFrame:
     """The kept columns, lang_pred, score, share and languages of every row.
 
     languages: the selected set with shares, greatest first; lang_pred and share: its
@@ -211,6 +211,5 @@ def languages(docs: DataFrame, model: Model, text: str = "text", penalty: float
 
 def keep_identified(docs: DataFrame, model: Model, text: str = "text", least_share: float = 0.3) -> DataFrame:
     """The rows with letters of which one language has the given share; same columns."""
-    row = docs.select(F.struct("*").alias("__row"), column(text).alias("__text"))
-    found = languages(row, model, "__text", keep=["__row"])
-    return found.filter((F.col("lang_pred") != "und") & (F.col("share") >= least_share)).select("__row.*")
+    found = languages(docs, model, text, keep=WHOLE)
+    return found.filter((F.col("lang_pred") != "und") & (F.col("share") >= least_share)).select(f"{WHOLE}.*")

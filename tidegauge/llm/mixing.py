@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import column, pieces, settle, utf8, with_text_columns
+from tidegauge.llm.common import WHOLE, column, pieces, settle, utf8, with_text_columns
 from tidegauge.llm.decontaminate import FOLD, words_of
 
 #: Words are hashed to 2**BITS buckets; the classifier has one weight per domain and bucket.
@@ -196,7 +196,7 @@ MIXED = "n_tokens long, p array<double>, rate double"
 
 
 def with_rates(docs: DataFrame, model: Domains, steps: Steps, text: str = "text",
-               keep: list[str] | None = None) -> DataFrame:
+               keep: list[str] | str | None = None) -> DataFrame:
     """The kept columns, n_tokens (words), p (per domain of the model) and rate. Null and
     empty texts have no tokens and the prior as p. Computed columns take the place of
     input columns of their names."""
@@ -235,7 +235,6 @@ def copies(rate: str, id_col: str) -> Column:
 def mixed_documents(docs: DataFrame, model: Domains, steps: Steps, id_col: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """Each row as often as its rate asks for (not at all, once, or more); same columns."""
-    row = docs.select(F.struct("*").alias("__row"), column(text).alias("__text"), column(id_col).alias("__id"))
-    found = with_rates(row, model, steps, "__text", ["__row", "__id"])
+    found = with_rates(docs, model, steps, text, WHOLE).withColumn("__id", F.col(WHOLE).getField(id_col))
     return (found.withColumn("__n", copies("rate", "__id")).filter("__n > 0")
-            .select("__row", F.explode(F.array_repeat(F.lit(0), F.col("__n")))).select("__row.*"))
+            .select(WHOLE, F.explode(F.array_repeat(F.lit(0), F.col("__n")))).select(f"{WHOLE}.*"))
