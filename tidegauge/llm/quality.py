@@ -153,12 +153,14 @@ def judge_quality(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id
     ids = trusted_ids.select(column(id_col).alias("id")).filter("id is not null").distinct()
     rows = docs.select(column(id_col).alias("id"), column(lang).cast("string").alias("lang"),
                        column(text).cast("string").alias("text"))
-    scored = perplexities(rows, rows.join(ids, "id", "left_semi"), "text", ["id", "lang"])
+    # Merged at every size: ids that fit a broadcast on little data would not on more.
+    scored = perplexities(rows, rows.join(ids.hint("merge"), "id", "left_semi"), "text", ["id", "lang"])
     marked = settle(scored.join(ids.withColumn("trusted", F.lit(True)), "id", "left")
                     .withColumn("trusted", F.coalesce("trusted", F.lit(False))), "scored")
     trusted = marked.filter("trusted and perplexity is not null")
     cut = F.percentile_approx("perplexity", quantile, accuracy)
-    own = trusted.filter("lang is not null").groupBy("lang").agg(cut.alias("own"))
+    # Stored: a few rows of known size, so that the hot language's rows need no shuffle.
+    own = settle(trusted.filter("lang is not null").groupBy("lang").agg(cut.alias("own")), "thresholds")
     any_ = trusted.agg(cut).first()[0]
     out = marked.join(own, "lang", "left").withColumn("any", F.lit(any_).cast("double"))
     threshold = F.coalesce("own", "any")
