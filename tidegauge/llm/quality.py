@@ -1,10 +1,11 @@
 """Quality by the perplexity of an n-gram model of trusted texts.
 
-Interpolated modified Kneser-Ney over characters: folded to 64 symbols, four in a row. A
-table of all such grams has at most 2**24 rows however large the corpus is, which bounds
-what is sent to the executors. All trusted texts are counted; counts, continuation
-counts and context sums are tables of their own, sharded by gram or context, whose joins
-with the corpus's grams give the probability of each.
+Documents are judged per word (see ``word_model``), trusted ones by a model that they did
+not train. ``perplexities`` is a small model for ASCII text: interpolated modified
+Kneser-Ney over characters folded to 64 symbols, four in a row, of at most 2**24 grams.
+All trusted texts are counted; counts, continuation counts and context sums are tables of
+their own, sharded by gram or context, whose joins with the corpus's grams give the
+probability of each.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.common import column, pieces, settle, with_text_columns
+from tidegauge.llm.word_model import keyed, word_perplexities
 
 ORDER, BITS = 4, 6
 GRAMS = 1 << (ORDER * BITS)
@@ -142,19 +144,21 @@ def perplexities(docs: DataFrame, trusted: DataFrame, text: str = "text", keep:
 
 def judge_quality(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text: str = "text",
                   lang: str = "lang", quantile: float = 0.99, accuracy: int = 10_000) -> DataFrame:
-    """id, lang, trusted, perplexity, threshold and kept for every row.
+    """id, lang, trusted, perplexity (per word), threshold and kept for every row.
 
-    A language's threshold is that quantile of its trusted texts' perplexities (within
+    Trusted texts are dealt to two models, and each text, trusted or not, is scored by the
+    one that equal texts do not train. A language's threshold is that quantile of its trusted texts' perplexities (within
     1 / accuracy in rank); one without trusted texts, and a null language, has that of
-    all. A text is kept if it has a perplexity of at most its threshold; null and empty
-    texts have none. Rows of a repeated id are rows of their own; a null id is not
+    all. A text is kept if it has a perplexity of at most its threshold; texts without a
+    word or mark have none. Rows of a repeated id are rows of their own; a null id is not
     trusted. Without trusted texts nothing is kept.
     """
     ids = trusted_ids.select(column(id_col).alias("id")).filter("id is not null").distinct()
     rows = docs.select(column(id_col).alias("id"), column(lang).cast("string").alias("lang"),
                        column(text).cast("string").alias("text"))
     # Merged at every size: ids that fit a broadcast on little data would not on more.
-    scored = perplexities(rows, rows.join(ids.hint("merge"), "id", "left_semi"), "text", ["id", "lang"])
+    scores = settle(word_perplexities(rows, rows.join(ids.hint("merge"), "id", "left_semi"), discounts), "scores")
+    scored = keyed(rows, "text").select("id", "lang", "key").join(scores, "key", "left").drop("key")
     marked = settle(scored.join(ids.withColumn("trusted", F.lit(True)), "id", "left")
                     .withColumn("trusted", F.coalesce("trusted", F.lit(False))), "scored")
     trusted = marked.filter("trusted and perplexity is not null")
