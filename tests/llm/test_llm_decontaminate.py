@@ -102,3 +102,31 @@ def test_drop_keeps_columns_and_clean_rows(spark):
     assert d.contaminated_spans(docs.limit(0), bench).count() == 0
     none = d.contaminated_spans(docs, bench.limit(0)).agg(F.sum(F.size("items"))).first()[0]
     assert none == 0
+
+
+@pytest.mark.parametrize("block_bytes", [1, 8 << 20])
+def test_repeated_and_null_ids(spark, block_bytes):
+    a, b, c, e = (" ".join(f"{x}{i}" for i in range(15)) for x in "abce")
+    bench = spark.createDataFrame([(7, a), (7, b), (None, c), (None, e), (10, b)], "item_id long, text string")
+    docs = spark.createDataFrame([(0, f"{a} x {b}"), (1, c), (2, f"{c} {e} {a}"), (3, "x")], "doc_id long, text string")
+    rows = d.contaminated_spans(docs, bench, block_bytes=block_bytes).orderBy("doc_id").collect()
+    assert [list(r["items"]) for r in rows] == [["10", "7"], [None], ["7", None], []]
+    assert [sum(s["stop"] - s["first"] for s in r["spans"]) for r in rows] == [30, 15, 45, 0]
+    kept = d.drop_contaminated(docs, bench, block_bytes=block_bytes)
+    assert [r["doc_id"] for r in kept.collect()] == [3]
+
+
+def test_repeated_and_null_ids_as_in_sql(spark, tmp_path):
+    import duckdb
+
+    from tidegauge.llm.oracle import OP10
+    from tidegauge.llm.queries import op10_decontamination
+    a, b, c = (" ".join(f"{x}{i}" for i in range(15)) for x in "abc")
+    tables = {"benchmark": spark.createDataFrame([(7, a), (7, b), (None, c), (10, b)], "item_id long, text string"),
+              "documents": spark.createDataFrame([(0, f"{a} x {b}"), (1, c), (2, f"{c} {a}"), (3, "x")], "doc_id long, text string")}
+    base = duckdb.connect()
+    for name, rows in tables.items():
+        rows.write.parquet(f"{tmp_path}/{name}.parquet")
+        base.execute(f"CREATE TABLE {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    got = sorted(tuple(r) for r in op10_decontamination(spark, str(tmp_path)).collect())
+    assert got == sorted(base.execute(OP10).fetchall())

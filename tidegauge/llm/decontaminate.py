@@ -135,7 +135,7 @@ def winnowed(words: Words, k: int, run: int) -> tuple[np.ndarray, np.ndarray]:
 class Block:
     """Fingerprints of some benchmark items: sorted hashes with their item and place."""
 
-    ids: list[str]
+    ids: list[str | None]
     words: list[list[bytes]]
     hashes: list[np.ndarray]
     #: k-gram size to (sorted hashes, items, places); the window's own and the short items'.
@@ -145,7 +145,7 @@ class Block:
     kgram: int = 5
 
 
-def build_block(rows: list[tuple[str, str]], window: int, kgram: int) -> Block:
+def build_block(rows: list[tuple[str | None, str]], window: int, kgram: int) -> Block:
     found = words_of(*utf8(pa.array([text for _, text in rows], pa.large_string())))
     block = Block([i for i, _ in rows], [], [], window=window, kgram=kgram)
     of = np.repeat(np.arange(len(rows)), np.diff(found.first))
@@ -237,6 +237,11 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def names_of(block: Block, items: set[int]) -> list[str | None]:
+    """The items' ids, sorted, each once; null last."""
+    return sorted({block.ids[i] for i in items}, key=lambda name: (name is None, name or ""))
+
+
 SPANS = "n_words bigint, spans array<struct<first:int,stop:int>>, items array<string>"
 
 
@@ -251,7 +256,7 @@ def _scan(docs: DataFrame, text: str, block, keep: list[str] | str | None) -> Da
             hits = hits_of(words, known)
             return [pa.array(np.diff(words.first)),
                     pa.array([[{"first": a, "stop": b} for a, b in s] for s, _ in hits], pa.list_(span)),
-                    pa.array([sorted(known.ids[i] for i in t) for _, t in hits], pa.list_(pa.string()))]
+                    pa.array([names_of(known, t) for _, t in hits], pa.list_(pa.string()))]
         return compute
 
     return with_text_columns(docs, text, SPANS, make, keep)
@@ -261,7 +266,7 @@ def _blocks(benchmark: DataFrame, item_id: str, item_text: str, block_bytes: int
     """Items in blocks of at most that many bytes, one block in the driver at a time."""
     rows, size = [], 0
     items = benchmark.select(column(item_id).cast("string"), column(item_text).cast("string"))
-    for name, text in items.filter(items[0].isNotNull() & items[1].isNotNull()).toLocalIterator():
+    for name, text in items.filter(items[1].isNotNull()).toLocalIterator():
         n = len(text.encode())
         if rows and size + n > block_bytes:
             yield rows
@@ -278,8 +283,9 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text"
 
     spans: word places [first, stop) inside occurrences of item windows, merged and in
     order; items: ids (as strings, sorted, each once) of the items with such occurrences.
-    Null and empty texts have no words; items without an id, a text or a word are no
-    items; rows of a repeated item id are one item of several texts. A column of the
+    Null and empty texts have no words; items without a text or a word are no items; rows
+    of a repeated item id are one item of several texts, and so are those without an id,
+    which is listed last, as a null. A column of the
     input named like a result is replaced.
     """
     if not 1 <= kgram <= window:
