@@ -83,3 +83,27 @@ def test_nulls_repeats_clashes_and_empty_tables(spark):
 def test_copies_keep_the_expected_number(spark):
     rows = spark.range(20000).select(F.col("id").alias("doc_id"), F.lit(1.3).alias("rate"))
     assert abs(rows.agg(F.avg(m.copies("rate", "doc_id"))).first()[0] - 1.3) < 0.02
+
+
+@pytest.mark.parametrize("share", [0.002, 0.0002])
+def test_defaults_meet_targets_of_rare_domains(spark, share):
+    """Domains of far less than a quarter of their target, by the defaults of production."""
+    rng = np.random.default_rng(3)
+    p = rng.dirichlet([20 * (0.9 - share), 2, 20 * share], 4000)
+    n = rng.integers(1, 500, 4000)
+    assert n @ p[:, 2] / n.sum() < MIX["toxic"] / 4
+    steps = m.fit_rates(members(spark, p, n), list(MIX.values()), BUDGET)
+    rate = steps.rates(p)[0]
+    got = (rate * n) @ p / n.sum() / BUDGET
+    assert rate.min() >= 0 and rate.max() > 4
+    assert np.abs(got - list(MIX.values())).max() <= 1.1e-3 and np.abs(steps.gap).max() <= 1e-3
+
+
+def test_missed_targets_are_told(spark):
+    p, n = np.array([[0.6, 0.4], [0.5, 0.5]]), np.array([100, 50])
+    with pytest.warns(UserWarning, match="misses its targets"):
+        steps = m.fit_rates(members(spark, p, n), [1.0, 0.0])
+    got = (steps.rates(p)[0] * n) @ p / n.sum()
+    assert np.allclose(got - [1.0, 0.0], steps.gap, atol=1e-6)
+    # Least squares: all in the first document, at 0.6 / (0.6**2 + 0.4**2) of the tokens.
+    assert np.allclose(got, np.array([0.6, 0.4]) * 0.6 / 0.52, atol=2e-3)

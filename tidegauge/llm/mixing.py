@@ -10,6 +10,7 @@ the steps so far, and no state per document is kept.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -135,18 +136,22 @@ def learn_domains(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id",
 
 @dataclass
 class Steps:
-    """The gradient steps so far: a step per pass, in expected tokens of each domain."""
+    """The gradient steps so far: a step per pass, in expected tokens of each domain, and
+    the momentum after it. gap: by how much the totals still miss the targets, as shares
+    of the budget."""
 
     size: float
     most: float
     history: list[np.ndarray] = field(default_factory=list)
+    momentum: list[float] = field(default_factory=list)
+    gap: np.ndarray | None = None
 
     def rates(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rates after all steps, and the point where the next gradient is taken."""
         rate = before = ahead = np.ones(len(p))
-        for t, slope in enumerate(self.history, 1):
+        for slope, push in zip(self.history, self.momentum):
             rate = np.clip(ahead - self.size * (p @ slope), 0.0, self.most)
-            ahead = rate + (t - 1) / (t + 2) * (rate - before)
+            ahead = rate + push * (rate - before)
             before = rate
         return rate, ahead
 
@@ -155,14 +160,20 @@ def matrix(lists: pa.Array, width: int) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
-def fit_rates(members: DataFrame, targets: list[float], budget: float = 1.0, most: float = 4.0,
-              near: float = 1e-3, passes: int = 60) -> Steps:
-    """Rates between 0 and ``most`` for rows of p (probability per domain) and n_tokens.
+def fit_rates(members: DataFrame, targets: list[float], budget: float = 1.0, most: float = np.inf,
+              near: float = 1e-3, passes: int | None = None) -> Steps:
+    """Rates of at least 0 (and at most ``most``, if given) for rows of p (probability per
+    domain) and n_tokens.
 
     Targets are shares per domain of ``budget`` times all tokens. Starts from
     rate 1 for every document and stops when the expected totals are within ``near`` of
-    the budget, or after ``passes``. Rows without tokens take the rate of their p. Without
-    any tokens no step is taken.
+    the budget, or where no step leads closer: ``gap`` has what remains, with a warning if
+    it is more than that. ``passes`` may bound the steps. Rows without tokens take the
+    rate of their p. Without any tokens no step is taken.
+
+    Steps are first scaled by the inverse of the domains' curvature, so that a rare domain
+    takes no more of them than a common one; where these settle short of the targets,
+    plain ones go on to the least squares.
     """
     k = len(targets)
     both = [F.sum(F.col("n_tokens") * F.element_at("p", i + 1) * F.element_at("p", j + 1)).alias(f"m{i}_{j}")
@@ -175,20 +186,45 @@ def fit_rates(members: DataFrame, targets: list[float], budget: float = 1.0, mos
     # Steps are per token of a document, so the curvature is that of p p' summed by tokens.
     curve = np.array([[first[f"m{i}_{j}"] for j in range(k)] for i in range(k)]) / budget
     steps = Steps(1 / float(np.linalg.eigvalsh(curve)[-1]), most)
-    for _ in range(passes):
-        def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    scales = [np.linalg.pinv(curve, rcond=1e-12, hermitian=True) / steps.size, np.eye(k)]
+
+    def sums(of, width: int) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                p = matrix(batch.column("p"), k)
-                n = batch.column("n_tokens").to_numpy()
-                rows = [(n * r) @ p for r in steps.rates(p)]
-                yield pa.RecordBatch.from_arrays([pa.array([0.0 + x]) for x in np.concatenate(rows)],
-                                                 [f"s{i}" for i in range(2 * k)])
-        schema = ", ".join(f"s{i} double" for i in range(2 * k))
-        got = members.select("p", "n_tokens").mapInArrow(totals, schema).agg(
-            *[F.sum(f"s{i}").alias(f"s{i}") for i in range(2 * k)]).first()
-        if np.abs(np.array(got[:k]) - want).max() <= near * budget:
+                found = of(matrix(batch.column("p"), k), batch.column("n_tokens").to_numpy())
+                yield pa.RecordBatch.from_arrays([pa.array([0.0 + x]) for x in found], [f"s{i}" for i in range(width)])
+        schema = ", ".join(f"s{i} double" for i in range(width))
+        return np.array(members.select("p", "n_tokens").mapInArrow(run, schema).agg(
+            *[F.sum(f"s{i}").alias(f"s{i}") for i in range(width)]).first())
+
+    def totals(p: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return np.concatenate([(n * r) @ p for r in steps.rates(p)])
+
+    scale, last, turn = scales.pop(0), np.inf, 0
+    while True:
+        got = sums(totals, 2 * k)
+        steps.gap, slope = (got[:k] - want) / budget, scale @ ((got[k:] - want) / budget)
+        if np.abs(steps.gap).max() <= near or len(steps.history) == passes:
             break
-        steps.history.append((np.array(got[k:]) - want) / budget)
+        here = scale @ steps.gap
+
+        def left(p: np.ndarray, n: np.ndarray) -> list[float]:
+            rate = steps.rates(p)[0]
+            return [n @ np.square(rate - np.clip(rate - steps.size * (p @ here), 0.0, most))]
+        # How far a step from here, without momentum, would still move the rates.
+        if len(steps.history) % 10 == 9 and np.sqrt(sums(left, 1)[0] / first["n"]) <= near * 1e-2:
+            if not scales:
+                break
+            scale, last, turn = scales.pop(0), np.inf, 0
+            slope = scale @ ((got[k:] - want) / budget)
+            here = scale @ steps.gap
+        # Momentum starts anew when a step led away.
+        worth = float(here @ steps.gap)
+        turn, last = (0 if worth > last else turn + 1), worth
+        steps.history.append(slope)
+        steps.momentum.append(max(0, turn - 1) / (turn + 2))
+    if np.abs(steps.gap).max() > near:
+        warnings.warn(f"the mix misses its targets by {steps.gap.round(4).tolist()} of the budget", stacklevel=2)
     return steps
 
 
@@ -217,8 +253,9 @@ def with_rates(docs: DataFrame, model: Domains, steps: Steps, text: str = "text"
 
 
 def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float = 1.0,
-        id_col: str = "doc_id", text: str = "text", domain: str = "domain", most: float = 4.0, most_labelled: int = 20_000) -> tuple[Domains, Steps]:
-    """The classifier and the fitted steps for target shares by domain (others: 0)."""
+        id_col: str = "doc_id", text: str = "text", domain: str = "domain", most: float = np.inf, most_labelled: int = 20_000) -> tuple[Domains, Steps]:
+    """The classifier and the fitted steps for target shares by domain (others: 0);
+    a warning and ``gap`` of the steps tell of targets that are missed."""
     model = learn_domains(docs, labelled, id_col, text, domain, most_labelled)
     members = settle(with_rates(docs, model, Steps(0.0, most), text, []).select("p", "n_tokens"), "members")
     targets = [weights.get(name, 0.0) for name in model.names]
