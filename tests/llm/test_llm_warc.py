@@ -127,3 +127,19 @@ def test_all_pages(spark):
     got = w.read_archives(spark, path).filter("kind = 'record'").select(
         F.regexp_extract(F.col("headers")["warc-record-id"], "(\\d+)", 1).cast("long").alias("page_id"))
     assert got.distinct().count() == rows.count() == got.count()
+
+
+@pytest.mark.parametrize("limit", [1000, 1 << 30])
+def test_members_of_several_records(limit):
+    records = archive(20, False)
+    hurt = bytearray(records[7])
+    hurt[-40] ^= 0x55
+    whole = gzip.compress(b"".join(records), 6, mtime=0)
+    # Longer than the limit, one bad digest, a bad checksum, and an end cut off.
+    assert ids(w.salvage(whole, limit)) == list(range(20))
+    found = list(w.salvage(gzip.compress(b"".join([*records[:7], bytes(hurt), *records[8:]]), 6, mtime=0), limit))
+    assert ids(found) == [i for i in range(20) if i != 7]
+    assert [f[2] for f in found if isinstance(f[2], str)] == ["block digest"]
+    assert ids(w.salvage(whole[:-8] + b"\0" * 8, limit)) == list(range(20))
+    cut = list(w.salvage(whole[:len(whole) // 2] + archive(21, True)[20], limit))
+    assert len(ids(cut)) > 6 and ids(cut)[:6] == list(range(6))

@@ -144,73 +144,165 @@ def read_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int] | str
     return headers, block, last + 4
 
 
-def read_member(data: bytes, at: int, limit: int) -> tuple[bytes, int] | str:
-    """Content and end of the gzip member at that place, or the check that fails."""
-    found, size, view = [], 0, memoryview(data)
-    unpack = zlib.decompressobj(31)
-    try:
-        while not unpack.eof:
-            if at >= len(data):
-                return "member cut short"
-            part = unpack.decompress(view[at: at + STEP])
-            at += min(STEP, len(data) - at) - len(unpack.unused_data)
-            size += len(part)
-            if size > limit:
-                return "member too long"
-            found.append(part)
-    except zlib.error:
-        return "member checksum"
-    return b"".join(found), at
+def unpacked(data: bytes, at: int, stop: int) -> Iterator[bytes | int | str]:
+    """The content of the gzip member at that place in parts, as far as it can be
+    unpacked; last its end, or the check that fails."""
+    view, unpack = memoryview(data)[:stop], zlib.decompressobj(31)
+    while not unpack.eof:
+        if at >= stop:
+            yield "member cut short"
+            return
+        before, packed = unpack.copy(), view[at: at + STEP]
+        try:
+            # Parts of bounded size, also of content that packs well.
+            part = unpack.decompress(packed, STEP * 16)
+            yield part
+            while unpack.unconsumed_tail:
+                before, packed = unpack.copy(), unpack.unconsumed_tail
+                yield unpack.decompress(packed, STEP * 16)
+        except zlib.error:
+            try:  # all that comes before the damage
+                for i in range(len(packed)):
+                    yield before.decompress(packed[i: i + 1])
+            except zlib.error:
+                pass
+            yield "member checksum"
+            return
+        at += min(STEP, stop - at) - len(unpack.unused_data)
+    yield at
+
+
+def content_records(parts: Iterator[bytes | int | str], held: int) -> Iterator[str | tuple[dict[str, str], bytes]]:
+    """Records of unpacked content, and the failed check where bytes between are lost.
+
+    Content is let go once its records are read and they are more than ``held`` bytes.
+    """
+    buffer, at, done, bad = bytearray(), 0, False, None
+
+    def more() -> bool:
+        nonlocal done
+        size = len(buffer) + max(STEP, len(buffer) - at)
+        while not done and len(buffer) < size:
+            part = next(parts)
+            if isinstance(part, bytes):
+                buffer.extend(part)
+            else:
+                done = True
+        return not done
+
+    more()
+    while at < len(buffer) or not done:
+        found = read_record(buffer, at)
+        # Only these may come from content that is not unpacked yet.
+        if isinstance(found, str) and not done and (found != "block digest" and found != "length"):
+            if found != "no version line" or len(buffer) - at < len(VERSION):
+                if found != "record end" or _cut(buffer, at):
+                    more()
+                    continue
+        if not isinstance(found, str):
+            if bad is not None:
+                yield bad
+                bad = None
+            yield found[:2]
+            at = found[2]
+        else:
+            bad = bad or found
+            start = buffer.find(VERSION, at + 1)
+            while start < 0 and not done:
+                at = max(at, len(buffer) - len(VERSION))
+                more()
+                start = buffer.find(VERSION, at + 1)
+            at = start if start >= 0 else len(buffer)
+        if at > held:
+            del buffer[:at]
+            at = 0
+    if bad is not None:
+        yield bad
+
+
+def _cut(data: bytearray, at: int) -> bool:
+    """Whether the record at that place ends after the data."""
+    stop = data.find(END, at)
+    size = _headers(bytes(data[data.find(b"\r\n", at) + 2: stop]))["content-length"]
+    return stop + 8 + int(size) > len(data)
 
 
 def salvage(data: bytes, limit: int) -> Iterator[tuple[int, int, str | tuple[dict[str, str], bytes]]]:
-    """(offset, length, record or reason) over a whole file: records and gaps, in order."""
+    """(offset, length, record or reason) over a whole file: records and gaps, in order.
+
+    Records of one member, and gaps in its content, have the member's place and length. Those out of
+    a damaged member follow the gap that its bytes are, with length 0 and the gap's end; one
+    that held a single record and nothing else is a gap only. ``limit``: see content_records.
+    """
     at, bad, reason = 0, None, ""
+    torn: list[int] = []
+
+    def gap() -> Iterator[tuple[int, int, str | tuple[dict[str, str], bytes]]]:
+        # A damaged member ends where the next one begins that records come out of.
+        stop, saved = at, []
+        for place in reversed(torn):
+            every = list(content_records(unpacked(data, place, stop), limit))
+            found = [f for f in every if not isinstance(f, str)]
+            if found and len(every) > 1:
+                stop = place
+                saved.append((place, found))
+        yield bad, at - bad, reason
+        for place, found in reversed(saved):
+            yield from ((at, 0, record) for record in found)
+        torn.clear()
+
     while at < len(data):
-        here = read_at(data, at, limit)
-        if not isinstance(here, str):
-            if bad is not None:
-                yield bad, at - bad, reason
-                bad = None
-            records, end = here
-            for record in records:
-                yield at, end - at, record
-            at = end
-            continue
+        if data[at: at + 3] == MEMBER:
+            end: bytes | int | str = ""
+            for end in unpacked(data, at, len(data)):
+                pass
+            here, some, lost = end, False, []
+            for found in content_records(unpacked(data, at, len(data)), limit) if isinstance(end, int) else ():
+                if isinstance(found, str):
+                    lost.append(found)
+                    continue
+                if bad is not None:
+                    yield from gap()
+                    bad = None
+                some = True
+                yield at, end - at, found
+            if isinstance(end, int) and (some or not lost):
+                if bad is not None:
+                    yield from gap()
+                    bad = None
+                for check in lost:
+                    yield at, end - at, check
+                at = end
+                continue
+            if isinstance(end, str):
+                torn.append(at)
+            else:
+                here = lost[0]
+        else:
+            one = read_record(data, at)
+            if not isinstance(one, str):
+                if bad is not None:
+                    yield from gap()
+                    bad = None
+                yield at, one[2] - at, one[:2]
+                at = one[2]
+                continue
+            here = one
         if bad is None:
             bad, reason = at, here
         starts = [p for p in (data.find(MEMBER, at + 1), data.find(VERSION, at + 1)) if p >= 0]
         at = min(starts, default=len(data))
     if bad is not None:
-        yield bad, len(data) - bad, reason
-
-
-def read_at(data: bytes, at: int, limit: int) -> tuple[list[tuple[dict[str, str], bytes]], int] | str:
-    """The records of the member, or the plain record, at that place and its end."""
-    if data[at: at + 3] == MEMBER:
-        member = read_member(data, at, limit)
-        if isinstance(member, str):
-            return member
-        content, end = member
-        records, inside = [], 0
-        while inside < len(content):
-            found = read_record(content, inside)
-            if isinstance(found, str):
-                return found
-            records.append(found[:2])
-            inside = found[2]
-        return records, end
-    found = read_record(data, at)
-    return found if isinstance(found, str) else ([found[:2]], found[2])
-
-
-def read_archives(spark: SparkSession, path: str, limit: int = 1 << 30) -> DataFrame:
+        yield from gap()
+
+
+def read_archives(spark: SparkSession, path: str, limit: int = 4 << 20) -> DataFrame:
     """file, offset, length, kind, reason, headers, http and payload of all archives.
 
     kind is ``record``, or ``gap`` for quarantined bytes with the failed check as reason.
     headers and http have lower-case names; of a record that holds an HTTP message the
-    payload is its body, of others the whole block. One task holds one archive at a time;
-    members of more than ``limit`` bytes are quarantined. No files: no rows.
+    payload is its body, of others the whole block. One task holds one archive (of at
+    most 2 GB) at a time, and a record and ``limit`` bytes of what it unpacks to. No files: no rows.
     """
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*[!_]*").option("recursiveFileLookup", "true")
              .load(path).filter("length > 0").select("path", "content"))
