@@ -56,4 +56,75 @@ FROM worded w LEFT JOIN hit h ON h.doc_id = w.id LEFT JOIN items t ON t.doc_id =
 WHERE side = 'd'
 """
 
-LLM_ORACLES = {"op4_warc": OP4, "op6_exact_dedup": OP6, "op10_decontamination": OP10}
+# The tree over the groups has the group number -1. The checksum goes bit by bit.
+OP11 = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, source, list_reduce(list_prepend(4294967295::bigint, list_transform(
+               string_split(doc_id::varchar, ''), lambda ch: ascii(ch)::bigint)), lambda c, b: list_reduce(
+               [xor(c, b), 1, 2, 3, 4, 5, 6, 7, 8], lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))) AS crc,
+           concat(coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                  coalesce(strlen(lang) || ':' || lang, '-'),
+                  coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-')) AS head, text
+    FROM documents),
+leaves AS (
+    SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g,
+           row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS i,
+           count(*) OVER (PARTITION BY source) AS n,
+           sha256(concat(head, coalesce(strlen(text) || ':' || text, '-'))) AS leaf,
+           CASE WHEN xor(crc, 4294967295) % 2 = 0 THEN sha256(concat(head, coalesce(
+               strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), ''), '-'))) END AS tampered
+    FROM d),
+nodes AS (
+    SELECT g, 0 AS lvl, i, n, leaf AS h FROM leaves
+    UNION ALL
+    SELECT g, lvl + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i))
+    FROM nodes WHERE n > 1 GROUP BY g, lvl, i // 3, n),
+subroots AS (SELECT g, h FROM nodes WHERE n = 1),
+tops AS (
+    SELECT -1 AS g, 0 AS lvl, g AS i, (SELECT count(*) FROM subroots) AS n, h FROM subroots
+    UNION ALL
+    SELECT g, lvl + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i))
+    FROM tops WHERE n > 1 GROUP BY g, lvl, i // 3, n),
+beside AS (
+    SELECT g, lvl, i, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+           coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+    FROM (SELECT * FROM nodes UNION ALL SELECT * FROM tops) WHERE n > 1
+    WINDOW w AS (PARTITION BY g, lvl, i // 3 ORDER BY i)),
+up AS (
+    SELECT doc_id, g, 0 AS lvl, i, coalesce(tampered, leaf) AS h, '' AS proof FROM leaves
+    UNION ALL
+    SELECT doc_id, u.g, u.lvl + 1, u.i // 3, sha256(concat(l, h, r)), concat(proof, l, r)
+    FROM up u JOIN beside b ON b.g = u.g AND b.lvl = u.lvl AND b.i = u.i),
+over_groups AS (
+    SELECT doc_id, -1 AS g, 0 AS lvl, g AS i, h, proof
+    FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY lvl DESC) AS nth FROM up) WHERE nth = 1
+    UNION ALL
+    SELECT doc_id, u.g, u.lvl + 1, u.i // 3, sha256(concat(l, h, r)), concat(proof, l, r)
+    FROM over_groups u JOIN beside b ON b.g = u.g AND b.lvl = u.lvl AND b.i = u.i),
+ends AS (
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY lvl DESC) AS nth FROM over_groups)
+    WHERE nth = 1)
+SELECT l.doc_id, leaf, s.h AS subroot, t.h AS root, sha256(proof) AS proof_sha256, e.h AS folded_root, e.h = t.h AS verified
+FROM leaves l JOIN subroots s USING (g) JOIN ends e USING (doc_id) JOIN tops t ON t.n = 1
+"""
+
+OP12 = r"""
+WITH w AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+    SELECT doc_id, i, array_to_string(words[i : i + 49], ' ') AS span
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM w)),
+firsts AS (SELECT span, min(doc_id) AS least FROM windows GROUP BY span),
+gone AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS place FROM windows JOIN firsts USING (span) WHERE doc_id > least),
+worded AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM w),
+kept AS (
+    SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS line
+    FROM worded ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+SELECT doc_id, len(words)::bigint AS n_words, len(words)::bigint - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(line, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+LLM_ORACLES = {"op4_warc": OP4, "op6_exact_dedup": OP6, "op10_decontamination": OP10,
+               "op11_merkle_manifest": OP11, "op12_substring_dedup": OP12}
