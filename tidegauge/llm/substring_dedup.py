@@ -39,7 +39,7 @@ from tidegauge.llm.periodic_runs import mixed
 #: Words of a window.
 LENGTH = 50
 #: Classes of an anchor that are parsed in one place; more are compared window by window.
-MOST = 4096
+MOST = 512
 #: Odd bases of the two hashes of a stretch of words.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 LAST_ID = (1 << 63) - 1
