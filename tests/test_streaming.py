@@ -1,5 +1,7 @@
 import json
 import os
+import random
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,9 +14,10 @@ from tidegauge.plans.adapter import event_stream, shop_events
 from tidegauge.settings import Settings
 from tidegauge.sources.decode import decode_messages, rejected_messages
 from tidegauge.sources.messages import text_stream
-from tidegauge.streaming import jobs, serving
+from tidegauge.streaming import commits, jobs, panes, serving
 from tidegauge.streaming.keyvalue import write_key_values
 from tidegauge.streaming.publish import to_messages
+from test_windowed import plan
 
 
 def deliver(spark, folder, rows):
@@ -23,22 +26,21 @@ def deliver(spark, folder, rows):
      .write.mode("append").text(folder))
 
 
-def run(spark, folder, root, table=w.USER_BEHAVIOR, settings=Settings(splits=3), **options):
+def run(spark, folder, root, table=w.USER_BEHAVIOR, settings=Settings(), **options):
     stream = decode_messages(text_stream(spark, folder, **options))
-    parts = jobs.table_parts(stream, table, settings)
-    query = jobs.start_serving(parts, table, root, settings, available_now=True)
+    query = jobs.start_serving(stream, [table], root, settings, available_now=True)
     jobs.finish([query])
     return query
 
 
 def served(spark, root, table=w.USER_BEHAVIOR):
-    return serving.read_latest(spark, f"{root}/serving", table, ttl=None).select(*table.columns)
+    return panes.read_latest(spark, f"{root}/serving", table, ttl=None).select(*table.columns)
 
 
 def test_all_tables_from_one_stream_equal_batch(spark, shared):
     settings = Settings(root=shared)
     queries = jobs.start_all(event_stream(spark, SF), settings, available_now=True)
-    assert [q.name for q in queries] == [f"serve_{t}" for t in w.TABLES]
+    assert [q.name for q in queries] == ["serve"]
     jobs.finish(queries)
     batch = shop_events(spark, SF).withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
     for table in w.TABLES.values():
@@ -73,36 +75,162 @@ def test_file_by_file_refines_windows(spark, shared):
     for delivery in rows:
         deliver(spark, inbox, delivery)
     run(spark, inbox, shared, maxFilesPerTrigger="1")
-    batches = serving.read_parts(spark, f"{shared}/serving", w.USER_BEHAVIOR).select("batch").distinct()
-    assert batches.count() == 3  # batches with rows
+    assert [c.facts["batch"] for c in commits.snapshot(spark, f"{shared}/serving/user_behavior")] == [0, 1, 2]
     same_rows(served(spark, shared), w.user_behavior(events(spark, sum(rows, []))))
 
 
-def test_unsplit_stream_has_whole_rows(spark, shared):
-    inbox = f"{shared}/in"
-    rows = [event(0, user="a"), event(0, user="a"), event(0, user=None), event(0, user="b")]
-    deliver(spark, inbox, rows)
-    table = w.TRENDING_PRODUCTS
-    whole = table.finish(w.stream_parts(decode_messages(text_stream(spark, inbox)), table, splits=1))
-    query = (whole.writeStream.format("memory").queryName("whole").outputMode("update")
-             .option("checkpointLocation", f"{shared}/cp").trigger(availableNow=True).start())
-    query.awaitTermination()
-    same_rows(spark.table("whole"), w.trending_products(events(spark, rows)))
-
-
-def test_console_shows_finished_rows(spark, shared):
-    table = w.TRENDING_PRODUCTS
+def test_console_shows_finished_rows(spark, shared, capsys):
     deliver(spark, f"{shared}/in", [event(0, user=f"u{i}") for i in range(9)])
-    rows = jobs.console_rows(decode_messages(text_stream(spark, f"{shared}/in")), table, Settings())
-    assert rows.columns == table.columns
-    query = jobs.start_console(rows, "debug", f"{shared}/cp", available_now=True)
-    assert query.name == "debug"
-    jobs.finish([query])
-    shown = (rows.writeStream.format("memory").queryName("shown").outputMode("update")
-             .option("checkpointLocation", f"{shared}/cp2").trigger(availableNow=True).start())
-    shown.awaitTermination()
-    assert set(tuples(spark.table("shown"), "unique_users")) == {(9,)}
-    assert spark.table("shown").groupBy("window_start").count().filter("count > 1").isEmpty()
+    stream = decode_messages(text_stream(spark, f"{shared}/in"))
+    jobs.finish(jobs.start_all(stream, Settings(root=shared), ["trending_products"], console=True, available_now=True))
+    shown = capsys.readouterr().out
+    assert "trending_products, batch 0" in shown and "conversion_rate" in shown
+    assert shown.count("|p1") == 10
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_late_and_repeated_events_count_as_by_windows_of_each_event(spark, shared, seed):
+    """Against every event under each of its windows that is open when its batch comes."""
+    rng, table = random.Random(seed), w.TRENDING_PRODUCTS
+    newest, open_rows = None, []
+    for batch in range(5):
+        rows = [event(round(rng.uniform(max(0, batch * 6 - 16), batch * 6 + 4), 3), rng.choice(["click", "purchase"]),
+                      user=rng.choice(["a", "b", "c", None]), product=rng.choice(["p", "q"]), revenue=1.0)
+                for _ in range(rng.randint(1, 12))]
+        panes.append(events(spark, rows), batch, shared, table, "r1", "l1", delay="5 minutes")
+        times = [(datetime.fromisoformat(r[1]) - at(0)).total_seconds() for r in rows]
+        for row, t in zip(rows, times):
+            for start in range(int(t // 60) - 9, int(t // 60) + 1):
+                if newest is None or start * 60 + 600 > newest - 300:
+                    open_rows.append((start, row))
+        newest = max([*times, *([newest] if newest is not None else [])])
+    want = {}
+    for start, row in open_rows:
+        one = want.setdefault((at(start), row[5]), [0, set()])
+        one[0] += 1
+        one[1] |= {row[2]} - {None}
+    got = panes.read_latest(spark, shared, table, ttl=None)
+    assert tuples(got, "window_start", "product_id", "total_events", "unique_users") == sorted(
+        (*k, n, len(users)) for k, (n, users) in want.items())
+
+
+@pytest.mark.parametrize("grain", [Grain("10 minutes", "4 minutes"), Grain("10 minutes", None), Grain("1 hour", "10 minutes")],
+                         ids=str)
+def test_streams_of_other_windows_equal_batch(spark, shared, grain):
+    rows = [event(m * 1.7, user=f"u{m % 5}", revenue=1.0) for m in range(40)]
+    deliver(spark, f"{shared}/in", rows)
+    run(spark, f"{shared}/in", shared, settings=Settings(window=grain.window, slide=grain.slide))
+    same_rows(served(spark, shared), w.window_table(events(spark, rows), w.USER_BEHAVIOR, grain))
+
+
+def test_the_stream_keeps_no_sets_and_spreads_nothing(spark, shared):
+    rows = events(spark, [event(0), event(1, user="b")])
+    stored = w.pane_rows(rows, w.TRENDING_PRODUCTS, w.REALTIME, opened=0)
+    text = stored._jdf.queryExecution().toString()
+    assert not any(word in text for word in ("collect_set", "collect_list", "Expand", "Generate"))
+    panes.append(rows, 0, shared, w.TRENDING_PRODUCTS, "r1")
+    (commit,) = commits.snapshot(spark, f"{shared}/trending_products")
+    assert commit.rows == 2  # of 2 events in 20 windows
+
+
+def test_approximate_users_of_batch_and_stream(spark, shared):
+    rows = [event(i % 30, user=f"u{i * 7 % 3000}", product=f"p{i % 2}") for i in range(6000)]
+    exact = {(r["window_start"], r["product_id"]): r["unique_users"]
+             for r in w.trending_products(events(spark, rows)).collect()}
+    table = w.TRENDING_PRODUCTS.with_approximate_users()
+    deliver(spark, f"{shared}/in", rows)
+    settings = Settings(approximate_users=True)
+    run(spark, f"{shared}/in", shared, w.TRENDING_PRODUCTS, settings)
+    deliver(spark, f"{shared}/in", [event(29, user="u203", product="p1")])
+    run(spark, f"{shared}/in", shared, w.TRENDING_PRODUCTS, settings)
+    for got in (w.window_table(events(spark, rows), table), served(spark, shared, w.TRENDING_PRODUCTS)):
+        counts = {(r["window_start"], r["product_id"]): r["unique_users"] for r in got.collect()}
+        assert set(counts) == set(exact)
+        assert all(abs(counts[k] - n) <= 1 + 0.06 * n for k, n in exact.items())
+    stored = commits.read(spark, f"{shared}/serving/trending_products", panes.stored_schema(table))
+    assert "user_id" not in stored.columns
+    assert stored.agg(F.max(F.octet_length("unique_users"))).first()[0] < 5000
+
+
+def test_rows_of_a_list_of_keys(spark, shared):
+    rows = [event(m, user=f"u{m}", product=f"p{m % 3}", name=None) for m in range(30)]
+    panes.append(events(spark, rows), 0, shared, w.TRENDING_PRODUCTS, "r1")
+    whole = w.trending_products(events(spark, rows))
+    keys = spark.createDataFrame([(at(5), "p1", None, "cat"), (at(11), "p2", None, "cat"), (at(400), "p1", None, "cat")],
+                                 "window_start timestamp, product_id string, product_name string, category string")
+    got = panes.read_keys(spark, shared, w.TRENDING_PRODUCTS, keys)
+    asked = (F.col("window_start") == at(5)) & (F.col("product_id") == "p1") | (
+        F.col("window_start") == at(11)) & (F.col("product_id") == "p2")
+    assert len(same_rows(got.drop("written_at", "run", "batch"), whole.filter(asked))) == 2
+    assert "GreaterThanOrEqual(slot,28401125)" in plan(got) and "LessThanOrEqual(slot" in plan(got)
+    serving.export_values(whole, f"{shared}/values", w.TRENDING_PRODUCTS)
+    texts = [r["serving_key"] for r in serving.as_key_values(whole.filter(asked), w.TRENDING_PRODUCTS).collect()]
+    by_list = serving.get_values(spark, f"{shared}/values", w.TRENDING_PRODUCTS, [*texts, "no such key"])
+    by_frame = serving.get_values(spark, f"{shared}/values", w.TRENDING_PRODUCTS,
+                                  spark.createDataFrame([(t,) for t in texts * 2], "serving_key string"))
+    assert tuples(by_list, "serving_key") == tuples(by_frame, "serving_key") == sorted((t,) for t in texts)
+    assert "PushedFilters: [In(serving_key" in by_list._jdf.queryExecution().toString()
+
+
+# --- commits ---
+
+def test_readers_see_whole_commits_only(spark, shared):
+    path, rows = f"{shared}/t", spark.range(3)
+    commits.write(rows, path, "a", ["id"])
+    rows.write.parquet(f"{path}/data/half")  # a writer that was lost before its manifest
+    assert commits.read(spark, path, rows.schema).count() == 3
+    commits.sweep(spark, path)
+    assert os.path.exists(f"{path}/data/half")  # it may still be writing
+    commits.sweep(spark, path, grace=-1)
+    assert not os.path.exists(f"{path}/data/half") and commits.read(spark, path, rows.schema).count() == 3
+
+
+def test_a_commit_written_again_replaces_itself(spark, shared):
+    path = f"{shared}/t"
+    for n in (5, 7):
+        commits.write(spark.range(n), path, "a", ["id"])
+    assert commits.read(spark, path, spark.range(1).schema).count() == 7
+    commits.write(spark.range(0), path, "b", ["id"])
+    assert [(c.name, c.rows) for c in commits.snapshot(spark, path)] == [("a", 7), ("b", 0)]
+    commits.sweep(spark, path, grace=-1)
+    assert len(os.listdir(f"{path}/data")) == 1 and len(commits.snapshot(spark, path)) == 2
+
+
+def test_a_read_planned_before_upkeep_finishes(spark, shared):
+    table = w.USER_BEHAVIOR
+    for batch in range(4):
+        panes.append(events(spark, [event(batch, user=f"u{batch}")]), batch, shared, table, "r1")
+    planned = panes.read_latest(spark, shared, table, ttl=None)
+    want = w.user_behavior(events(spark, [event(b, user=f"u{b}") for b in range(4)]))
+    panes.maintain(spark, shared, table, most_commits=2)
+    assert len(commits.snapshot(spark, f"{shared}/{table.name}")) == 1
+    same_rows(planned.select(*table.columns), want)
+    same_rows(panes.read_latest(spark, shared, table, ttl=None).select(*table.columns), want)
+    panes.maintain(spark, shared, table, most_commits=2, grace=-1)
+    assert len(os.listdir(f"{shared}/{table.name}/data")) == 1
+    same_rows(panes.read_latest(spark, shared, table, ttl=None).select(*table.columns), want)
+
+
+def test_upkeep_keeps_the_watermark_and_the_last_batch(spark, shared):
+    table = w.CATEGORY_ANALYTICS
+    for batch, minute in enumerate((40, 20, 41)):
+        panes.append(events(spark, [event(minute)]), batch, shared, table, "r1", "l1")
+    panes.maintain(spark, shared, table, batch=2, most_commits=1)
+    known = commits.snapshot(spark, f"{shared}/{table.name}")
+    assert sorted(c.facts["batch"] for c in known) == [1, 2]
+    assert panes.watermark(known, "l1", 2, "5 minutes") == int(at(35).replace(tzinfo=timezone.utc).timestamp()) * 10 ** 6
+    panes.append(events(spark, [event(41)]), 2, shared, table, "r2", "l1")  # replayed
+    got = panes.read_latest(spark, shared, table, ttl=None)
+    assert got.filter(F.col("window_start") == at(40)).first()["total_events"] == 2
+
+
+def test_files_follow_the_rows_not_the_time_they_cover(spark, shared):
+    rows = totals(spark, [event(m * 60) for m in range(300)])
+    serving.write_batch(rows, 0, shared, w.USER_BEHAVIOR, "r1")
+    assert len(files(shared)) == 1
+    hours = serving.read_rows(spark, shared, w.USER_BEHAVIOR).filter("hour = 473355")
+    assert hours.count() == 1
+    assert "PushedFilters: [IsNotNull(hour), EqualTo(hour" in hours._jdf.queryExecution().toString()
 
 
 def test_rejects_and_callbacks_of_start_all(spark, shared):
@@ -121,7 +249,8 @@ def test_wait_stops_the_other_queries(spark, shared):
     deliver(spark, f"{shared}/in", [event(0)])
     settings = Settings(root=shared, trigger="1 second")
     stream = decode_messages(text_stream(spark, f"{shared}/in"))
-    queries = jobs.start_all(stream, settings, tables=["category_analytics"], console=True)
+    messages = text_stream(spark, f"{shared}/in")
+    queries = jobs.start_all(stream, settings, tables=["category_analytics"], rejects=rejected_messages(messages))
     assert len(queries) == 2 and all(q.isActive for q in queries)
     spark.streams.resetTerminated()
     queries[0].stop()
@@ -134,17 +263,15 @@ def test_sink_errors_fail_the_query_and_a_retry_recovers(spark, shared):
     inbox, root = f"{shared}/in", shared
     deliver(spark, inbox, [event(0, user="a")])
     stream = decode_messages(text_stream(spark, inbox))
-    parts = jobs.table_parts(stream, w.USER_BEHAVIOR, Settings(splits=2))
 
     def broken(rows, batch):
         raise RuntimeError("store is away")
 
-    query = jobs.start_serving(parts, w.USER_BEHAVIOR, root, Settings(splits=2), available_now=True,
-                               on_batch=broken)
+    query = jobs.start_serving(stream, [w.USER_BEHAVIOR], root, available_now=True, on_batch={"user_behavior": broken})
     with pytest.raises(Exception, match="store is away"):
         jobs.finish([query])
     spark.streams.resetTerminated()
-    run(spark, inbox, root, settings=Settings(splits=2))
+    run(spark, inbox, root)
     same_rows(served(spark, root), w.user_behavior(events(spark, [event(0, user="a")])))
 
 
@@ -179,17 +306,15 @@ def test_changed_rows_go_to_an_external_store(spark, shared):
 
     for rows in ([event(0, user="a"), event(0, user="b")], [event(9, user="c")]):
         deliver(spark, inbox, rows)
-        parts = jobs.table_parts(decode_messages(text_stream(spark, inbox)), w.USER_BEHAVIOR, Settings(splits=5))
-        jobs.finish([jobs.start_serving(parts, w.USER_BEHAVIOR, shared, Settings(splits=5), available_now=True,
-                                        on_batch=forward)])
+        jobs.finish([jobs.start_serving(decode_messages(text_stream(spark, inbox)), [w.USER_BEHAVIOR], shared,
+                                        available_now=True, on_batch={"user_behavior": forward})])
 
-    # batches that only move the watermark change no rows and are not forwarded
     assert [len(keys) for keys in sent] == [10, 10]
     lines = [json.loads(line) for line in open(f"{calls}/calls")]
     store = {c[1]: json.loads(c[2]) for c in lines if c[0] == "set"}
     assert {c[2] for c in lines if c[0] == "expire"} == {60}
     assert len(store) == 19
-    # the window both deliveries share holds all three users, though only one part changed
+    # the window both deliveries share holds all three users, though the second touched only some panes
     shared_window = store["user_behavior:2024-01-01T00_00_00_000Z_mobile_organic"]
     assert shared_window["unique_users_affected"] == 3 and shared_window["total_events"] == 3
 
@@ -204,7 +329,7 @@ def test_replaying_a_batch_changes_nothing(spark, shared):
     rows = totals(spark, [event(0)])
     for _ in range(2):
         serving.write_batch(rows, 0, shared, w.USER_BEHAVIOR, "r1")
-    assert serving.read_parts(spark, shared, w.USER_BEHAVIOR).count() == 1
+    assert serving.read_rows(spark, shared, w.USER_BEHAVIOR).count() == 1
 
 
 def test_later_runs_win_whatever_their_batch_number(spark, shared):
@@ -219,7 +344,9 @@ def test_empty_batches_and_tables(spark, shared):
     assert serving.read_latest(spark, shared + "/none", w.USER_BEHAVIOR).isEmpty()
     serving.write_batch(totals(spark, [event(None)]), 0, shared, w.USER_BEHAVIOR, "r1")
     assert not files(shared)
-    assert serving.batch_is_empty(spark, shared, w.USER_BEHAVIOR, "r1", 0)
+    assert panes.append(events(spark, [event(None)]), 0, f"{shared}/p", w.USER_BEHAVIOR, "r1").rows == 0
+    nothing = panes.read_latest(spark, f"{shared}/p", w.USER_BEHAVIOR)
+    assert nothing.isEmpty() and nothing.columns[:-3] == w.USER_BEHAVIOR.columns
     empty = serving.read_latest(spark, shared, w.USER_BEHAVIOR)
     assert empty.isEmpty() and empty.columns[:-3] == w.USER_BEHAVIOR.columns
     assert serving.decode_values(serving.read_values(spark, f"{shared}/no", w.USER_BEHAVIOR),
@@ -233,24 +360,26 @@ def test_names_of_one_product_do_not_overwrite_each_other(spark, shared):
     assert tuples(got, "product_name") == [("A",), ("B",)]
 
 
-def test_expiry_follows_the_last_written_part(spark):
-    def part(n, minute, key="email"):
-        return (at(0), at(10), "mobile", key, n, 1, 1, 0, 0.0, 1, at(minute), "l1", "r1", minute)
+def test_expiry_follows_the_last_written_part(spark, shared):
+    for batch, (minute, source) in enumerate([(0, "email"), (50, "email"), (10, "social")]):
+        panes.append(events(spark, [event(0, user=f"u{batch}", source=source)]), batch, shared, w.USER_BEHAVIOR, "r1",
+                     written_at=F.lit(at(minute)))
 
-    columns = serving.stored_schema(w.USER_BEHAVIOR)
-    parts = spark.createDataFrame([part(0, 0), part(1, 50), part(0, 10, "social")], columns)
-    now = F.lit(at(75))
-    got = serving.latest_rows(parts, w.USER_BEHAVIOR, now=now, ttl="1 hour")
-    assert tuples(got, "source", "total_events", "unique_users_affected") == [("email", 2, 2)]
-    edge = serving.latest_rows(parts, w.USER_BEHAVIOR, now=F.lit(at(70)), ttl="1 hour")
-    assert tuples(edge, "source") == [("email",)]
+    def at_opening(now):
+        got = panes.read_latest(spark, shared, w.USER_BEHAVIOR, now=F.lit(at(now)), ttl="1 hour")
+        return tuples(got.filter(F.col("window_start") == at(0)), "source", "total_events", "unique_users_affected")
+
+    assert at_opening(75) == [("email", 2, 2)]
+    assert at_opening(69) == [("email", 2, 2), ("social", 1, 1)]
+    assert at_opening(70) == [("email", 2, 2)]
+    assert at_opening(110) == []
 
 
 def files(folder):
     return sorted(os.path.join(d, f) for d, _, names in os.walk(folder) for f in names if f.startswith("part-"))
 
 
-def test_maintenance_deletes_expired_hours_and_merges_commits(spark, shared):
+def test_maintenance_drops_expired_rows_and_merges_commits(spark, shared):
     table = w.USER_BEHAVIOR
     for batch in range(4):
         rows = totals(spark, [event(0)] * (batch + 1) + [event(200)] * (batch == 0))
@@ -258,48 +387,65 @@ def test_maintenance_deletes_expired_hours_and_merges_commits(spark, shared):
     now = F.lit(at(220))
     before = serving.read_latest(spark, shared, table, now)
     want = same_rows(before, before)
-    assert len(files(shared)) == 5
-    serving.maintain(spark, shared, table, "r1", 3, now=now, most_commits=3)
-    left = files(shared)
-    assert len(left) == 1 and "hour=473352" in left[0]  # 2024-01-01T00; hour 03 had expired
-    assert same_rows(serving.read_latest(spark, shared, table, now), serving.read_latest(spark, shared, table, now)) == want
+    serving.maintain(spark, shared, table, "r1", 3, now=now, most_commits=2, grace=-1)
+    assert len(files(shared)) == 2  # the merged one, and the last, which may be written again
+    assert serving.read_rows(spark, shared, table).count() == 2  # the window at 200 minutes has expired
+    again = serving.read_latest(spark, shared, table, now)
+    assert same_rows(again, again) == want
     serving.write_batch(totals(spark, [event(0)] * 9), 4, shared, table, "r1", F.lit(at(215)))
     assert tuples(serving.read_latest(spark, shared, table, now), "total_events") == [(9,)]
 
 
+def test_upkeep_drops_expired_panes(spark, shared):
+    table = w.USER_BEHAVIOR
+    for batch, minute in enumerate((0, 30, 31)):
+        panes.append(events(spark, [event(minute, user=f"u{batch}")]), batch, shared, table, "r1",
+                     written_at=F.lit(at(minute)))
+    now = F.lit(at(85))
+    want = panes.read_latest(spark, shared, table, now)
+    want = same_rows(want, want)
+    panes.maintain(spark, shared, table, now=now, most_commits=2)
+    assert commits.read(spark, f"{shared}/{table.name}", panes.stored_schema(table)).count() == 2
+    got = panes.read_latest(spark, shared, table, now)
+    assert same_rows(got, got) == want and len(want) == 11
+
+
 def test_a_read_with_a_time_to_live_prunes_hours(spark, shared):
     for batch in range(3):
         serving.write_batch(totals(spark, [event(batch * 120)]), batch, shared, w.USER_BEHAVIOR, "r1",
                             F.lit(at(batch * 120)))
     got = serving.read_latest(spark, shared, w.USER_BEHAVIOR, now=F.lit(at(250)))
     assert tuples(got, "window_start") == [(at(240),)]
-    assert "PartitionFilters: [isnotnull(hour" in got._jdf.queryExecution().toString()
+    assert "PushedFilters: [IsNotNull(hour), GreaterThanOrEqual(hour" in got._jdf.queryExecution().toString()
 
 
 # --- lineage ---
 
-def test_another_split_count_on_a_checkpoint_is_refused(spark, shared):
+def test_other_windows_on_a_checkpoint_are_refused(spark, shared):
     users = [event(0, user=f"u{i}") for i in range(20)]
     deliver(spark, f"{shared}/in", users)
-    run(spark, f"{shared}/in", shared, settings=Settings(splits=8))
-    with pytest.raises(ValueError, match="8 splits"):
-        run(spark, f"{shared}/in", shared, settings=Settings(splits=3))
-    run(spark, f"{shared}/in", shared, settings=Settings(splits=8))
+    run(spark, f"{shared}/in", shared)
+    with pytest.raises(ValueError, match="600, 60"):
+        run(spark, f"{shared}/in", shared, settings=Settings(window="20 minutes"))
+    run(spark, f"{shared}/in", shared)
     same_rows(served(spark, shared), w.user_behavior(events(spark, users)))
 
 
-@pytest.mark.parametrize("splits", [8, 3])
-def test_a_new_checkpoint_replaces_what_an_old_one_served(spark, shared, splits):
+@pytest.mark.parametrize("settings", [Settings(), Settings(window="20 minutes"), Settings(approximate_users=True)],
+                         ids=["same", "window", "sketches"])
+def test_a_new_checkpoint_replaces_what_an_old_one_served(spark, shared, settings):
+    grain = Grain(settings.window, settings.slide)
     users = [event(0, user=f"u{i}") for i in range(20)]
     deliver(spark, f"{shared}/in", users)
-    run(spark, f"{shared}/in", shared, settings=Settings(splits=8))
+    run(spark, f"{shared}/in", shared)
     os.rename(f"{shared}/checkpoints", f"{shared}/lost")
-    run(spark, f"{shared}/in", shared, settings=Settings(splits=splits))
-    same_rows(served(spark, shared), w.user_behavior(events(spark, users)))
+    run(spark, f"{shared}/in", shared, settings=settings)
+    whole = w.window_table(events(spark, users), w.USER_BEHAVIOR, grain)
+    same_rows(served(spark, shared), whole)
     os.rename(f"{shared}/checkpoints", f"{shared}/lost_again")
     deliver(spark, f"{shared}/in2", [event(0, user="u3")])
-    run(spark, f"{shared}/in2", shared, settings=Settings(splits=splits))
-    same_rows(served(spark, shared), w.user_behavior(events(spark, [event(0, user="u3")])))
+    run(spark, f"{shared}/in2", shared, settings=settings)
+    same_rows(served(spark, shared), w.window_table(events(spark, [event(0, user="u3")]), w.USER_BEHAVIOR, grain))
 
 
 def test_key_text(spark):

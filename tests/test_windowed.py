@@ -193,17 +193,16 @@ def test_latest_window_reads_only_the_tail(spark):
     assert "GreaterThanOrEqual(ts,ScalarSubquery" in text
 
 
-def test_splits_add_up(spark):
-    rows = shop_events(spark, SF)
+def test_pane_rows_add_up(spark):
+    rows = shop_events(spark, SF).withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
     for table in ALL_TABLES:
-        parts = w.stream_parts(rows, table, splits=4)
-        same_rows(table.finish(w.merge_parts(parts, table)), w.window_table(
-            rows.withColumn("event_timestamp", F.col("event_timestamp")), table))
+        some = [w.pane_rows(rows.filter(F.col("event_id").cast("long") % 3 == i), table, w.REALTIME) for i in range(3)]
+        both = some[0].unionByName(some[1]).unionByName(some[2])
+        same_rows(table.finish(w.totals_of_panes(both, table, w.REALTIME, rows.schema["event_timestamp"].dataType)),
+                  w.window_table(rows, table))
 
 
 def test_streams_are_refused_by_the_batch_path(spark):
     stream = spark.readStream.format("rate").load().withColumnRenamed("timestamp", "event_timestamp")
     with pytest.raises(ValueError):
         w.window_totals(stream, w.USER_BEHAVIOR)
-    with pytest.raises(ValueError):
-        w.stream_parts(stream, w.USER_BEHAVIOR, splits=0)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from math import gcd
 
 from pyspark.sql import Column, functions as F, types as T
 
@@ -65,6 +66,10 @@ class Grain:
         n, rest = divmod(self.window_seconds, self.slide_seconds)
         return None if rest else n
 
+    def divided(self) -> Grain:
+        """Windows of the same length by the longest slide that divides window and slide."""
+        return Grain(self.window, f"{gcd(self.window_seconds, self.slide_seconds)} seconds")
+
     def column(self, ts: Column) -> Column:
         return F.window(ts, self.window, self.slide or self.window)
 

@@ -1,23 +1,22 @@
-"""Sliding-window tables, in batch by panes and on streams by split state.
+"""Sliding-window tables, built from panes in batch and on streams.
 
 A table is a set of keys, additive measures (each an aggregate of events and the
-aggregate that merges partial values) and optionally one exact distinct count.
-
-Batch. Grouping each event under all its windows would multiply the input by
-window/slide before anything is combined. Instead events are first combined per
-key and slide-long pane. Pane rows then go to the time block(s) their windows
-start in, are shuffled once by (key, block), and only there spread over windows;
-the final grouping needs no further exchange. A block holds a bounded number of
-pane rows per key, so a hot key is no hot task.
-
-The distinct count never builds a set. Per key and user, a pane brings the user
-into just those windows that do not hold an earlier pane of that user: with a gap
-of ``g`` slides since the last pane, ``min(g, panes)`` windows. These reaches are
-plain counts and merge by addition.
-
-Stream. A stream allows one aggregation, so state keeps a set of users per window
-and key; it is divided into ``splits`` by user hash. Splits hold disjoint users,
-hence sizes add up exactly, and no state row or task holds a whole hot key.
+aggregate that merges partial values) and optionally one distinct count.
+
+Grouping each event under all its windows would multiply the input by window/slide
+before anything is combined. Instead events are first combined per key and slide-long
+pane. Pane rows then go to the time block(s) their windows start in, are shuffled once
+by (key, block), and only there spread over windows; the final grouping needs no further
+exchange. A block holds a bounded number of pane rows per key, so a hot key is no hot
+task. Pane rows add up, so a stream stores those of each micro-batch and keeps no state
+(see ``streaming.panes``); each has the first window it counts for, as a late event does
+not reach windows that had closed when it came.
+
+The exact distinct count never builds a set. A pane row of one key and user counts for the
+windows from ``first`` to its own; taken by ``first``, each brings the user into those
+windows only that lie past all panes of that user so far. These reaches are plain counts
+and merge by addition. The approximate count keeps a sketch of bounded size per key and
+pane instead of rows per user; sketches merge over panes and windows.
 """
 
 from __future__ import annotations
@@ -32,6 +31,8 @@ from tidegauge.operators.grain import REALTIME, Grain, slot_of, span, time_of
 from tidegauge.schema import SERVED_SCHEMAS
 
 EVENT_TIME = "event_timestamp"
+# Base-2 logarithm of the buckets of a sketch: an error of about 1.04 / sqrt(4096).
+SKETCH = 12
 # Window starts per time block, as a multiple of the panes of a window: pane rows
 # near a block's start are copied to the block before it, 1/6 of them.
 _BLOCK_FACTOR = 6
@@ -59,8 +60,10 @@ class WindowTable:
     keys: tuple[str, ...]
     measures: tuple[Measure, ...]
     ratios: Callable[[], dict[str, Column]]
-    # (counted column, output column), an exact distinct count
+    # (counted column, output column), a distinct count
     distinct: tuple[str, str] | None = None
+    # Whether it is estimated from sketches.
+    approximate: bool = False
 
     @property
     def columns(self) -> list[str]:
@@ -71,16 +74,30 @@ class WindowTable:
         """The table less its distinct count, whose two shuffles are saved."""
         return replace(self, distinct=None)
 
+    def with_approximate_users(self) -> WindowTable:
+        """The same with the distinct count estimated, within about 2 % (one deviation of
+        ``SKETCH``), which drops the shuffle by user and all rows per user."""
+        return replace(self, approximate=self.distinct is not None)
+
+    @property
+    def user(self) -> str | None:
+        """The column whose values pane rows are kept apart by."""
+        return self.distinct[0] if self.distinct and not self.approximate else None
+
+    @property
+    def pane_measures(self) -> tuple[Measure, ...]:
+        """What a pane row holds beside its keys."""
+        if not self.approximate:
+            return self.measures
+        column, output = self.distinct
+        return (*self.measures, Measure(output, f"hll_sketch_agg({column}, {SKETCH})", "hll_union_agg", "binary"))
+
     @property
     def measure_names(self) -> list[str]:
         """Columns that add up (or merge) across parts."""
         users = [self.distinct[1]] if self.distinct else []
         return [m.name for m in self.measures] + users
 
-    def merges(self) -> list[Column]:
-        users = [F.sum(self.distinct[1]).alias(self.distinct[1])] if self.distinct else []
-        return [m.of_partials() for m in self.measures] + users
-
     def finish(self, rows: DataFrame) -> DataFrame:
         """Ratios, processing time and column order over whole (merged) rows."""
         if self.distinct:
@@ -160,12 +177,12 @@ def table_named(name: str) -> WindowTable:
 def window_totals(events: DataFrame, table: WindowTable, grain: Grain = REALTIME) -> DataFrame:
     """Merged measures per window and key, without ratios. Batch only."""
     if events.isStreaming:
-        raise ValueError("use stream_parts() for a streaming DataFrame")
+        raise ValueError("use streaming.panes for a streaming DataFrame")
     events = events.filter(F.col(EVENT_TIME).isNotNull())
     if grain.panes is None or grain.panes == 1:
         return _grouped_directly(events, table, grain)
-    return _spread(_pane_rows(events, table, grain), table, grain,
-                   events.schema[EVENT_TIME].dataType)
+    return totals_of_panes(pane_rows(events, table, grain), table, grain,
+                           events.schema[EVENT_TIME].dataType)
 
 
 def _grouped_directly(events: DataFrame, table: WindowTable, grain: Grain) -> DataFrame:
@@ -174,56 +191,71 @@ def _grouped_directly(events: DataFrame, table: WindowTable, grain: Grain) -> Da
     measures = [m.of_events() for m in table.measures]
     if table.distinct:
         column, output = table.distinct
-        measures.append(F.count_distinct(column).alias(output))
+        users = (F.hll_sketch_estimate(F.hll_sketch_agg(column, SKETCH)) if table.approximate
+                 else F.count_distinct(column))
+        measures.append(users.alias(output))
     rows = events.groupBy(grain.column(F.col(EVENT_TIME)), *table.keys).agg(*measures)
     return rows.select(F.col("window.start").alias("window_start"),
                        F.col("window.end").alias("window_end"),
                        *table.keys, *table.measure_names)
 
 
-def _pane_rows(events: DataFrame, table: WindowTable, grain: Grain) -> DataFrame:
-    """Combined measures per key and slot (pane number); with a distinct count also per
-    reach, the number of windows a user newly enters there."""
+def pane_rows(events: DataFrame, table: WindowTable, grain: Grain, opened: int | None = None) -> DataFrame:
+    """Combined measures per key, user (for an exact distinct count) and slot, the pane's
+    number; ``first`` is the number of the first window they count for.
+
+    ``opened``: the first window that is still open. Rows of several calls add up.
+    """
     events = events.withColumn("pane", grain.pane(F.col(EVENT_TIME)))
     slot = slot_of("pane", events.schema["pane"].dataType, grain.slide_seconds).alias("slot")
-    updates = [m.of_events() for m in table.measures]
-    names = [m.name for m in table.measures]
-    if not table.distinct:
-        return (events.groupBy(*table.keys, "pane").agg(*updates)
-                      .select(*table.keys, slot, *names))
-
-    user, _ = table.distinct
-    per_user = (events.groupBy(*table.keys, user, "pane").agg(*updates)
-                      .select(*table.keys, user, slot, *names))
-    previous = F.lag("slot").over(Window.partitionBy(*table.keys, user).orderBy("slot"))
-    reach = (F.when(F.col(user).isNull(), 0)
-              .otherwise(F.least(F.coalesce(F.col("slot") - previous, F.lit(grain.panes)),
-                                 F.lit(grain.panes))))
-    return (per_user.withColumn("reach", reach)
-                    .groupBy(*table.keys, "slot", "reach")
-                    .agg(*[m.of_partials() for m in table.measures],
-                         F.count(user).alias("users")))
-
-
-def _spread(pane_rows: DataFrame, table: WindowTable, grain: Grain,
-            kind: T.DataType) -> DataFrame:
-    """Sum pane rows over the windows that hold them; a window goes by its first slot."""
-    panes, block = grain.panes, grain.panes * _BLOCK_FACTOR
-    slot, first = F.col("slot"), F.col("slot") - (panes - 1)
-    rows = pane_rows.withColumn("block", F.explode(F.array_distinct(F.array(
+    users = [table.user] if table.user else []
+    rows = (events.groupBy(*table.keys, *users, "pane").agg(*[m.of_events() for m in table.pane_measures])
+                  .select(*table.keys, *users, slot, *[m.name for m in table.pane_measures]))
+    first = F.col("slot") - (grain.panes - 1)
+    if opened is None:
+        return rows.withColumn("first", first)
+    return rows.withColumn("first", F.greatest(first, F.lit(opened))).filter("first <= slot")
+
+
+def _with_reach(rows: DataFrame, table: WindowTable) -> DataFrame:
+    """Rows per user combined to rows per reach, the number of windows that ``users`` of
+    the slot newly enter there."""
+    earlier = Window.partitionBy(*table.keys, table.user).orderBy("first", "slot").rowsBetween(
+        Window.unboundedPreceding, -1)
+    # Taken by first window, those before cover all from there to the latest of their slots.
+    covered = F.greatest(F.max("slot").over(earlier), F.col("first") - 1)
+    reach = F.when(F.col(table.user).isNull(), 0).otherwise(F.greatest(F.col("slot") - covered, F.lit(0)))
+    return (rows.withColumn("reach", reach)
+                .groupBy(*table.keys, "slot", "first", "reach")
+                .agg(*[m.of_partials() for m in table.measures], F.count(table.user).alias("users")))
+
+
+def totals_of_panes(rows: DataFrame, table: WindowTable, grain: Grain, kind: T.DataType) -> DataFrame:
+    """Pane rows summed over the windows that hold them; a window goes by its first slot.
+
+    Correct for the windows from the least slot of the rows on where earlier ones are
+    left out of ``rows``."""
+    if table.user:
+        rows = _with_reach(rows, table)
+    block = grain.panes * _BLOCK_FACTOR
+    slot, first = F.col("slot"), F.col("first")
+    rows = rows.withColumn("block", F.explode(F.array_distinct(F.array(
         first - F.pmod(first, F.lit(block)), slot - F.pmod(slot, F.lit(block))))))
     # A set number of partitions: what follows multiplies the rows by ``panes``, so
     # adaptive coalescing by shuffled bytes would leave too few tasks for it.
-    tasks = int(pane_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(tasks, *table.keys, "block")
 
     rows = rows.withColumn("opening", F.explode(F.sequence(
         F.greatest(first, F.col("block")), F.least(slot, F.col("block") + (block - 1)))))
     merges = [m.of_partials() for m in table.measures]
-    if table.distinct:
+    if table.user:
         enters = slot - F.col("opening") < F.col("reach")
         merges.append(F.sum(F.when(enters, F.col("users")).otherwise(0))
                        .alias(table.distinct[1]))
+    elif table.distinct:
+        users = table.distinct[1]
+        merges.append(F.hll_sketch_estimate(F.hll_union_agg(users)).alias(users))
     return (rows.groupBy(*table.keys, "block", "opening").agg(*merges)
                 .withColumn("window_start", time_of("opening", kind, grain.slide_seconds))
                 .withColumn("window_end", F.col("window_start") + span(grain.window_seconds))
@@ -244,37 +276,3 @@ def category_analytics(events: DataFrame, grain: Grain = REALTIME) -> DataFrame:
 
 def user_behavior(events: DataFrame, grain: Grain = REALTIME) -> DataFrame:
     return window_table(events, USER_BEHAVIOR, grain)
-
-
-# --- stream ------------------------------------------------------------------
-
-def stream_parts(events: DataFrame, table: WindowTable, grain: Grain = REALTIME,
-                 watermark: str = "5 minutes", splits: int = 8) -> DataFrame:
-    """Watermarked windows as parts: one row per window, key and split.
-
-    With ``splits=1`` a part is the whole row and ``table.finish`` applies at once;
-    state then keeps all users of a window and key together, which suits small
-    streams only. Works on a batch frame too (the watermark is ignored there).
-    """
-    if splits < 1:
-        raise ValueError("splits must be at least 1")
-    groups = [grain.column(F.col(EVENT_TIME)), *map(F.col, table.keys)]
-    measures = [m.of_events() for m in table.measures]
-    part: Column = F.lit(0)
-    if table.distinct:
-        column, output = table.distinct
-        measures.append(F.size(F.collect_set(column)).alias(output))
-        if splits > 1:
-            part = F.pmod(F.xxhash64(column), F.lit(splits)).cast("int")
-    rows = (events.withColumn("part", part)
-                  .withWatermark(EVENT_TIME, watermark)
-                  .groupBy(*groups, "part").agg(*measures))
-    return rows.select(F.col("window.start").alias("window_start"),
-                       F.col("window.end").alias("window_end"),
-                       *table.keys, "part", *table.measure_names)
-
-
-def merge_parts(parts: DataFrame, table: WindowTable, *more: Column) -> DataFrame:
-    """Whole rows from the parts of each window and key; ``more`` adds aggregates."""
-    return (parts.groupBy("window_start", "window_end", *table.keys)
-                 .agg(*table.merges(), *more))

@@ -241,6 +241,18 @@ ORACLES: dict[str, str] = {
     "trending_products": with_tables("minutes", "select * from t"),
     "category_analytics": with_tables("minutes", "select * from c"),
     "user_behavior": with_tables("minutes", "select * from b"),
+    "approximate_users": with_tables("weekly", "select window_start, product_id, unique_users, true as within from t"),
+    "approximate_users_stream": with_tables(
+        "weekly", "select window_start, product_id, unique_users, true as within from t"),
+    "all_tables_stream": with_tables("weekly", " union all ".join(
+        f"""select '{name}' as name, cast(count(*) as bigint) as windows, cast(sum(total_events) as bigint) as total_events,
+  round(sum(revenue), 2) as revenue from {table}"""
+        for name, table in (("trending_products", "t"), ("category_analytics", "c"), ("user_behavior", "b")))),
+    "serving_keys_read": with_tables("weekly", """select * from c where day(window_start) % 3 = 0 and exists (
+  select 1 from ev where date_trunc('day', event_timestamp) = window_start and category is not distinct from c.category)"""),
+    "serving_values_read": with_tables("weekly", """select
+  'trending_products:' || strftime(window_start, '%Y-%m-%dT%H_%M_%S_000Z') || '_' ||
+  coalesce(product_id, 'unknown_product') as serving_key, total_events from t where day(window_start) = 9"""),
     "trending_products_stream": with_tables("minutes", "select * from t"),
     "category_analytics_stream": with_tables("minutes", "select * from c"),
     "user_behavior_stream": with_tables("minutes", "select * from b"),

@@ -13,14 +13,14 @@ from tidegauge.operators.forecast import forecast, forecast_summary, history
 from tidegauge.operators.grain import HOURLY, Grain
 from tidegauge.operators.latest import at_latest_window, latest_window_table
 from tidegauge.operators.windowed import (
-    CATEGORY_ANALYTICS, TRENDING_PRODUCTS, USER_BEHAVIOR, WindowTable, window_table, window_totals)
+    CATEGORY_ANALYTICS, SKETCH, TABLES, TRENDING_PRODUCTS, USER_BEHAVIOR, WindowTable, window_table, window_totals)
 from tidegauge.operators.events import with_catalog
 from tidegauge.plans.adapter import SOURCES, event_stream, raw_events, read_parts_table, shop_events
 from tidegauge.sources.catalog import read_catalog
 from tidegauge.session import tune
 from tidegauge.settings import Settings, shared_root
 from tidegauge.sources.decode import decode_messages, rejected_messages
-from tidegauge.streaming import jobs, serving
+from tidegauge.streaming import jobs, panes, serving
 from tidegauge.streaming.publish import to_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,10 +148,9 @@ def user_behavior(spark, sf_dir):
 
 def _served_from_stream(spark: SparkSession, sf_dir: str, table: WindowTable) -> DataFrame:
     """All files in one go, so no event is late and the table equals the batch one."""
-    root, settings = fresh_root(spark), Settings()
-    parts = jobs.table_parts(event_stream(spark, sf_dir), table, settings)
-    jobs.finish([jobs.start_serving(parts, table, root, settings, available_now=True)])
-    rows = serving.read_latest(spark, f"{root}/serving", table, ttl=None)
+    root = fresh_root(spark)
+    jobs.finish([jobs.start_serving(event_stream(spark, sf_dir), [table], root, available_now=True)])
+    rows = panes.read_latest(spark, f"{root}/serving", table, ttl=None)
     return rows.select(*table.columns)
 
 
@@ -170,6 +169,75 @@ def user_behavior_stream(spark, sf_dir):
     return _served_from_stream(spark, sf_dir, USER_BEHAVIOR)
 
 
+def _near_exact(exact: DataFrame, estimated: DataFrame) -> DataFrame:
+    """Exact users per window and product, and whether the estimate lies within four
+    deviations of a sketch (and one user)."""
+    keys = ["window_start", *TRENDING_PRODUCTS.keys]
+    other = estimated.select(*[F.col(k).alias(f"their_{k}") for k in keys], F.col("unique_users").alias("estimate"))
+    both = exact.select(*keys, "unique_users").join(
+        other, [F.col(k).eqNullSafe(F.col(f"their_{k}")) for k in keys], "full")
+    apart = F.abs(F.col("estimate") - F.col("unique_users"))
+    within = apart <= 1 + F.col("unique_users") * (4 * 1.04 / 2 ** (SKETCH / 2))
+    return both.select("window_start", "product_id", "unique_users", F.coalesce(within, F.lit(False)).alias("within"))
+
+
+@query
+def approximate_users(spark, sf_dir):
+    events = shop_events(spark, sf_dir)
+    return _near_exact(window_table(events, TRENDING_PRODUCTS, WEEKLY),
+                       window_table(events, TRENDING_PRODUCTS.with_approximate_users(), WEEKLY))
+
+
+@query
+def approximate_users_stream(spark, sf_dir):
+    """Sketches per key and pane, kept by the stream and merged on read."""
+    root, settings = fresh_root(spark), Settings(window=WEEKLY.window, slide=WEEKLY.slide, approximate_users=True)
+    jobs.finish([jobs.start_serving(event_stream(spark, sf_dir), [TRENDING_PRODUCTS], root, settings, available_now=True)])
+    exact = window_table(shop_events(spark, sf_dir).withColumn(
+        "event_timestamp", F.col("event_timestamp").cast("timestamp")), TRENDING_PRODUCTS, WEEKLY)
+    return _near_exact(exact, panes.read_latest(spark, f"{root}/serving", TRENDING_PRODUCTS, ttl=None))
+
+
+@query
+def all_tables_stream(spark, sf_dir):
+    """Three tables from one pass over the source; the rows of each, added up."""
+    root, settings = fresh_root(spark), Settings(window=WEEKLY.window, slide=WEEKLY.slide)
+    jobs.finish([jobs.start_serving(event_stream(spark, sf_dir), list(TABLES.values()), root, settings,
+                                    available_now=True)])
+    parts = [panes.read_latest(spark, f"{root}/serving", table, ttl=None)
+             .agg(F.count(F.lit(1)).alias("windows"), F.sum("total_events").alias("total_events"),
+                  F.sum("revenue").alias("revenue")).select(F.lit(name).alias("name"), "*")
+             for name, table in TABLES.items()]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+@query
+def serving_keys_read(spark, sf_dir):
+    """The rows of a list of windows and categories, read together from a stream's panes.
+
+    Every third key is asked for, and one window that is not there.
+    """
+    root, settings = fresh_root(spark), Settings(window=WEEKLY.window, slide=WEEKLY.slide)
+    jobs.finish([jobs.start_serving(event_stream(spark, sf_dir), [CATEGORY_ANALYTICS], root, settings, available_now=True)])
+    days = shop_events(spark, sf_dir).select(F.date_trunc("day", "event_timestamp").cast("timestamp").alias("window_start"),
+                                             "category")
+    wanted = days.filter(F.dayofmonth("window_start") % 3 == 0).distinct()
+    absent = wanted.limit(1).select(F.lit("1999-01-01").cast("timestamp").alias("window_start"), "category")
+    return (panes.read_keys(spark, f"{root}/serving", CATEGORY_ANALYTICS, wanted.union(absent))
+            .select(*CATEGORY_ANALYTICS.columns))
+
+
+@query
+def serving_values_read(spark, sf_dir):
+    """Key and value rows of many keys, from files in order of keys with Bloom filters."""
+    path = f"{fresh_root(spark)}/values"
+    rows = window_table(shop_events(spark, sf_dir), TRENDING_PRODUCTS, WEEKLY)
+    serving.export_values(rows, path, TRENDING_PRODUCTS)
+    wanted = serving.as_key_values(rows.filter(F.dayofmonth("window_start") == 9), TRENDING_PRODUCTS)
+    found = serving.get_values(spark, path, TRENDING_PRODUCTS, wanted)
+    return found.select("serving_key", F.get_json_object("value", "$.total_events").cast("bigint").alias("total_events"))
+
+
 @query
 def late_events(spark, sf_dir):
     """Error events come after all others, two days of lateness allowed, weekly windows.
@@ -177,16 +245,15 @@ def late_events(spark, sf_dir):
     The second delivery is a restart from the checkpoint of the first.
     """
     root = fresh_root(spark)
-    settings = Settings(window="7 days", slide="1 day", watermark="2 days", splits=4)
+    settings = Settings(window="7 days", slide="1 day", watermark="2 days")
     messages = to_messages(raw_events(spark, sf_dir)).withColumn(
         "late", F.get_json_object("value", "$.event_type") == "error")
     for late in (False, True):
         (messages.filter(F.col("late") == late).select("key", "value")
                  .write.mode("append").parquet(f"{root}/messages"))
         stream = spark.readStream.schema("key string, value string").parquet(f"{root}/messages")
-        parts = jobs.table_parts(decode_messages(stream), USER_BEHAVIOR, settings)
-        jobs.finish([jobs.start_serving(parts, USER_BEHAVIOR, root, settings, available_now=True)])
-    rows = serving.read_latest(spark, f"{root}/serving", USER_BEHAVIOR, ttl=None)
+        jobs.finish([jobs.start_serving(decode_messages(stream), [USER_BEHAVIOR], root, settings, available_now=True)])
+    rows = panes.read_latest(spark, f"{root}/serving", USER_BEHAVIOR, ttl=None)
     return rows.select(*USER_BEHAVIOR.columns)
 
 
@@ -219,12 +286,10 @@ def serving_unexpired(spark, sf_dir):
 def serving_keys(spark, sf_dir):
     rows = window_table(shop_events(spark, sf_dir), TRENDING_PRODUCTS)
     values = serving.as_key_values(rows, TRENDING_PRODUCTS)
-    return values.select(
-        "serving_key",
-        F.get_json_object("value", "$.window_start").alias("window_start_text"),
-        F.get_json_object("value", "$.product_name").alias("product_name"),
-        F.get_json_object("value", "$.total_events").cast("bigint").alias("total_events"),
-        F.get_json_object("value", "$.conversion_rate").cast("double").alias("conversion_rate"))
+    fields = "window_start string, product_name string, total_events bigint, conversion_rate double"
+    return values.select("serving_key", F.from_json("value", fields).alias("v")).select(
+        "serving_key", F.col("v.window_start").alias("window_start_text"), "v.product_name", "v.total_events",
+        "v.conversion_rate")
 
 
 def _some_missing(events: DataFrame, *columns: str) -> DataFrame:

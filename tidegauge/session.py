@@ -11,15 +11,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Window state lives on local disk with changelog checkpoints instead of on the heap.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    # Counting state rows costs a read per write.
-    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
-    # User sets of a micro-batch are small and many: hash them up to this many groups
-    # per task before sorting instead (default 128).
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
     # A record of the forecast is a whole series.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }

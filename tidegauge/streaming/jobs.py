@@ -1,4 +1,8 @@
-"""Streaming jobs: one query per window table into the serving table."""
+"""Streaming jobs: one query over the events, which keeps any number of window tables.
+
+Each micro-batch is read and decoded once, for all tables; the tables' panes are written
+from it (see ``panes``), and no state is kept between batches.
+"""
 
 from __future__ import annotations
 
@@ -8,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegauge.operators.grain import Grain
-from tidegauge.operators.windowed import TABLES, WindowTable, stream_parts, table_named
+from tidegauge.operators.windowed import EVENT_TIME, TABLES, WindowTable, table_named
 from tidegauge.settings import Settings, shared_root
-from tidegauge.streaming.serving import (
-    as_key_values, batch_is_empty, changed_rows, lineage_of, maintain, new_run, write_batch)
+from tidegauge.streaming import panes
+from tidegauge.streaming.serving import as_key_values, new_run
 
 OnBatch = Callable[[DataFrame, int], None]
 
@@ -20,59 +24,57 @@ def _trigger(settings: Settings, available_now: bool) -> dict:
     return {"availableNow": True} if available_now else {"processingTime": settings.trigger}
 
 
-def table_parts(events: DataFrame, table: WindowTable, settings: Settings) -> DataFrame:
-    return stream_parts(events, table, Grain(settings.window, settings.slide),
-                        settings.watermark, settings.splits)
+def show_rows(rows: DataFrame, batch: int, table: WindowTable) -> None:
+    """Print the finished rows that a batch changed, in full width; for debugging."""
+    print(f"{table.name}, batch {batch}")
+    rows.select(*table.columns).orderBy("window_start", *table.keys).show(1000, truncate=False)
 
 
-def console_rows(events: DataFrame, table: WindowTable, settings: Settings) -> DataFrame:
-    """Finished rows, one per window and key: the columns that readers of the table get.
+def used_columns(tables: Sequence[WindowTable]) -> list[str]:
+    """What the tables need of an event."""
+    own = {c for t in tables for c in (*t.keys, *([t.distinct[0]] if t.distinct else []))}
+    return sorted(own | {EVENT_TIME, "is_click", "is_purchase", "revenue_filled", "quantity", "price"})
 
-    State keeps all users of a window and key together; for debugging on small streams.
-    """
-    return table.finish(stream_parts(events, table, Grain(settings.window, settings.slide),
-                                     settings.watermark, splits=1))
-
-
-def start_console(rows: DataFrame, name: str, checkpoint: str, settings: Settings = Settings(),
-                  output_mode: str = "update", available_now: bool = False) -> StreamingQuery:
-    """Print changed rows in full width; for debugging."""
-    return (rows.writeStream.queryName(name).outputMode(output_mode)
-                .format("console").option("truncate", "false")
-                .option("checkpointLocation", checkpoint)
-                .trigger(**_trigger(settings, available_now)).start())
-
-
-def start_serving(parts: DataFrame, table: WindowTable, root: str,
-                  settings: Settings = Settings(), output_mode: str = "update",
-                  available_now: bool = False, on_batch: OnBatch | None = None,
-                  run: str | None = None, maintain_every: int = 120) -> StreamingQuery:
-    """Keep the serving table of ``table`` up to date from a stream of its parts.
-
-    ``on_batch`` gets the key and value rows a batch changed, for stores outside; it is
-    not called for a batch without rows. Every ``maintain_every`` batches expired hours
-    are deleted and commits merged (0: never). An error in the sink fails the query; it
-    resumes from the checkpoint without loss, and the repeated batch replaces what it
-    wrote before. ``settings.splits`` must be what the checkpoint was started with.
+
+def start_serving(events: DataFrame, tables: Sequence[WindowTable], root: str, settings: Settings = Settings(),
+                  available_now: bool = False, on_batch: Mapping[str, OnBatch] | None = None,
+                  console: bool = False, run: str | None = None, maintain_every: int = 120,
+                  name: str = "serve") -> StreamingQuery:
+    """Keep the serving tables under ``root/serving`` up to date from a stream of events.
+
+    ``on_batch`` gets, by table name, the key and value rows a batch changed, for stores
+    outside; it is not called for a batch without rows. ``console`` prints them. Every
+    ``maintain_every`` batches expired panes are dropped and commits merged (0: never). An
+    error in a sink fails the query; it resumes from the checkpoint without loss, and the
+    repeated batch replaces what it wrote before. A checkpoint keeps its windows and slide.
     """
-    table_named(table.name)
-    run = run or new_run()
-    base = root.rstrip("/")
-    target, checkpoint = f"{base}/serving", f"{base}/checkpoints/{table.name}"
-    lineage = lineage_of(parts.sparkSession, checkpoint, settings.splits)
+    tables = [table_named(t.name) and t for t in tables]
+    run, base, grain = run or new_run(), root.rstrip("/"), Grain(settings.window, settings.slide)
+    if settings.approximate_users:
+        tables = [t.with_approximate_users() for t in tables]
+    target, checkpoint = f"{base}/serving", f"{base}/checkpoints/{name}"
+    lineage = panes.lineage_of(events.sparkSession, checkpoint, grain)
+    hooks = on_batch or {}
 
     def upsert(batch_rows: DataFrame, batch: int) -> None:
-        write_batch(batch_rows, batch, target, table, run, lineage=lineage)
         spark = batch_rows.sparkSession
-        if on_batch is not None and not batch_is_empty(spark, target, table, run, batch):
-            rows = changed_rows(spark, target, table, run, batch)
-            on_batch(as_key_values(rows, table), batch)
-        if maintain_every and batch % maintain_every == maintain_every - 1:
-            maintain(spark, target, table, run, batch, ttl=settings.ttl)
-
-    return (parts.writeStream.queryName(f"serve_{table.name}").outputMode(output_mode)
-                 .option("checkpointLocation", checkpoint)
-                 .trigger(**_trigger(settings, available_now)).foreachBatch(upsert).start())
+        known = batch_rows.select(*used_columns(tables)).persist()  # lost parts are read again
+        try:
+            for table in tables:
+                commit = panes.append(known, batch, target, table, run, lineage, grain, settings.watermark)
+                if commit.rows and (console or table.name in hooks):
+                    rows = panes.changed_rows(spark, target, table, commit)
+                    if console:
+                        show_rows(rows, batch, table)
+                    if table.name in hooks:
+                        hooks[table.name](as_key_values(rows, table), batch)
+                if maintain_every and batch % maintain_every == maintain_every - 1:
+                    panes.maintain(spark, target, table, batch, ttl=settings.ttl)
+        finally:
+            known.unpersist()
+
+    return (events.writeStream.queryName(name).option("checkpointLocation", checkpoint)
+                  .trigger(**_trigger(settings, available_now)).foreachBatch(upsert).start())
 
 
 def start_rejects(rejects: DataFrame, root: str, settings: Settings = Settings(),
@@ -89,21 +91,13 @@ def start_all(events: DataFrame, settings: Settings = Settings(),
               tables: Sequence[str] = tuple(TABLES), console: bool = False,
               available_now: bool = False, on_batch: Mapping[str, OnBatch] | None = None,
               rejects: DataFrame | None = None) -> list[StreamingQuery]:
-    """A serving query per table over one event stream, and a console query each on request.
+    """One query that serves all tables from one event stream, and prints them on request.
 
     ``on_batch`` has a callback by table name for changed rows; ``rejects`` is a stream
-    of messages that could not be decoded, to be kept.
+    of messages that could not be decoded, to be kept by a query of their own.
     """
     root = shared_root(events.sparkSession, settings)
-    queries = []
-    for table in map(table_named, tables):
-        parts = table_parts(events, table, settings)
-        queries.append(start_serving(parts, table, root, settings, available_now=available_now,
-                                     on_batch=(on_batch or {}).get(table.name)))
-        if console:
-            queries.append(start_console(console_rows(events, table, settings), f"{table.name}_console",
-                                         f"{root.rstrip('/')}/checkpoints/{table.name}_console",
-                                         settings, available_now=available_now))
+    queries = [start_serving(events, [table_named(t) for t in tables], root, settings, available_now, on_batch, console)]
     if rejects is not None:
         queries.append(start_rejects(rejects, root, settings, available_now))
     return queries

@@ -1,18 +1,18 @@
 """The keyed serving table: appended per micro-batch, newest row per key wins.
 
-Files lie by hour of the window start and by commit: ``root/<table>/hour=<n>/commit=<run>-<batch>``.
-A replayed batch overwrites its own commits and so changes nothing, executors write in
-parallel, and a batch without rows writes nothing. ``run`` names one start of the writer
-and sorts by time. ``lineage`` names one checkpoint: all starts from it share it, and a
-new checkpoint, whose state starts from nothing, has a later one. Per window and key only
-parts of the newest lineage count, and of those the last run and batch of each part;
-readers merge them into whole rows and leave out rows whose last write is older than the
-time to live. ``maintain`` deletes hours that have expired and merges the commits of an
-hour.
+Each batch of whole rows is one commit (see ``commits``): a replayed batch replaces its
+own, executors write in parallel, a batch without rows leaves no files, and readers see
+whole batches only. Rows hold the hour of their window and are stored in its order, so
+reads of some hours skip the rest, while the number of files follows the rows. Of the
+rows of a window and key the one of the last run and batch counts; ``run`` names one
+start of the writer and sorts by time. Rows whose last write is older than the time to
+live are hidden, and dropped by ``maintain``, which also merges commits. Streams of
+events are served from panes instead (see ``panes``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
@@ -21,8 +21,9 @@ from pyspark.sql import types as T
 
 from tidegauge.functions.text import key_time
 from tidegauge.operators.grain import seconds, span
-from tidegauge.operators.windowed import WindowTable, merge_parts, table_named
+from tidegauge.operators.windowed import WindowTable, table_named
 from tidegauge.schema import SERVED_SCHEMAS
+from tidegauge.streaming import commits
 
 # Stand-ins for missing parts of a serving key.
 KEY_PARTS = {
@@ -31,6 +32,8 @@ KEY_PARTS = {
     "user_behavior": {"user_agent": "unknown_ua", "source": "unknown_source"},
 }
 TTL = "1 hour"
+#: Bytes of a row group of exported values.
+ROW_GROUP = 8 << 20
 
 
 def new_run() -> str:
@@ -43,200 +46,101 @@ def table_path(root: str, table: WindowTable) -> str:
 
 def stored_schema(table: WindowTable) -> T.StructType:
     fields = [("window_start", "timestamp"), ("window_end", "timestamp"),
-              *[(k, "string") for k in table.keys], ("part", "int"),
+              *[(k, "string") for k in table.keys],
               *[(m.name, m.type) for m in table.measures],
               *([(table.distinct[1], "bigint")] if table.distinct else []),
-              ("written_at", "timestamp"), ("lineage", "string"), ("run", "string"),
-              ("batch", "bigint")]
+              ("written_at", "timestamp"), ("run", "string"), ("batch", "bigint"), ("hour", "bigint")]
     return T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t in fields))
 
 
 # --- writing -----------------------------------------------------------------
 
-def lineage_of(spark: SparkSession, checkpoint: str, splits: int) -> str:
-    """The lineage stored with a checkpoint, made on its first use.
-
-    Parts of different split counts do not replace each other, so a checkpoint keeps the
-    count it was started with; another one is refused.
-    """
-    path = f"{checkpoint.rstrip('/')}/lineage"
-    try:
-        stored = spark.read.schema("lineage string, splits int").json(path).first()
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        stored = None
-    if stored is None:
-        lineage = new_run()
-        (spark.createDataFrame([(lineage, splits)], "lineage string, splits int").coalesce(1)
-              .write.mode("overwrite").json(path))
-        return lineage
-    if stored["splits"] != splits:
-        raise ValueError(f"{checkpoint} holds state of {stored['splits']} splits, not {splits}; "
-                         "keep the setting or start from a new checkpoint")
-    return stored["lineage"]
-
-
-def commit_name(run: str, batch: int) -> str:
-    return f"{run}-{batch:012d}"
-
-
 def hour_of(column: str = "window_start") -> Column:
     """Hours since the epoch, whatever the session's time zone."""
     return F.floor(F.unix_seconds(F.col(column).cast("timestamp")) / 3600).cast("bigint")
 
 
-def write_batch(parts: DataFrame, batch: int, root: str, table: WindowTable, run: str,
-                written_at: Column | None = None, lineage: str = "") -> None:
-    """Store one micro-batch of parts in a single pass, a few files per hour of windows.
-
-    There is no look at the rows beforehand: that would compute the state behind them
-    twice or hold them in memory.
-    """
+def write_batch(rows: DataFrame, batch: int, root: str, table: WindowTable, run: str,
+                written_at: Column | None = None) -> commits.Commit:
+    """Store one micro-batch of merged measures per window and key in a single pass."""
     table_named(table.name)
-    if "part" not in parts.columns:
-        parts = parts.withColumn("part", F.lit(0))
-    parts = parts.withColumns({
+    rows = rows.withColumns({
         "written_at": F.current_timestamp() if written_at is None else written_at,
-        "lineage": F.lit(lineage), "run": F.lit(run), "batch": F.lit(batch)})
+        "run": F.lit(run), "batch": F.lit(batch), "hour": hour_of()})
     columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in stored_schema(table).fields]
-    _write(parts.select(*columns, hour_of().alias("hour"),
-                        F.lit(commit_name(run, batch)).alias("commit")), root, table)
-
-
-def _write(rows: DataFrame, root: str, table: WindowTable) -> None:
-    # Rebalanced: small hours share a task, a large one is divided over several.
-    (rows.hint("rebalance", "hour").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("hour", "commit").parquet(table_path(root, table)))
+    return commits.write(rows.select(*columns), table_path(root, table), f"{run}-{batch:012d}",
+                         ["hour", *table.keys], {"run": run, "batch": batch})
 
 
 # --- reading -----------------------------------------------------------------
 
-def read_parts(spark: SparkSession, root: str, table: WindowTable) -> DataFrame:
-    """All stored parts with their ``hour`` and ``commit``; a typed empty frame before the
-    first batch."""
-    schema = T.StructType([*stored_schema(table).fields, T.StructField("hour", T.LongType()),
-                           T.StructField("commit", T.StringType())])
-    try:
-        return spark.read.schema(schema).parquet(table_path(root, table))
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
-def batch_is_empty(spark: SparkSession, root: str, table: WindowTable, run: str,
-                   batch: int) -> bool:
-    return _of_commit(read_parts(spark, root, table), run, batch).isEmpty()
+def read_rows(spark: SparkSession, root: str, table: WindowTable,
+              known: Sequence[commits.Commit] | None = None) -> DataFrame:
+    """All stored rows, of all commits that count by default; a typed empty frame before
+    the first batch."""
+    return commits.read(spark, table_path(root, table), stored_schema(table), known)
 
 
-def _of_commit(stored: DataFrame, run: str, batch: int) -> DataFrame:
-    return stored.filter(F.col("commit") == commit_name(run, batch))
-
-
-def newest_parts(parts: DataFrame, table: WindowTable) -> DataFrame:
-    """The last write of each window, key and part within the window and key's newest lineage.
-
-    Rows are shuffled by window and key, which also serves the merge of the parts
-    later on. A window and key has one row per split and micro-batch that touched it.
-    """
-    of_row = Window.partitionBy("window_start", *table.keys)
-    writes = (Window.partitionBy("window_start", *table.keys, "part")
+def newest_rows(rows: DataFrame, table: WindowTable) -> DataFrame:
+    """The last write of each window and key: a row per micro-batch that touched it."""
+    writes = (Window.partitionBy("window_start", *table.keys)
                     .orderBy(F.desc("run"), F.desc("batch")))
-    return (parts.repartition("window_start", *table.keys)
-                 .withColumn("newest", F.max("lineage").over(of_row))
-                 .filter(F.col("lineage") == F.col("newest"))
-                 .withColumn("nth", F.row_number().over(writes))
-                 .filter(F.col("nth") == 1).drop("nth", "newest"))
+    return rows.withColumn("nth", F.row_number().over(writes)).filter(F.col("nth") == 1).drop("nth")
 
 
 def unexpired(rows: DataFrame, now: Column | None = None, ttl: str = TTL) -> DataFrame:
     """Rows written less than ``ttl`` before ``now``."""
-    return rows.filter(F.col("written_at") > _cutoff(now, ttl))
+    return rows.filter(F.col("written_at") > cutoff(now, ttl))
 
 
-def _cutoff(now: Column | None, ttl: str) -> Column:
+def cutoff(now: Column | None, ttl: str) -> Column:
     return (F.current_timestamp() if now is None else now) - span(seconds(ttl))
 
 
-def latest_rows(parts: DataFrame, table: WindowTable, now: Column | None = None,
+def latest_rows(rows: DataFrame, table: WindowTable, now: Column | None = None,
                 ttl: str | None = TTL) -> DataFrame:
-    """Whole, finished rows from stored parts, with ``written_at``, ``run`` and ``batch``.
-
-    A row lives as long as its last written part. ``ttl=None`` keeps all.
-    """
-    last = F.max(F.struct("run", "batch"))
-    merged = merge_parts(newest_parts(parts, table), table,
-                         F.max("written_at").alias("written_at"),
-                         last["run"].alias("run"), last["batch"].alias("batch"))
+    """Finished newest rows from stored ones, with ``written_at``, ``run`` and ``batch``.
+    ``ttl=None`` keeps all."""
+    newest = newest_rows(rows, table)
     if ttl is not None:
-        merged = unexpired(merged, now, ttl)
-    users = table.distinct[1] if table.distinct else None
+        newest = unexpired(newest, now, ttl)
     ratios = {**table.ratios(), "processed_at": F.col("written_at")}
-    if users:
-        ratios[users] = F.col(users).cast("int")
-    return merged.withColumns(ratios).select(*table.columns, "written_at", "run", "batch")
+    if table.distinct:
+        ratios[table.distinct[1]] = F.col(table.distinct[1]).cast("int")
+    return newest.withColumns(ratios).select(*table.columns, "written_at", "run", "batch")
 
 
 def read_latest(spark: SparkSession, root: str, table: WindowTable,
                 now: Column | None = None, ttl: str | None = TTL) -> DataFrame:
     """As :func:`latest_rows`, from the stored table. With a time to live only hours from
     the first one written to within it are read, before anything is shuffled."""
-    stored = read_parts(spark, root, table)
+    stored = read_rows(spark, root, table)
     if ttl is not None:
         since = unexpired(stored, now, ttl).agg(F.min("hour")).scalar()
         stored = stored.filter(F.col("hour") >= since)
     return latest_rows(stored, table, now, ttl)
 
 
-def changed_rows(spark: SparkSession, root: str, table: WindowTable, run: str,
-                 batch: int) -> DataFrame:
-    """Whole rows of the windows and keys that one micro-batch touched; reads its hours only."""
-    stored = read_parts(spark, root, table)
-    touched = _of_commit(stored, run, batch)
-    first, last = touched.agg(F.min("hour")).scalar(), touched.agg(F.max("hour")).scalar()
-    rows = latest_rows(stored.filter((F.col("hour") >= first) & (F.col("hour") <= last)), table, ttl=None)
-    keys = ["window_start", *table.keys]
-    touched = touched.select(*[F.col(k).alias(f"touched_{k}") for k in keys])
-    same = [F.col(k).eqNullSafe(F.col(f"touched_{k}")) for k in keys]
-    return rows.join(touched, same, "left_semi")
-
-
 # --- upkeep ------------------------------------------------------------------
 
 def maintain(spark: SparkSession, root: str, table: WindowTable, run: str, batch: int,
-             now: Column | None = None, ttl: str = TTL, most_commits: int = 20) -> None:
-    """Delete the hours of which nothing was written within ``ttl``, and merge the
-    commits of each hour that has more than ``most_commits``.
-
-    Call from the table's only writer, between batches. What is merged is written first,
-    as one commit per hour of the newest parts, and the commits it replaces are deleted
-    after: a failure between leaves parts twice, of which readers take one. The names of
-    hours and commits that go reach the driver, not their rows.
+             now: Column | None = None, ttl: str = TTL, most_commits: int = 20,
+             grace: float = commits.GRACE) -> None:
+    """Merge the commits of each size class with more than ``most_commits`` into one of
+    their newest rows written within ``ttl``, and sweep what was replaced.
+
+    Call from the table's only writer, between batches. The last batch written, ``run`` and
+    ``batch``, may be replayed and is left as it is. Readers that started before still find
+    their files for the time of grace. Only manifests reach the driver.
     """
-    stored = read_parts(spark, root, table)
-    expired = (stored.groupBy("hour").agg(F.max("written_at").alias("last"))
-                     .filter(~(F.col("last") > _cutoff(now, ttl))).select("hour"))
-    gone = [r["hour"] for r in expired.collect()]
-    _delete(spark, [f"{table_path(root, table)}/hour={h}" for h in gone])
-    stored = read_parts(spark, root, table)
-    commits = stored.select("hour", "commit").distinct()
-    full = [r["hour"] for r in commits.groupBy("hour").count()
-            .filter(F.col("count") > most_commits).select("hour").collect()]
-    if not full:
-        return
-    old = [(r["hour"], r["commit"]) for r in commits.filter(F.col("hour").isin(full)).collect()]
-    name = f"{commit_name(run, batch)}m"
-    _write(newest_parts(stored.filter(F.col("hour").isin(full)), table)
-           .withColumn("commit", F.lit(name)), root, table)
-    _delete(spark, [f"{table_path(root, table)}/hour={h}/commit={c}" for h, c in old if c != name])
-
-
-def _delete(spark: SparkSession, paths: list[str]) -> None:
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for path in paths:
-        folder = jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(conf).delete(folder, True)
+    path = table_path(root, table)
+    old = [c for c in commits.snapshot(spark, path) if (c.facts["run"], c.facts["batch"]) != (run, batch)]
+    if some := commits.crowded(old, most_commits):
+        last = max(some, key=lambda c: (c.facts["run"], c.facts["batch"]))
+        kept = unexpired(newest_rows(read_rows(spark, root, table, some), table), now, ttl)
+        commits.write(kept, path, f"{last.name}-merged-{new_run()}", ["hour", *table.keys], last.facts,
+                      replaces=[c.name for c in some])
+    commits.sweep(spark, path, grace)
 
 
 # --- key and value text ------------------------------------------------------
@@ -259,9 +163,13 @@ def as_key_values(rows: DataFrame, table: WindowTable) -> DataFrame:
 
 
 def export_values(rows: DataFrame, path: str, table: WindowTable) -> None:
-    """Key and value rows under ``path/prefix=<table>``."""
-    (as_key_values(rows, table)
-     .write.mode("overwrite").parquet(f"{path.rstrip('/')}/prefix={table_named(table.name).name}"))
+    """Key and value rows under ``path/prefix=<table>``, in order of keys: a read by key
+    skips files and row groups by their bounds, and by a Bloom filter of their keys."""
+    values = as_key_values(rows, table)
+    (values.repartitionByRange("serving_key").sortWithinPartitions("serving_key")
+     .write.mode("overwrite").option("parquet.bloom.filter.enabled#serving_key", "true")
+     .option("parquet.block.size", str(ROW_GROUP))
+     .parquet(f"{path.rstrip('/')}/prefix={table_named(table.name).name}"))
 
 
 def read_values(spark: SparkSession, path: str, table: WindowTable) -> DataFrame:
@@ -276,6 +184,21 @@ def read_values(spark: SparkSession, path: str, table: WindowTable) -> DataFrame
     return stored.filter(F.col("prefix") == table.name).drop("prefix")
 
 
+def get_values(spark: SparkSession, path: str, table: WindowTable, keys: Sequence[str] | DataFrame) -> DataFrame:
+    """Key and value rows of many keys at once; keys that are not there give no row.
+
+    A list of keys becomes a filter at the scan. A frame (its column ``serving_key``, of any
+    size) is joined, and the scan is bounded by its least and greatest key.
+    """
+    stored = read_values(spark, path, table)
+    if not isinstance(keys, DataFrame):
+        return stored.filter(F.col("serving_key").isin(list(keys)))
+    wanted = keys.select("serving_key").distinct()
+    ends = wanted.agg(F.min("serving_key").alias("low"), F.max("serving_key").alias("high"))
+    bounded = stored.filter(F.col("serving_key").between(ends.select("low").scalar(), ends.select("high").scalar()))
+    return bounded.join(wanted, "serving_key", "left_semi")
+
+
 def _decoded(table: WindowTable) -> Column:
     """The JSON value as a struct, its times still text."""
     return F.from_json("value", T.StructType([
