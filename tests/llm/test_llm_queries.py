@@ -23,6 +23,9 @@ COLUMNS = {
     "op8_token_file": "doc_id start n_tokens ids_crc32",
     "op9_kneser_ney_quality": "doc_id perplexity threshold kept",
     "op10_decontamination": "doc_id n_words n_hit n_items items_sha256 contaminated",
+    "op11_merkle_manifest": "doc_id leaf subroot root proof_sha256 folded_root verified",
+    "op12_substring_dedup": "doc_id n_words n_removed kept_sha256",
+    "op13_periodic_runs": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
 }
 
 
@@ -33,7 +36,7 @@ def rows(frame):
 
 def test_registered():
     assert set(LLM_QUERIES) | {"pipeline"} <= set(contract.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES) == list(range(1, 14))
     assert set(COLUMNS) == set(LLM_QUERIES)
 
 

@@ -16,12 +16,12 @@ span. Windows that cross the end of a factor are checked from the last place at
 they could lie, so none is lost between two factors.
 
 Anchors of more than ``MOST`` classes (a line common to very many documents) take the
-exact way of comparing windows: each is hashed and grouped, and no group is collected.
+exact way of comparing windows: each is hashed, as contexts are, and grouped, and no group
+is collected.
 """
 
 from __future__ import annotations
 
-import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import groupby
@@ -232,23 +232,27 @@ def _parsed(rows: DataFrame, length: int) -> DataFrame:
 
 def _compared(rows: DataFrame, length: int) -> DataFrame:
     """As ``_parsed``, window by window: for anchors of any number of classes."""
-    schema = "anchor long, context long, id long, start int, window binary"
+    schema = "anchor long, context long, id long, start int, one long, two long"
+    names = [field.split()[0] for field in schema.split(", ")]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in zip(*[batch.column(c).to_pylist() for c in ("anchor", "context", "id", "text")]):
-                words = row[3].split(" ")
-                n = len(words) - length + 1
-                marks = [hashlib.blake2b(" ".join(words[i: i + length]).encode(), digest_size=16).digest()
-                         for i in range(n)]
+            for piece in pieces(batch, "text"):
+                data, at = utf8(piece.column("text"))
+                raw = data.tobytes()
+                split = [raw[x:y].split() for x, y in zip(at.tolist(), at[1:].tolist())]
+                words, counts = hashed_words(split), np.array([len(s) for s in split], np.int64)
+                n = np.maximum(counts - length + 1, 0)
+                start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                place = start + np.repeat(np.cumsum(counts) - counts, n)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.repeat(pa.scalar(v, pa.int64()), n) for v in row[:3]]
-                    + [pa.array(range(n), pa.int32()), pa.array(marks, pa.binary())],
-                    ["anchor", "context", "id", "start", "window"])
+                    [pa.array(np.repeat(piece.column(c).to_numpy(), n)) for c in names[:3]]
+                    + [pa.array(start.astype(np.int32))]
+                    + [pa.array(Stretches(words, base).of(place, place + length).view(np.int64)) for base in BASES], names)
 
-    windows = settle(rows.mapInArrow(cut, schema), "windows")
-    first = windows.groupBy("anchor", "window").agg(F.min("id").alias("least"), F.max("id").alias("most"))
-    again = windows.join(settle(first.filter("least < most"), "repeated"), ["anchor", "window"]).filter("id > least")
+    windows, window = settle(rows.mapInArrow(cut, schema), "windows"), ["anchor", "one", "two"]
+    first = windows.groupBy(*window).agg(F.min("id").alias("least"), F.max("id").alias("most"))
+    again = windows.join(settle(first.filter("least < most"), "repeated"), window).filter("id > least")
     return again.groupBy("anchor", "context").agg(F.collect_list(F.struct(
         "start", (F.col("start") + length).alias("stop"))).alias("spans"))
 
