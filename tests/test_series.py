@@ -1,4 +1,5 @@
 import math
+import random
 
 import pandas as pd
 import pytest
@@ -57,11 +58,7 @@ def test_bands(spark):
 def test_bands_across_block_borders_equal_pandas(spark, values, size, before):
     minutes = [m + (m // 9) * 25 for m in range(len(values))]  # some blocks without a point
     rows = points(spark, [None if v is None else float(v) for v in values], minutes)
-    old, series.PIECE = series.PIECE, 7
-    try:
-        got = series.rolling_bands(rows, size, exclude_current=before, block="10 minutes").orderBy("window_start").collect()
-    finally:
-        series.PIECE = old
+    got = series.rolling_bands(rows, size, exclude_current=before, block="10 minutes").orderBy("window_start").collect()
     assert [r["window_start"] for r in got] == [at(m) for m in minutes]
     for column, want in (("rolling_mean", "mean"), ("rolling_std", "std")):
         rolling = pd.Series(values, dtype=float).shift(1 if before else 0).rolling(size)
@@ -76,12 +73,36 @@ def test_densify_in_blocks(spark):
     assert [(r["window_start"], r["revenue"]) for r in got] == [(at(m), float(m in minutes)) for m in range(59)]
 
 
-def test_no_task_holds_a_global_series(spark):
-    """What meets in one task are counts per block, which are aggregates of aggregates."""
-    rows = series.rolling_bands(series.densify(points(spark, [1.0] * 40)))
-    lines = rows._jdf.queryExecution().executedPlan().toString().splitlines()
-    below = [after for line, after in zip(lines, lines[1:]) if "SinglePartition" in line]
-    assert below and all("functions=[partial_" in line for line in below)
+@pytest.mark.parametrize("keys", [[], ["name"]], ids=["global", "keyed"])
+def test_no_task_holds_a_series_and_the_input_is_read_once(spark, shared, keys):
+    """Windows go over blocks (one small row each) or lie within a block."""
+    points(spark, [1.0] * 40, name="a").write.parquet(f"{shared}/points")
+    rows = series.rolling_bands(series.densify(spark.read.parquet(f"{shared}/points"), series=keys), series=keys)
+    assert len(rows.collect()) == 40
+    text = rows._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in text.splitlines() if "+- Window" in line or ":- Window" in line]
+    assert windows and not any("revenue" in line and "__block" not in line for line in windows)
+    final = text[: text.index("== Initial Plan ==")] if "== Initial Plan ==" in text else text
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
+def test_long_keyed_series_in_blocks_equal_pandas(spark):
+    rng = random.Random(3)
+    frames = {name: [float(rng.randrange(50)) for _ in range(n)] for name, n in (("a", 70), ("b", 9), (None, 33))}
+    rows = None
+    for name, values in frames.items():
+        some = points(spark, values, [m * 2 for m in range(len(values))], name)
+        rows = some if rows is None else rows.union(some)
+    got = series.rolling_bands(rows, 4, series=["name"], block="15 minutes").collect()
+    dense = series.densify(rows, "1 minute", ["name"], block="15 minutes")
+    for name, values in frames.items():
+        own = sorted((r for r in got if r["name"] == name), key=lambda r: r["window_start"])
+        assert [r["revenue"] for r in own] == values
+        for r, x in zip(own, pd.Series(values).rolling(4).mean()):
+            assert (r["rolling_mean"] is None and math.isnan(x)) or r["rolling_mean"] == pytest.approx(x)
+        filled = dense.filter(F.col("name").eqNullSafe(F.lit(name))).orderBy("window_start").collect()
+        assert [r["window_start"] for r in filled] == [at(m) for m in range(2 * len(values) - 1)]
+        assert [r["revenue"] for r in filled] == [values[m // 2] if m % 2 == 0 else 0.0 for m in range(2 * len(values) - 1)]
 
 
 def test_too_little_history(spark):
@@ -111,16 +132,6 @@ def test_bands_equal_pandas(spark, values, size):
             assert (pd.isna(a) and pd.isna(b)) or math.isclose(a, b, abs_tol=1e-6)
 
 
-def test_series_windows_are_partitioned_by_key(spark):
-    rows = points(spark, [1.0] * 6, name="a")
-    plan = series.rolling_bands(series.densify(rows, series=["name"]), series=["name"])
-    text = plan._jdf.queryExecution().toString()
-    assert "SinglePartition" not in text
-    # densifying and the bands share one shuffle
-    physical = text[text.index("== Physical Plan =="):]
-    assert physical.count("Exchange hashpartitioning") == 1
-
-
 def holt_winters(y, m, alpha, beta, gamma):
     first, second = sum(y[:m]) / m, sum(y[m:2 * m]) / m
     level, trend, sse = first, (second - first) / m, 0.0
@@ -222,3 +233,45 @@ def test_series_of_any_lengths_are_fitted_in_groups(spark):
         assert (a.level, a.trend, a.sse) == pytest.approx((b.level, b.trend, b.sse))
         assert a.season == pytest.approx(b.season)
     assert len(_fitter(12, GRID).func(pd.Series([], dtype=object))) == 0
+
+
+@pytest.mark.parametrize("search", [0, 2])
+def test_a_series_in_blocks_fits_as_in_one_piece(spark, search):
+    rng = random.Random(7)
+    one = [100 + 10 * math.sin(i / 2) + 0.3 * i + rng.random() * 20 for i in range(130)]
+    two = [50 + rng.random() * 9 for _ in range(61)]
+    rows = points(spark, one, name="a").union(points(spark, two, name=None)).union(points(spark, [1.0] * 11, name="short"))
+    whole = {r["name"]: r for r in fit(rows, ["name"], period=6, search=search).collect()}
+    cut = {r["name"]: r for r in fit(rows, ["name"], period=6, search=search, block="7 minutes").collect()}
+    assert whole.keys() == cut.keys() == {"a", None}
+    for name, a in whole.items():
+        b = cut[name]
+        assert a["last"] == b["last"]
+        for part in ("alpha", "beta", "gamma", "level", "trend", "sse"):
+            assert b["state"][part] == pytest.approx(a["state"][part], rel=1e-9, abs=1e-9)
+        assert b["state"]["season"] == pytest.approx(a["state"]["season"], rel=1e-9, abs=1e-9)
+    alone = fit(points(spark, one), period=6, search=search, block="20 minutes").first()["state"]
+    assert alone["level"] == pytest.approx(whole["a"]["state"]["level"], rel=1e-9)
+
+
+def test_a_long_series_is_composed_in_several_tasks(spark):
+    rows = points(spark, [float(i % 9) for i in range(90)])
+    model = fit(rows, period=4, block="10 minutes")
+    text = model._jdf.queryExecution().executedPlan().toString()
+    composed = text[text.index("compose("):]
+    assert "hashpartitioning(__block" in composed  # blocks are dealt out before they are composed
+    assert model.first()["state"]["sse"] == pytest.approx(holt_winters([float(i % 9) for i in range(90)], 4, *[
+        model.first()["state"][w] for w in ("alpha", "beta", "gamma")])[3], rel=1e-6)
+
+
+def test_the_search_is_near_a_fine_grid_and_never_above_the_coarse_one(spark):
+    for seed in range(3):
+        rng = random.Random(seed)
+        y = [20 + 5 * math.sin(i) + rng.random() * 8 + 0.1 * i for i in range(40)]
+        coarse, fine = (fit(points(spark, y), period=4, search=n).first()["state"] for n in (0, 5))
+        assert fine["sse"] <= coarse["sse"]
+        steps = [0.01, *[i / 20 for i in range(1, 20)], 0.99]
+        best = min(holt_winters(y, 4, a, b, g)[3] for a in steps for b in steps for g in steps)
+        assert fine["sse"] <= best * 1.05
+        weights = [fine[w] for w in ("alpha", "beta", "gamma")]
+        assert fine["sse"] == pytest.approx(holt_winters(y, 4, *weights)[3])

@@ -11,8 +11,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # A record of the forecast is a whole series.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
