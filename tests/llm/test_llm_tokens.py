@@ -5,7 +5,9 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+import regex
 from conftest import SF
 from tokenizers import Tokenizer
 
@@ -70,15 +72,19 @@ def test_encoder_equals_the_library():
     texts = samples() + ["don't  stop\n\nNOW", "ΑΣ ΟΔΟΣ", "x<|endoftext|>y <|startoftext|> z", "x<|ENDOFTEXT|>y",
                          "Ab, a!. 1, é, É. e\u0301, —, x\u0085, \u00a0y ſ K ĳ ß ẞ ŉ it's, 'll. İ, ǅ ª º µ Å",
                          "a\x00b \x00, c\x1c. d", "naïve café ÀÉÎ"]
-    for ids, text in zip(f.Encoder(WORDS).encode([t.encode() for t in texts]), texts):
-        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+    texts += ["", "  ", ".", "a.", "a.b. c.. .d \x0b\x0c e!?\n", "\u3000a.\u3000b", "a." * 9]
+    for some in (pa.array([None, *texts]).slice(1), pa.array([None, *texts[:9], None]).slice(1, 9), pa.array([], pa.string())):
+        ids, offsets = f.Encoder(WORDS).encode(some)
+        assert len(offsets) == len(some) + 1 and offsets[-1] == len(ids)
+        for a, b, text in zip(offsets, offsets[1:], some.to_pylist()):
+            assert ids[a:b].tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
 def test_forgetting_words_changes_nothing(spark, monkeypatch):
-    texts = [r["text"].encode() for r in spark.read.parquet(f"{SF}/documents.parquet").limit(60).collect()]
-    want = f.Encoder(WORDS).encode(texts)
+    texts = pa.array([r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").limit(60).collect()])
+    want, encoder = f.Encoder(WORDS).encode(texts)[0].tolist(), f.Encoder(WORDS)
     monkeypatch.setattr(f, "REMEMBERED", 50)
-    assert f.Encoder(WORDS).encode(texts) == want
+    assert [i for n in range(60) for i in encoder.encode(texts.slice(n, 1))[0].tolist()] == want
 
 
 def test_files_round_trip(spark):
@@ -125,3 +131,19 @@ def test_repeated_and_null_ids_and_empty_table(spark):
     path = fresh_path(spark, "tokens")
     f.write_tokens(docs.limit(0), path, WORDS, 1)
     assert f.token_digests(spark, path).count() == 0
+
+
+def test_every_letter_and_digit_counts_as_in_the_library():
+    every = "".join(map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x110000)]))
+    letters = regex.findall(r"[\p{L}\p{N}]", every)
+    counter, library = p.Counter(BYTES, p.newer_letters()), Tokenizer.from_file(BYTES)
+    texts = [f"a{x}b {x}1 {x}{y}, {x}" for x, y in zip(letters, letters[1:] + letters[:1])]
+    some = texts[:12_000] + texts[12_000::9]
+    found = library.encode_batch_fast(some, add_special_tokens=False)
+    assert [t for t, e in zip(some, found) if int(counter.steps(t).sum()) != len(e.ids)] == []
+
+
+def test_other_tokenizers_are_refused():
+    assert len(f.Encoder(WORDS).encode(pa.array(["Hello big World."]))[0]) == 4
+    with pytest.raises(ValueError, match="on their own"):
+        f.Encoder(BYTES)

@@ -8,8 +8,8 @@ them (Parquet's column and offset indexes are written with the pages).
 from __future__ import annotations
 
 import functools
+import json
 import os
-import re
 import sys
 import unicodedata
 import zlib
@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,10 +26,19 @@ from pyspark.sql import functions as F
 from tidegauge.llm.common import before_parts, column, pieces, utf8
 from tidegauge.llm.prefix_counts import byte_letters
 
-#: Encoded words of a generation that a worker remembers, and words given to the library at once.
-REMEMBERED, AT_ONCE = 1 << 18, 4096
+#: Encoded words of a generation that a worker remembers.
+REMEMBERED = 1 << 18
+#: Bytes of text encoded at a time.
+PIECE = 4 << 20
+#: The steps before the model under which a text may be encoded word by word.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 #: Marks at the end of a word of letters or digits are a piece of their own.
-MARKS = re.compile(rb"(?<=[a-z0-9])([.,;:!?]+)(?=\s|$)")
+MARKS = r"([a-z0-9])([.,;:!?]+)([ \t\n\v\f\r]|$)"
 BEYOND_LATIN = "\u0250"
 SCHEMA = "doc_id long, part int, first long, n_tokens long, ids array<int>"
 PARQUET = {
@@ -55,11 +65,14 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
-        self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
+        steps = json.loads(self.library.to_str())
+        if steps["normalizer"] != NORMALIZER or steps["pre_tokenizer"] != PRE_TOKENIZER:
+            raise ValueError("words between blanks are not encoded on their own by this tokenizer")
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         letters = {b: c for c, b in byte_letters().items()}
         self.letters = [letters[b] for b in range(256)]
         # Two generations of known words: the frequent ones pass on to the next.
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = Known(self)
         self.before: dict[bytes, bytes] = {}
 
     def latin(self, word: bytes) -> str | None:
@@ -74,42 +87,63 @@ class Encoder:
         text = text.lower()
         return "".join([self.letters[b] for b in text.encode()]) if text.isalpha() else None
 
-    def learn(self, words: set[bytes]) -> None:
-        rest = []
-        tokenize, latin = self.library.model.tokenize, self.latin
-        for word in words:
-            ids = self.before.get(word)
-            if ids is None:
-                text = latin(word)
-                if text is None:
-                    rest.append(word)
-                    continue
-                ids = as_bytes([t.id for t in tokenize(text)])
-            self.known[word] = ids
-        for at in range(0, len(rest), AT_ONCE):
-            some = rest[at: at + AT_ONCE]
-            found = self.library.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-            for word, one in zip(some, found):
-                self.known[word] = as_bytes(one.ids)
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text, which is in UTF-8."""
+    def word(self, word: bytes) -> bytes:
+        """The ids of an unseen word."""
+        ids = self.before.get(word)
+        if ids is not None:
+            return ids
+        text = self.latin(word)
+        if text is not None:
+            return as_bytes([t.id for t in self.library.model.tokenize(text)])
+        return as_bytes(self.library.encode(word.decode(), add_special_tokens=False).ids)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts end to end, and len + 1 offsets; null counts as empty.
+
+        Each distinct word is looked up once, and its ids are spread over its places.
+        """
         if len(self.known) > REMEMBERED:
-            self.before, self.known = self.known, {}
-        out: list[bytes | list[bytes]] = []
-        new: set[bytes] = set()
-        known = self.known
-        for text in texts:
-            plain = text.lower()  # of bytes: A-Z
-            if any(x in plain for x in self.special):
-                # Only so written is a special string one.
-                out.append(as_bytes(self.library.encode(text.decode(), add_special_tokens=False).ids))
-                continue
-            words = MARKS.sub(rb" \1", plain).split()
-            new.update([w for w in words if w not in known])
-            out.append(words)
-        self.learn(new)
-        return [one if isinstance(one, bytes) else b"".join([known[w] for w in one]) for one in out]
+            self.before, self.known = self.known, Known(self)
+        if not len(texts):
+            return np.zeros(0, "<u4"), np.zeros(1, np.int64)
+        # Arrow lowers the wrong bytes of a slice, so the texts are laid out anew.
+        data, places = utf8(texts)
+        texts = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(places.astype(np.int64)), pa.py_buffer(data))
+        plain = pc.ascii_lower(texts)
+        special = np.zeros(len(texts), bool)
+        for mark in self.special:
+            special |= pc.match_substring(plain, mark).to_numpy(zero_copy_only=False)
+        if special.any():
+            # Only so written is a special string one: these texts take the library's whole way.
+            plain = pc.if_else(pa.array(special), "", plain)
+        lists = pc.ascii_split_whitespace(pc.replace_substring_regex(plain, MARKS, r"\1 \2\3"))
+        coded = lists.flatten().dictionary_encode()
+        own = list(map(self.known.__getitem__, coded.dictionary.cast(pa.large_binary()).to_pylist()))
+        sizes = np.array([len(ids) // 4 for ids in own], np.int64)
+        of = coded.indices.to_numpy()
+        n = sizes[of]
+        ends = np.cumsum(n)
+        first = np.cumsum(sizes) - sizes
+        places = np.arange(n.sum()) - np.repeat(ends - n - first[of], n)
+        ids = np.frombuffer(b"".join(own), "<u4")[places]
+        offsets = np.concatenate(([0], ends))[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        if not special.any():
+            return ids, offsets
+        parts = [np.array(self.library.encode(texts[i].as_py(), add_special_tokens=False).ids, "<u4") if special[i]
+                 else ids[offsets[i]: offsets[i + 1]] for i in range(len(texts))]
+        return np.concatenate(parts), np.concatenate(([0], np.cumsum([len(p) for p in parts])))
+
+
+class Known(dict):
+    """The ids of words, encoded when they are first asked for."""
+
+    def __init__(self, encoder: Encoder):
+        super().__init__({b"": b""})  # beside white space at the ends
+        self.encoder = encoder
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self[word] = self.encoder.word(word)
+        return ids
 
 
 def as_bytes(ids: list[int]) -> bytes:
@@ -134,7 +168,6 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    end = np.array([end_id], "<u4").tobytes()
     rows = docs.select(column(id_col).cast("long").alias("doc_id"),
                        F.coalesce(column(text).cast("string"), F.lit("")).alias("text"))
 
@@ -142,18 +175,19 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
         part, total = TaskContext.get().partitionId(), 0
         encode = encoder(tokenizer).encode
         for batch in batches:
-            for piece in pieces(batch, "text"):
-                data, places = utf8(piece.column("text"))
-                raw, places = data.tobytes(), places.tolist()
-                found = [ids + end for ids in encode([raw[a:b] for a, b in zip(places, places[1:])])]
-                sizes = np.array([len(f) // 4 for f in found], np.int64)
+            for piece in pieces(batch, "text", PIECE):
+                ids, offsets = encode(piece.column("text"))
+                sizes = np.diff(offsets) + 1
                 ends = np.cumsum(sizes)
-                values = np.frombuffer(b"".join(found), "<u4").astype(np.int32)
+                values = np.full(len(ids) + len(sizes), end_id, np.uint32)
+                inside = np.ones(len(values), bool)
+                inside[ends - 1] = False
+                values[inside] = ids
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc_id"), pa.array(np.full(len(found), part, np.int32)),
+                    [piece.column("doc_id"), pa.array(np.full(len(sizes), part, np.int32)),
                      pa.array(total + ends - sizes), pa.array(sizes),
                      pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)),
-                                              pa.array(values))],
+                                              pa.array(values.view(np.int32)))],
                     ["doc_id", "part", "first", "n_tokens", "ids"])
                 total += int(ends[-1]) if len(ends) else 0
 
