@@ -25,6 +25,9 @@ from tidegauge.llm.common import utf8, with_text_columns
 #: Fixed values of byte-level BPE: how a text is divided into words, and the characters
 #: that stand for themselves in the vocabulary file (all other bytes follow from 256 on).
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The same with letters and digits that the library does not know counted among the others.
+WORDS_OF = (r"(?V1)'s|'t|'re|'ve|'m|'ll|'d| ?[\p{L}--[%(newer)s]]+| ?[\p{N}--[%(newer)s]]+"
+            r"| ?[[^\s\p{L}\p{N}]||[%(newer)s]]+|\s+(?!\S)|\s+")
 PLAIN = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
 CONTRACTIONS = ("'re", "'ve", "'ll")
 
@@ -41,10 +44,30 @@ def byte_letters() -> dict[str, int]:
     return {**letters, **{chr(256 + i): b for i, b in enumerate(rest)}}
 
 
+@functools.lru_cache(maxsize=1)
+def newer_letters() -> str:
+    """The letters and digits of the ``regex`` package that the library's own pre-tokenizer
+    does not take for such, as ranges of a character class; its tables may be older."""
+    from tokenizers import Regex, pre_tokenizers
+    every = "".join(map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x110000)]))
+    newer: set[str] = set()
+    for kind in (r"\p{L}", r"\p{N}"):
+        ours = regex.findall(kind, every)
+        split = pre_tokenizers.Split(Regex(f"{kind}+"), "removed").pre_tokenize_str("".join(ours))
+        newer.update("".join(rest for rest, _ in split))
+    ranges: list[list[int]] = []
+    for c in sorted(map(ord, newer)):
+        if ranges and ranges[-1][1] == c - 1:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges)
+
+
 class Counter:
     """Prefix tables for one tokenizer file."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, newer: str = ""):
         with open(path, encoding="utf-8") as file:
             model = json.load(file)
         steps = model["pre_tokenizer"]
@@ -73,6 +96,8 @@ class Counter:
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") \
             if self.special else None
         self.words = regex.compile(WORDS)
+        self.newer = re.compile(f"[{newer}]") if newer else None
+        self.words_of = regex.compile(WORDS_OF % {"newer": newer}) if newer else None
         self.apart: dict[int, bool] = {}
         self.pieces: dict[str, bytes] = {}
         self.units: dict[str, bytes] = {}
@@ -150,7 +175,8 @@ class Counter:
 
     def unit(self, unit: str) -> bytes:
         """Steps along a blank and what follows up to the next white space, or any text."""
-        steps = b"".join(map(self.piece, self.words.findall(unit)))
+        words = self.words if unit.isascii() or self.newer is None or not self.newer.search(unit) else self.words_of
+        steps = b"".join(map(self.piece, words.findall(unit)))
         if len(unit) <= LONGEST:
             if len(self.units) > REMEMBERED:
                 self.units.clear()
@@ -216,8 +242,8 @@ def byte_places(text: str, places: list[int]) -> list[int]:
 
 
 @functools.lru_cache(maxsize=2)
-def counter(path: str) -> Counter:
-    return Counter(path)
+def counter(path: str, newer: str) -> Counter:
+    return Counter(path, newer)
 
 
 def count_at(steps: np.ndarray, n_bytes: int) -> int:
@@ -240,8 +266,10 @@ def prefix_tables(docs: DataFrame, tokenizer: str, text: str = "text", keep: lis
     running sum is the token count of each prefix of whole characters. Null counts as
     empty. The tables can be stored and asked with ``answers`` without the tokenizer."""
 
+    newer = newer_letters()
+
     def make():
-        known = counter(tokenizer)
+        known = counter(tokenizer, newer)
 
         def compute(texts: pa.Array) -> list[pa.Array]:
             steps = [known.steps(t or "") for t in texts.to_pylist()]
@@ -258,8 +286,10 @@ def prefix_answers(docs: DataFrame, tokenizer: str, budget: int, text: str = "te
     asked in the task. Null and empty texts have no tokens; a computed column takes the
     place of an input column of its name."""
 
+    newer = newer_letters()
+
     def make():
-        known = counter(tokenizer)
+        known = counter(tokenizer, newer)
 
         def compute(texts: pa.Array) -> list[pa.Array]:
             data, at = utf8(texts)
