@@ -76,3 +76,27 @@ def test_numbering_over_many_parts(spark):
         by.setdefault(r["g"], []).append((r["o"], r["number"]))
     for v in by.values():
         assert [n for _, n in sorted(v)] == list(range(len(v)))
+
+
+def test_equal_texts_of_several_languages_stay_together(spark):
+    rows = [(g * 32 + i, f"text number {g} " * 20, ["de", "en", None, "fr"][i % 4]) for g in range(50) for i in range(32)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = s.shard_by_bytes(docs, shards=7).collect()
+    places = {}
+    for r in got:
+        places.setdefault(r["text"], set()).add(r["shard"])
+    # A cut goes through a group only where no other place is near enough.
+    assert sum(len(p) > 1 for p in places.values()) <= 6
+    assert {r["doc_id"]: r["lang"] for r in got} == {i: lang for i, _, lang in rows}
+
+
+def test_a_bounded_lookup_and_no_product(spark):
+    rows = spark.createDataFrame([([i % 7 + 1, i + 1], i, 1, 0, 4) for i in range(500)],
+                                 "cell array<long>, tie long, weight long, lo int, n int")
+    few = s._descend(rows, [(0, 1, 200 << 40, 2)])
+    many = s._descend(rows, [(0, 1, 200 << 40, 2)] + [(1000 + i, 0, 0, 1) for i in range(s.FOLDED)])
+    assert sorted(map(tuple, few.select("tie", "lo", "n").collect())) == sorted(
+        map(tuple, many.select("tie", "lo", "n").collect()))
+    plan = few._jdf.queryExecution().toString()
+    assert "Join" not in plan and "Cartesian" not in plan
+    assert "BroadcastHashJoin" in many._jdf.queryExecution().toString()
