@@ -129,3 +129,17 @@ def test_nulls_empty_texts_repeats_and_clashing_columns(spark):
     assert sorted((r["doc_id"] or 0, r["fp"]) for r in kept.collect()) == [(0, "n"), (1, "x"), (4, "z")]
     assert simhash.simhash_groups(docs.limit(0)).count() == 0
     assert simhash.drop_near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_one_row_of_each_component_where_ids_repeat(spark):
+    rng = random.Random(9)
+    texts = {name: " ".join(str(rng.random()) for _ in range(30)) for name in "ABC"}
+    rows = [(1, texts["A"], 0), (5, texts["A"], 1), (5, texts["B"], 2), (5, texts["C"], 3), (5, texts["C"], 4),
+            (None, texts["B"], 5), (None, None, 6), (None, None, 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    kept = []
+    for parts in (1, 3, 8):
+        got = simhash.drop_near_duplicates(docs.repartition(parts)).collect()
+        kept.append(sorted(((r["doc_id"], r["text"], r["n"]) for r in got), key=repr))
+    assert kept[0] == kept[1] == kept[2]
+    assert [(i, t) for i, t, _ in kept[0]] == sorted([(1, texts["A"]), (5, texts["B"]), (5, texts["C"]), (None, None)], key=repr)

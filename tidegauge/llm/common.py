@@ -47,19 +47,19 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0]: offsets[-1]], offsets - offsets[0]
 
 
-def spans(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Places and lengths of slices with about PIECE_BYTES of text each."""
+def spans(texts: pa.Array, size: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
+    """Places and lengths of slices with about ``size`` bytes of text each."""
     at, sizes = 0, pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes, dtype=np.int64)
     while at < len(sizes):
         before = ends[at - 1] if at else 0
-        stop = max(at + 1, int(np.searchsorted(ends, before + PIECE_BYTES, "right")))
+        stop = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
         yield at, stop - at
         at = stop
 
 
-def pieces(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
-    for at, n in spans(batch.column(text)):
+def pieces(batch: pa.RecordBatch, text: str, size: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    for at, n in spans(batch.column(text), size):
         yield batch.slice(at, n)
 
 

@@ -20,6 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegauge.llm.common import column, settle, utf8, with_text_columns
 from tidegauge.llm.components import connected
@@ -262,36 +263,49 @@ def near_links(entries: DataFrame, distance: int) -> DataFrame:
     return within.union(across)
 
 
+def _grouped(docs: DataFrame, id_col: str, text: str, shingle: int, distance: int, more: list[str]) -> DataFrame:
+    """id, fp, component_id, root (a fingerprint that names the component) and more columns."""
+    marks = settle(fingerprints(docs, text, shingle, [id_col, *more])
+                   .select(column(id_col).alias("id"), "fp", *[column(c) for c in more]), "marks")
+    entries = settle(marks.groupBy("fp").agg(F.min("id").alias("least")), "entries")
+    roots = connected(near_links(entries.select("fp"), distance))
+    linked = roots.join(entries, roots["node"] == entries["fp"]).select("fp", "root", "least")
+    least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = settle(linked.join(least, "root").select("fp", "root", "component_id"), "named")
+    labels = settle(entries.join(named, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "least").alias("component_id")), "labels")
+    return marks.join(labels, "fp").select(F.col("id").alias(id_col), "fp", "component_id", "root", *more)
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3,
                    distance: int = 3) -> DataFrame:
     """id, fp, component_id (the least id reachable over links) for every row.
 
-    Null and empty texts have fingerprint 0 and are linked like any other. Rows of a
-    repeated id are rows of their own. Null ids count as the largest; a component of
-    null ids only has a null component_id. An empty table gives an empty one.
+    Texts of any length are read whole. Null and empty texts have fingerprint 0 and are
+    linked like any other. Rows of a repeated id are rows of their own. Null ids count as
+    the largest; a component of null ids only has a null component_id. An empty table gives
+    an empty one. Other columns play no part, whatever their names.
     """
-    marks = settle(fingerprints(docs, text, shingle, [id_col]).select(column(id_col).alias("id"), "fp"), "marks")
-    entries = settle(marks.groupBy("fp").agg(F.min("id").alias("least")), "entries")
-    roots = connected(near_links(entries.select("fp"), distance))
-    linked = roots.join(entries, roots["node"] == entries["fp"]).select("fp", "root", "least")
-    least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = settle(linked.join(least, "root").select("fp", "component_id"), "named")
-    labels = settle(entries.join(named, "fp", "left")
-                    .select("fp", F.coalesce("component_id", "least").alias("component_id")), "labels")
-    return marks.join(labels, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    return _grouped(docs, id_col, text, shingle, distance, []).drop("root")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3,
                          distance: int = 3) -> DataFrame:
-    """The rows whose id is the least of their component, one each; same columns.
+    """One row of each component; same columns.
 
-    A repeated id stays once, as the row of the least text; all rows without an id go
-    into the component of theirs, or stay as one row where it has null ids only.
+    It is the row of least id (null ids last); of rows of that id the one of least
+    fingerprint, then of least hash over all columns, so the choice does not depend on
+    how the rows are dealt out. Of rows equal in every column any one stays. Components
+    that share an id keep a row each. An empty table gives an empty one.
     """
-    groups = settle(simhash_groups(docs, id_col, text, shingle, distance), "groups")
-    stays = (groups.filter(F.col("component_id").eqNullSafe(column(id_col)))
-             .groupBy("component_id").agg(F.min("fp").alias("__fp"))
-             .withColumnRenamed("component_id", "__id"))
-    kept = docs.join(stays, column(id_col).eqNullSafe(F.col("__id")), "left_semi")
-    repeated = groups.groupBy(id_col).count().filter("count > 1")
-    return kept if repeated.isEmpty() else kept.dropDuplicates([id_col])
+    hashable = [f.name for f in docs.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    marked = docs.withColumn("__mark", F.xxhash64(*[column(c) for c in hashable]))
+    groups = settle(_grouped(marked, id_col, text, shingle, distance, ["__mark"])
+                    .withColumnRenamed(id_col, "__id"), "groups")
+    stays = settle(groups.groupBy("root").agg(F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "fp", "__mark"))
+                                              .alias("x")).select("x.__id", F.col("x.__mark").alias("__of")), "stays")
+    kept = marked.join(stays, column(id_col).eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__of")), "left_semi")
+    twice = groups.groupBy("__id", "__mark").count().filter("count > 1")
+    if not twice.isEmpty():
+        kept = kept.dropDuplicates([id_col, "__mark"])
+    return kept.select(*[column(c) for c in docs.columns])
