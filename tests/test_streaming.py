@@ -14,7 +14,7 @@ from tidegauge.plans.adapter import event_stream, shop_events
 from tidegauge.settings import Settings
 from tidegauge.sources.decode import decode_messages, rejected_messages
 from tidegauge.sources.messages import text_stream
-from tidegauge.streaming import commits, jobs, panes, serving
+from tidegauge.streaming import commits, jobs, panes, serving, toplist
 from tidegauge.streaming.keyvalue import write_key_values
 from tidegauge.streaming.publish import to_messages
 from test_windowed import plan
@@ -172,6 +172,29 @@ def test_rows_of_a_list_of_keys(spark, shared):
     assert "PushedFilters: [In(serving_key" in by_list._jdf.queryExecution().toString()
 
 
+def test_kept_lists_equal_a_fresh_top_after_each_batch(spark, shared, monkeypatch):
+    """Refunds lower the revenue of kept rows, which lets others in."""
+    rng, table, reread = random.Random(5), w.TRENDING_PRODUCTS, []
+    whole = panes.read_windows
+    monkeypatch.setattr(panes, "read_windows", lambda s, r, t, f: (reread.append(f.count()), whole(s, r, t, f))[1])
+    for batch in range(4):
+        rows = [event(rng.randrange(3), "purchase", product=f"p{rng.randrange(6)}",
+                      revenue=float(rng.choice([1, 2, 3, 50, -30]))) for _ in range(8)]
+        commit = panes.append(events(spark, rows), batch, shared, table, "r1", delay="1 hour")
+        for _ in range(1 + batch % 2):  # some batches are replayed
+            toplist.refresh(spark, shared, table, commit, "revenue", 2)
+        if batch == 2:
+            toplist.maintain(spark, shared, table, "revenue", commit.name, most_commits=1)
+        rows = panes.read_latest(spark, shared, table, ttl=None).collect()
+        want = []
+        for start in {r["window_start"] for r in rows}:
+            own = sorted((-r["revenue"], r["product_id"]) for r in rows if r["window_start"] == start)[:2]
+            want += [(start, p, -v, i + 1) for i, (v, p) in enumerate(own)]
+        assert tuples(toplist.read_list(spark, shared, table, "revenue"),
+                      "window_start", "product_id", "revenue", "place") == sorted(want)
+    assert any(reread)
+
+
 # --- commits ---
 
 def test_readers_see_whole_commits_only(spark, shared):

@@ -241,6 +241,9 @@ ORACLES: dict[str, str] = {
     "trending_products": with_tables("minutes", "select * from t"),
     "category_analytics": with_tables("minutes", "select * from c"),
     "user_behavior": with_tables("minutes", "select * from b"),
+    "top_products_kept": with_tables("weekly", """select * from (
+  select window_start, product_id, product_name, category, revenue, cast(row_number() over (partition by window_start
+    order by revenue desc, product_id, product_name, category) as integer) as place from t) where place <= 5"""),
     "approximate_users": with_tables("weekly", "select window_start, product_id, unique_users, true as within from t"),
     "approximate_users_stream": with_tables(
         "weekly", "select window_start, product_id, unique_users, true as within from t"),

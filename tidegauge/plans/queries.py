@@ -20,7 +20,7 @@ from tidegauge.sources.catalog import read_catalog
 from tidegauge.session import tune
 from tidegauge.settings import Settings, shared_root
 from tidegauge.sources.decode import decode_messages, rejected_messages
-from tidegauge.streaming import jobs, panes, serving
+from tidegauge.streaming import jobs, panes, serving, toplist
 from tidegauge.streaming.publish import to_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -169,6 +169,22 @@ def user_behavior_stream(spark, sf_dir):
     return _served_from_stream(spark, sf_dir, USER_BEHAVIOR)
 
 
+@query
+def top_products_kept(spark, sf_dir):
+    """The five best products of each week, kept while the events come in three deliveries."""
+    root = fresh_root(spark)
+    settings = Settings(window=WEEKLY.window, slide=WEEKLY.slide, watermark="60 days")
+    messages = to_messages(raw_events(spark, sf_dir)).withColumn(
+        "part", F.pmod(F.crc32(F.get_json_object("value", "$.event_id")), F.lit(3)))
+    for part in range(3):
+        (messages.filter(F.col("part") == part).select("key", "value")
+                 .write.mode("append").parquet(f"{root}/messages"))
+        stream = spark.readStream.schema("key string, value string").parquet(f"{root}/messages")
+        jobs.finish([jobs.start_serving(decode_messages(stream), [TRENDING_PRODUCTS], root, settings, available_now=True,
+                                        tops={"trending_products": ("revenue", 5)})])
+    return toplist.read_list(spark, f"{root}/serving", TRENDING_PRODUCTS, "revenue")
+
+
 def _near_exact(exact: DataFrame, estimated: DataFrame) -> DataFrame:
     """Exact users per window and product, and whether the estimate lies within four
     deviations of a sketch (and one user)."""

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidegauge.operators.grain import Grain
 from tidegauge.operators.windowed import EVENT_TIME, TABLES, WindowTable, table_named
 from tidegauge.settings import Settings, shared_root
-from tidegauge.streaming import panes
+from tidegauge.streaming import panes, toplist
 from tidegauge.streaming.serving import as_key_values, new_run
 
 OnBatch = Callable[[DataFrame, int], None]
@@ -39,11 +39,13 @@ def used_columns(tables: Sequence[WindowTable]) -> list[str]:
 def start_serving(events: DataFrame, tables: Sequence[WindowTable], root: str, settings: Settings = Settings(),
                   available_now: bool = False, on_batch: Mapping[str, OnBatch] | None = None,
                   console: bool = False, run: str | None = None, maintain_every: int = 120,
-                  name: str = "serve") -> StreamingQuery:
+                  name: str = "serve", tops: Mapping[str, tuple[str, int]] | None = None) -> StreamingQuery:
     """Keep the serving tables under ``root/serving`` up to date from a stream of events.
 
     ``on_batch`` gets, by table name, the key and value rows a batch changed, for stores
-    outside; it is not called for a batch without rows. ``console`` prints them. Every
+    outside; it is not called for a batch without rows. ``console`` prints them. ``tops``
+    has, by table name, a metric and how many of the best rows by it are kept per window
+    (see ``toplist``). Every
     ``maintain_every`` batches expired panes are dropped and commits merged (0: never). An
     error in a sink fails the query; it resumes from the checkpoint without loss, and the
     repeated batch replaces what it wrote before. A checkpoint keeps its windows and slide.
@@ -54,7 +56,7 @@ def start_serving(events: DataFrame, tables: Sequence[WindowTable], root: str, s
         tables = [t.with_approximate_users() for t in tables]
     target, checkpoint = f"{base}/serving", f"{base}/checkpoints/{name}"
     lineage = panes.lineage_of(events.sparkSession, checkpoint, grain)
-    hooks = on_batch or {}
+    hooks, lists = on_batch or {}, tops or {}
 
     def upsert(batch_rows: DataFrame, batch: int) -> None:
         spark = batch_rows.sparkSession
@@ -68,8 +70,12 @@ def start_serving(events: DataFrame, tables: Sequence[WindowTable], root: str, s
                         show_rows(rows, batch, table)
                     if table.name in hooks:
                         hooks[table.name](as_key_values(rows, table), batch)
+                if commit.rows and table.name in lists:
+                    toplist.refresh(spark, target, table, commit, *lists[table.name])
                 if maintain_every and batch % maintain_every == maintain_every - 1:
                     panes.maintain(spark, target, table, batch, ttl=settings.ttl)
+                    if table.name in lists:
+                        toplist.maintain(spark, target, table, lists[table.name][0], commit.name)
         finally:
             known.unpersist()
 

@@ -214,6 +214,19 @@ def read_keys(spark: SparkSession, root: str, table: WindowTable, keys: DataFram
     return _finished(_totals(spark, root, table, known, low, high, keys), table)
 
 
+def read_windows(spark: SparkSession, root: str, table: WindowTable, windows: DataFrame) -> DataFrame:
+    """The finished rows of all keys in the given windows (``window_start``)."""
+    known = [c for c in commits.snapshot(spark, table_path(root, table)) if c.rows]
+    start = F.unix_seconds("window_start")
+    low, high = windows.agg(F.min(start), F.max(start)).first()
+    if low is None or len({(c.facts["window"], c.facts["slide"]) for c in known}) != 1:
+        rows = _totals(spark, root, table, [] if low is None else known)
+    else:
+        step = _grain(known[0]).divided().slide_seconds
+        rows = _totals(spark, root, table, known, low // step, high // step)
+    return _finished(rows.join(windows.select("window_start").distinct(), "window_start", "left_semi"), table)
+
+
 def changed_rows(spark: SparkSession, root: str, table: WindowTable, commit: Commit) -> DataFrame:
     """Whole rows of the windows and keys that one commit touched; reads their panes only."""
     known = [c for c in commits.snapshot(spark, table_path(root, table)) if c.rows]
