@@ -47,14 +47,14 @@ def test_mixture_equals_a_plain_loop():
     rng = np.random.default_rng(1)
     chance, counts = rng.random((40, 3)).astype(np.float32), rng.integers(1, 5, 40).astype(float)
     starts = np.array([0, 15])
-    share, likely = g.mixtures(chance, counts, starts, np.ones((2, 3)))
+    share, likely, bound = g.mixtures(chance, counts, starts, np.ones((2, 3)))
     for t, (a, b) in enumerate([(0, 15), (15, 40)]):
         s = np.full(3, 1 / 3)
         for _ in range(2000):
             each = chance[a:b] * s
             s = (counts[a:b, None] * each / each.sum(1, keepdims=True)).sum(0) / counts[a:b].sum()
         best = (counts[a:b] * np.log(chance[a:b] @ s)).sum()
-        assert likely[t] <= best + 1e-3 and best - likely[t] < 0.2
+        assert likely[t] <= best + 1e-3 and best - likely[t] < 0.2 and best <= bound[t] + 1e-3
 
 
 def test_nulls_no_letters_clashes_and_empty_tables(spark, model):
@@ -74,3 +74,24 @@ def test_a_very_long_text_counts_whole(spark, model):
     text = "der die das und ist nicht ein eine " * 3000 + "the and of that with " * 30000
     row = g.languages(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).first()
     assert row["lang_pred"] == "en" and len(row["languages"]) >= 2
+
+
+def test_a_text_alone_gets_what_it_gets_beside_others(spark, model):
+    texts = [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").filter(F.length("text") > 400).limit(40).collect()]
+    texts = [a[:300] + " " + b[:200 + 5 * i] for i, (a, b) in enumerate(zip(texts, texts[1:]))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    together = {r["doc_id"]: r["languages"] for r in g.languages(docs, model).collect()}
+    for i in range(0, len(texts), 5):
+        alone = g.languages(spark.createDataFrame([(i, texts[i])], "doc_id long, text string"), model).first()
+        assert alone["languages"] == together[i]
+
+
+def test_clean_texts_stay_and_what_is_no_learned_language_goes(spark, model):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter(held_out() & F.col("text").rlike("[A-Za-z]"))
+    assert g.keep_identified(docs, model).count() >= 0.99 * docs.count()
+    clean = [r["text"] for r in docs.filter(F.length("text") > 300).limit(6).collect()]
+    mixed = [" ".join(t[:200] for t in clean[i:i + 4]) for i in range(3)]
+    junk = ["Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива по-своему. " * 2,
+            "今天天气很好我们一起去公园散步然后回家吃饭晚上看电影" * 4, "xqzj qxzjv zzqx jjxq vqxz " * 10]
+    kept = g.keep_identified(spark.createDataFrame(list(enumerate(mixed + junk)), "doc_id long, text string"), model)
+    assert {r["doc_id"] for r in kept.collect()} == {0, 1, 2}
