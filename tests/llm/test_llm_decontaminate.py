@@ -2,11 +2,14 @@
 
 import random
 import re
+import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tidegauge.llm import decontaminate as d
+from tidegauge.llm.common import utf8
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
@@ -130,3 +133,18 @@ def test_repeated_and_null_ids_as_in_sql(spark, tmp_path):
         base.execute(f"CREATE TABLE {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
     got = sorted(tuple(r) for r in op10_decontamination(spark, str(tmp_path)).collect())
     assert got == sorted(base.execute(OP10).fetchall())
+
+
+def test_runs_of_one_word_equal_all_windows_in_linear_time(spark):
+    rng = random.Random(8)
+
+    def made(n):
+        return " ".join(" ".join(["w"] * rng.choice([1, 3, 5, 6, 12, 13, 14, 30]) if rng.random() < 0.5
+                                 else rng.choices(["w", "a", "b"], k=rng.randint(1, 9))) for _ in range(n))
+    items = [(n, made(rng.randint(1, 5))) for n in range(12)] + [(20, "w w w w w w"), (21, "w " * 40)]
+    texts = [made(rng.randint(1, 8)) for _ in range(60)]
+    assert ours(spark, texts, items) == [plain(t, items) for t in texts]
+    block = d.build_block([("spam", "buy " * 20_000)], 13, 5)
+    began = time.perf_counter()
+    found = d.hits_of(d.words_of(*utf8(pa.array(["buy " * 100_000]))), block)
+    assert found == [([(0, 100_000)], {0})] and time.perf_counter() - began < 20

@@ -185,11 +185,25 @@ def common_run(a, b, i: int, j: int) -> tuple[int, int]:
     return back, on
 
 
+def equal_runs(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each word where the run of equal words around it starts and stops; runs lie within
+    the texts that start at ``first``."""
+    new = np.ones(len(hashes), bool)
+    new[1:] = hashes[1:] != hashes[:-1]
+    new[first[first < len(hashes)]] = True
+    starts = np.flatnonzero(new)
+    sizes = np.diff(np.append(starts, len(hashes)))
+    return np.repeat(starts, sizes), np.repeat(starts + sizes, sizes)
+
+
 def hits_of(words: Words, block: Block) -> list[tuple[list[tuple[int, int]], set[int]]]:
     """Of each text: the merged spans of words inside windows of items, and the items."""
     count = len(words.first) - 1
     spans: list[list[tuple[int, int]]] = [[] for _ in range(count)]
     items: list[set[int]] = [set() for _ in range(count)]
+    run_starts, run_stops = equal_runs(words.hashes, words.first)
+    zero = np.zeros(1, np.int64)
+    item_runs: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for k, (keys, key_items, key_places) in block.tables.items():
         if not len(keys):
             continue
@@ -205,24 +219,58 @@ def hits_of(words: Words, block: Block) -> list[tuple[list[tuple[int, int]], set
         met = np.flatnonzero(high > low)
         of = np.searchsorted(words.first, place[met], "right") - 1
         done: dict[tuple[int, int, int], int] = {}
+        size = k or block.kgram
+
+        def extend(doc: int, first: int, last: int, item: int, i: int, j: int) -> None:
+            """Note the match through place i of the text and place j of the item."""
+            if done.get((doc, item, i - j), -1) > i:
+                return
+            theirs = block.words[item]
+            least = min(block.window, len(theirs))
+            back, on = common_run(words.hashes[first:last], block.hashes[item], i, j)
+            if back + on >= least:  # equal hashes; now the words themselves
+                ours = words.bytes_of(first + i - back, first + i + on)
+                if ours != theirs[j - back: j + on]:
+                    far, on = common_run(ours, theirs[j - back: j + on], back, back)
+                    back = min(back, far)
+            done[doc, item, i - j] = i + on
+            if back + on >= least:
+                spans[doc].append((i - back, i + on))
+                items[doc].add(item)
+
+        run_done: set[int] = set()
         for m, doc in zip(met.tolist(), of.tolist()):
             first, last = int(words.first[doc]), int(words.first[doc + 1])
-            i = int(place[m]) - first
+            at = int(place[m])
+            start, stop = int(run_starts[at]), int(run_stops[at])
+            if start in run_done:
+                continue
+            same: set[bytes] = set()
+            if stop - at >= size > 1 and stop - start > size:
+                same = set(words.bytes_of(start, stop))
+            repeated = len(same) == 1
+            if repeated:
+                run_done.add(start)
+            seen: set[tuple[int, int]] = set()
             for e in range(int(low[m]), int(high[m])):
                 item, j = int(key_items[e]), int(key_places[e])
-                if done.get((doc, item, i - j), -1) > i:
+                if not repeated:
+                    extend(doc, first, last, item, at - first, j)
+                    continue
+                # One word again and again: runs of it match where their starts or their stops
+                # lie together, and within each other as far as the shorter one goes.
+                if item not in item_runs:
+                    item_runs[item] = equal_runs(block.hashes[item], zero)
+                a, b = int(item_runs[item][0][j]), int(item_runs[item][1][j])
+                if (item, a) in seen:
+                    continue
+                seen.add((item, a))
+                if set(block.words[item][a:b]) != same:  # equal hashes of other words
                     continue
-                theirs = block.words[item]
-                least = min(block.window, len(theirs))
-                back, on = common_run(words.hashes[first:last], block.hashes[item], i, j)
-                if back + on >= least:  # equal hashes; now the words themselves
-                    ours = words.bytes_of(first + i - back, first + i + on)
-                    if ours != theirs[j - back: j + on]:
-                        far, on = common_run(ours, theirs[j - back: j + on], back, back)
-                        back = min(back, far)
-                done[doc, item, i - j] = i + on
-                if back + on >= least:
-                    spans[doc].append((i - back, i + on))
+                extend(doc, first, last, item, start - first, a)
+                extend(doc, first, last, item, stop - 1 - first, b - 1)
+                if min(stop - start, b - a) >= min(block.window, len(block.words[item])):
+                    spans[doc].append((start - first, stop - first))
                     items[doc].add(item)
     return [(merged(s), t) for s, t in zip(spans, items)]
 
