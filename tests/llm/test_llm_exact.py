@@ -80,3 +80,16 @@ def test_drop_keeps_columns(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3]
     with pytest.raises(Exception):
         x.drop_exact_duplicates(docs.drop("text")).count()
+
+
+def test_clashing_columns_and_only_possible_copies_shuffled(spark):
+    rows = [(1, "a b", "x", 1), (2, "ab", "y", 2), (3, "other", "z", 3), (3, "third", "z", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, keep_id string, fp long")
+    got = sorted((r["doc_id"], r["keep_id"], r["kept"]) for r in x.exact_groups(docs).collect())
+    assert got == [(1, 1, True), (2, 1, False), (3, 3, True), (3, 3, True)]
+    marks = x.signatures(docs.select(F.col("doc_id").alias("id"), "text", F.length("text").cast("long").alias("n_chars")),
+                         keep=["id", "n_chars"])
+    groups = marks.groupBy("fp", "n_bytes").agg(F.count("*").alias("group_size"), F.min(F.struct(
+        (-F.col("n_chars")).alias("o"), "id")).alias("best")).filter("group_size > 1")
+    assert x._different(docs.select(F.col("doc_id").alias("id"), "text", F.length("text").cast("long").alias("n_chars")),
+                        groups, ["fp", "n_bytes"]).isEmpty()

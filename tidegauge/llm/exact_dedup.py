@@ -21,6 +21,8 @@ from tidegauge.llm.common import column, settle, utf8, with_text_columns
 PRIME = (1 << 31) - 1
 BASES = (1_103_515_245, 1_664_525)
 CHUNK = 1 << 16
+#: Cells of the filter that finds texts with possible copies: at most so many integers are broadcast.
+CELLS = 1 << 20
 #: The white space that makes no difference between texts.
 BLANKS = bytes([0x20, *range(0x09, 0x0E)])
 
@@ -97,7 +99,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
 
     Of equal texts the row with the most code points in the original text stays, then
     the least id (null ids last), then, of rows equal in both, any one. Rows of a
-    repeated id are rows of their own. Null texts are empty and equal each other.
+    repeated id are rows of their own. Null texts are empty and equal each other. A long
+    text is hashed and compared whole, chunk by chunk. Other columns play no part, whatever
+    their names. An empty table gives an empty one.
     """
     slim = docs.select(column(id_col).alias("id"), F.coalesce(column(text).cast("string"), F.lit("")).alias("text"))
     slim = slim.withColumn("n_chars", F.length("text").cast("long"))
@@ -122,8 +126,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
 
 def _different(slim: DataFrame, groups: DataFrame, key: list[str]) -> DataFrame:
     """fp, n_bytes and text_sha256 of the texts that differ from the one that stays."""
+    # Only texts whose fingerprint may be that of a group are shuffled: a filter of fixed size.
+    cell = F.pmod(F.xxhash64(*key), F.lit(CELLS)).cast("int").alias("cell")
+    cells = settle(groups.select(cell).distinct(), "cells")
     copies = settle(
-        signatures(slim, keep=["id", "n_chars"], with_text=True).join(groups, key)
+        signatures(slim, keep=["id", "n_chars"], with_text=True).select("*", cell)
+        .join(F.broadcast(cells), "cell", "left_semi").drop("cell").join(groups, key)
         .select(*key, "text_sha256", ((-F.col("n_chars") == F.col("best.o")) & F.col("id").eqNullSafe(F.col("best.id")))
                 .alias("stays"), "plain"), "copies")
 
