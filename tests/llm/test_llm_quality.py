@@ -1,93 +1,14 @@
-"""The n-gram model against a plain implementation; thresholds."""
+"""Judgement of documents and thresholds; the model itself is tested in test_llm_words."""
 
-import math
-from collections import Counter, defaultdict
+from collections import defaultdict
 
 import numpy as np
-import pyarrow as pa
 from conftest import SF
 from pyspark.sql import functions as F
 
 from tidegauge.llm import quality as q
 
 
-def symbols(text):
-    return [63] * (q.ORDER - 1) + [int(q.SYMBOLS[ord(c)]) if ord(c) < len(q.SYMBOLS) else 40 + ord(c) % 23 for c in text]
-
-
-class Plain:
-    """Interpolated modified Kneser-Ney with dictionaries."""
-
-    def __init__(self, texts):
-        self.counts = [None] * (q.ORDER + 1)
-        top = Counter()
-        for t in texts:
-            s = symbols(t)
-            top.update(tuple(s[i:i + q.ORDER]) for i in range(len(s) - q.ORDER + 1))
-        self.counts[q.ORDER] = top
-        for k in range(q.ORDER - 1, 0, -1):
-            self.counts[k] = Counter(g[1:] for g in self.counts[k + 1])
-        self.cut = []
-        for c in self.counts[1:]:
-            n = Counter(c.values())
-            y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.0
-            self.cut.append([min(float(i), max(0.0, i - (i + 1) * y * n[i + 1] / n[i])) if n[i] else 0.5 * i for i in (1, 2, 3)])
-        self.after = []
-        for c in self.counts[1:]:
-            groups = defaultdict(list)
-            for g, n in c.items():
-                groups[g[:-1]].append(n)
-            self.after.append(groups)
-
-    def p(self, gram):
-        if not gram:
-            return 1 / 64
-        k = len(gram)
-        lower, counts = self.p(gram[1:]), self.after[k - 1].get(gram[:-1])
-        if not counts:
-            return lower
-        d = self.cut[k - 1]
-        n = self.counts[k].get(gram, 0)
-        freed = sum(d[min(c, 3) - 1] for c in counts)
-        return ((n - d[min(n, 3) - 1] if n else 0.0) + freed * lower) / sum(counts)
-
-    def perplexity(self, text):
-        s = symbols(text)
-        logs = [math.log(self.p(tuple(s[i:i + q.ORDER]))) for i in range(len(s) - q.ORDER + 1)]
-        return math.exp(-sum(logs) / len(logs)) if logs else None
-
-
-def test_perplexity_equals_the_plain_model(spark):
-    trusted = ["The cat sat on the mat. ", "a cat, a hat: 12 bats!", "É était là", "abab abab", "", "x"]
-    texts = ["The hat sat.", "zzzz", "", None, "日本語 cat", "A" * 50, "x"]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    known = spark.createDataFrame([(t,) for t in [*trusted, None]], "text string")
-    got = {r["doc_id"]: r["perplexity"] for r in q.perplexities(docs, known).collect()}
-    plain = Plain(trusted)
-    for i, text in enumerate(texts):
-        want = plain.perplexity(text or "")
-        assert (got[i] is None) == (want is None)
-        assert want is None or abs(got[i] / want - 1) < 1e-4
-
-
-def test_probabilities_after_a_context_sum_to_one(spark):
-    known = spark.createDataFrame([("the cat sat on the mat and the rat ran",), ("that hat",)], "text string")
-    contexts = [symbols("the")[-3:], symbols("qqq")[-3:], [63, 63, 63]]
-    asked = [((a << 6 | b) << 6 | c) << 6 | d for a, b, c in contexts for d in range(64)]
-    rows = q.gram_probabilities(known, spark.createDataFrame([(g,) for g in asked], "gram long")).collect()
-    sums = defaultdict(float)
-    for r in rows:
-        sums[r["gram"] >> 6] += r["p"]
-    assert len(rows) == 192 and all(abs(s - 1) < 1e-9 for s in sums.values())
-
-
-def test_grams_of_several_texts_do_not_cross():
-    code, lengths = q.grams(pa.array(["ab", None, "", "c"]))
-    assert lengths.tolist() == [2, 0, 0, 1]
-    start = 63 << 12 | 63 << 6 | 63
-    assert code.tolist() == [start << 6 | 1, (63 << 12 | 63 << 6 | 1) << 6 | 2, start << 6 | 3]
-
-
 def test_judgement_of_documents(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     rows = q.judge_quality(docs, labels.filter("quality = 1 and toxic = 0")).join(labels, "doc_id").cache()

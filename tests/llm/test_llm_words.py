@@ -2,16 +2,51 @@
 
 import math
 import random
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pytest
-from test_llm_quality import Plain
 
 from tidegauge.llm import quality as q
 from tidegauge.llm import word_model as w
 
 
+class Plain:
+    """Interpolated modified Kneser-Ney with dictionaries, over lists of words."""
+
+    def __init__(self, texts, order, known):
+        self.counts, self.known, top = [None] * (order + 1), known, Counter()
+        for words in texts:
+            top.update(tuple(words[i:i + order]) for i in range(len(words) - order + 1))
+        self.counts[order] = top
+        for k in range(order - 1, 0, -1):
+            self.counts[k] = Counter(g[1:] for g in self.counts[k + 1])
+        self.cut = []
+        for c in self.counts[1:]:
+            n = Counter(c.values())
+            y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.0
+            self.cut.append([min(float(i), max(0.0, i - (i + 1) * y * n[i + 1] / n[i])) if n[i] else 0.5 * i for i in (1, 2, 3)])
+        self.after = []
+        for c in self.counts[1:]:
+            groups = defaultdict(list)
+            for g, n in c.items():
+                groups[g[:-1]].append(n)
+            self.after.append(groups)
+
+    def p(self, gram):
+        if not gram:
+            return 1 / (self.known + 1)
+        k = len(gram)
+        lower, counts = self.p(gram[1:]), self.after[k - 1].get(gram[:-1])
+        if not counts:
+            return lower
+        d = self.cut[k - 1]
+        n = self.counts[k].get(gram, 0)
+        freed = sum(d[min(c, 3) - 1] for c in counts)
+        return ((n - d[min(n, 3) - 1] if n else 0.0) + freed * lower) / sum(counts)
+
+
 def judge(spark, trusted, others):
     rows = [(i, t, "xx") for i, t in enumerate([*trusted, *others])]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
@@ -25,7 +60,6 @@ def test_words_of_several_scripts():
     assert n.tolist() == [4, 0, 0, 3, 2, 1]
     assert hashes[0] == hashes[9] and hashes[7] == hashes[8]
     assert len(set(hashes.tolist())) == 8
-    # Points that the folded symbols cannot tell apart.
     assert len(set(w.words(pa.array([chr(0x4E00), chr(0x4E00 + 23), chr(0x4E00 + 46)]))[0].tolist())) == 3
 
 
@@ -42,16 +76,10 @@ def test_perplexity_equals_the_plain_model(spark, monkeypatch, hot):
     got = {r["key"]: r["perplexity"] for r in w.word_perplexities(docs, frame, q.discounts).collect()}
     seen = {c for t in trusted for c in t.split()}
 
-    class Words(Plain):
-        def p(self, gram):
-            return super().p(gram) if gram else 1 / (len(seen) + 1)
-
-    def spelled(text):  # a letter a symbol, the place before a text 63
-        return [63] * (w.ORDER - 1) + [ord(x[0]) - 96 for x in text.split()]
+    def spelled(text):
+        return ["<"] * (w.ORDER - 1) + text.split()
 
-    monkeypatch.setattr(q, "ORDER", w.ORDER)
-    monkeypatch.setattr("test_llm_quality.symbols", spelled)
-    models = [Words([t for t in trusted if halves[t] == h]) for h in (0, 1)]
+    models = [Plain([spelled(t) for t in trusted if halves[t] == h], w.ORDER, len(seen)) for h in (0, 1)]
     for text in texts:
         s = spelled(text)
         logs = [math.log(models[1 - halves[text]].p(tuple(s[i:i + w.ORDER]))) for i in range(len(s) - w.ORDER + 1)]
@@ -73,7 +101,6 @@ def test_shuffled_words_and_wrong_letters_score_worse(spark, first):
     trusted = [prose() for _ in range(200)]
     clean = [prose() for _ in range(20)]
     salad = [rng.sample(t, len(t)) for t in clean]
-    # Each letter 23 places on: the same symbol of the folded model, where not ASCII.
     wrong = [["".join(chr(ord(c) + 23 * 40) for c in word) for word in t] for t in clean]
     rows = judge(spark, [" ".join(t) for t in trusted], [" ".join(t) for t in [*clean, *salad, *wrong]])
     kept = [rows[200 + i]["kept"] for i in range(60)]

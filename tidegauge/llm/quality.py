@@ -1,87 +1,17 @@
 """Quality by the perplexity of an n-gram model of trusted texts.
 
 Documents are judged per word (see ``word_model``), trusted ones by a model that they did
-not train. ``perplexities`` is a small model for ASCII text: interpolated modified
-Kneser-Ney over characters folded to 64 symbols, four in a row, of at most 2**24 grams.
-All trusted texts are counted; counts, continuation counts and context sums are tables of
-their own, sharded by gram or context, whose joins with the corpus's grams give the
-probability of each.
+not train, against a quantile of the trusted texts of their language.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import column, pieces, settle, with_text_columns
+from tidegauge.llm.common import column, settle
 from tidegauge.llm.word_model import keyed, word_perplexities
 
-ORDER, BITS = 4, 6
-GRAMS = 1 << (ORDER * BITS)
-START = "\x01"
-#: Symbols: 0 white space, 1-26 letters, 27 digits, 28-38 these marks, 39 other ASCII,
-#: 40-62 all other characters (lowered, by hash), 63 the place before a text.
-MARKS = ".,;:!?'\"-()"
-
-
-def _symbol(cp: int) -> int:
-    c = chr(cp)
-    if c == START:
-        return 63
-    c = c.lower()[0]
-    if c.isspace():
-        return 0
-    if "a" <= c <= "z":
-        return ord(c) - 96
-    if "0" <= c <= "9":
-        return 27
-    if c in MARKS:
-        return 28 + MARKS.index(c)
-    return 39 if ord(c) < 0x80 else 40 + ord(c) % 23
-
-
-SYMBOLS = np.array([_symbol(cp) for cp in range(0x3000)], np.int32)
-
-
-def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The gram that ends at each character, and the texts' lengths in characters."""
-    lines = [t or "" for t in texts.to_pylist()]
-    lengths = np.array(list(map(len, lines)), np.int64)
-    lead = START * (ORDER - 1)
-    points = np.frombuffer(lead.join(["", *lines]).encode("utf-32-le"), np.uint32)
-    symbols = np.where(points < len(SYMBOLS), SYMBOLS[np.minimum(points, len(SYMBOLS) - 1)],
-                       (40 + points % 23).astype(np.int32))
-    code = np.zeros(max(0, len(symbols) - ORDER + 1), np.int32)
-    for i in range(ORDER):
-        code = code << BITS | symbols[i: len(symbols) - ORDER + 1 + i]
-    starts = np.cumsum(lengths + ORDER - 1) - lengths
-    place = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
-    return code[place - (ORDER - 1)], lengths
-
-
-def count_grams(docs: DataFrame, text: str) -> DataFrame:
-    """gram and n over all texts, summed in each task before the shuffle."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = None
-        for batch in batches:
-            for piece in pieces(batch, "text"):
-                used, n = np.unique(grams(piece.column("text"))[0], return_counts=True)
-                sums = np.zeros(GRAMS, np.int64) if sums is None else sums
-                sums[used] += n
-        if sums is not None:
-            used = np.flatnonzero(sums)
-            for at in range(0, len(used), 1 << 16):
-                part = used[at: at + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(sums[part])], ["gram", "n"])
-
-    return (docs.select(column(text).cast("string").alias("text")).mapInArrow(count, "gram long, n long")
-            .groupBy("gram").agg(F.sum("n").alias("n")))
-
 
 def discounts(counts: DataFrame) -> list[float]:
     """Of counts 1, 2, and 3 or more, from how often counts 1 to 4 occur."""
@@ -92,66 +22,19 @@ def discounts(counts: DataFrame) -> list[float]:
     return [min(float(i), max(0.0, i - (i + 1) * y * b / a)) if a else 0.5 * i for i, (a, b) in enumerate(steps, 1)]
 
 
-def gram_probabilities(trusted: DataFrame, asked: DataFrame, text: str = "text") -> DataFrame:
-    """gram and p, the probability of its last symbol after the others, for the asked grams."""
-    counts = settle(count_grams(trusted, text), "counts")
-    levels = []
-    for order in range(ORDER, 0, -1):
-        d = discounts(counts)
-        less = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
-        contexts = counts.groupBy(F.shiftright("gram", BITS).alias("context")).agg(
-            F.sum("n").alias("all"), F.sum(less).alias("freed"))
-        own = counts.select(F.col("gram"), (F.col("n") - less).alias("left"))
-        levels.append((order, own, contexts))
-        # A shorter gram counts the symbols that it follows, not its occurrences.
-        if order > 1:
-            shorter = F.col("gram").bitwiseAND(F.lit((1 << (BITS * (order - 1))) - 1))
-            counts = settle(counts.groupBy(shorter.alias("gram")).agg(F.count("*").alias("n")), "counts")
-    out = asked.select("gram", F.lit(1.0 / (1 << BITS)).alias("p"))
-    for order, own, contexts in reversed(levels):
-        key = F.col("gram").bitwiseAND(F.lit((1 << (BITS * order)) - 1))
-        out = (out.withColumn("__gram", key).withColumn("__context", F.shiftright("__gram", BITS))
-               .join(own.withColumnRenamed("gram", "__gram"), "__gram", "left")
-               .join(contexts.withColumnRenamed("context", "__context"), "__context", "left")
-               .select("gram", F.when(F.col("all").isNull(), F.col("p")).otherwise(
-                   (F.coalesce("left", F.lit(0.0)) + F.col("freed") * F.col("p")) / F.col("all")).alias("p")))
-        out = settle(out, "chances")
-    return out
-
-
-def perplexities(docs: DataFrame, trusted: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The kept columns and perplexity per character; null for a null or empty text. With
-    no trusted text all symbols are equally likely."""
-    asked = settle(count_grams(docs, text).select("gram"), "asked")
-    table = gram_probabilities(trusted, asked, text).toArrow()  # at most GRAMS rows
-    logs = np.zeros(GRAMS, np.float32)
-    logs[table.column("gram").to_numpy()] = np.log(table.column("p").to_numpy())
-    sent = docs.sparkSession.sparkContext.broadcast(logs)
-
-    def make():
-        known = sent.value
-
-        def compute(texts: pa.Array) -> list[pa.Array]:
-            code, lengths = grams(texts)
-            sums = np.concatenate(([0.0], np.cumsum(known[code], dtype=np.float64)))
-            ends = np.cumsum(lengths)
-            mean = (sums[ends] - sums[ends - lengths]) / np.maximum(lengths, 1)
-            return [pa.array(np.exp(-mean), mask=lengths == 0)]
-        return compute
-
-    return with_text_columns(docs, text, "perplexity double", make, keep)
-
-
 def judge_quality(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text: str = "text",
                   lang: str = "lang", quantile: float = 0.99, accuracy: int = 10_000) -> DataFrame:
     """id, lang, trusted, perplexity (per word), threshold and kept for every row.
 
+    Texts are scored whole, whatever their length; other columns play no part, whatever
+    their names. Where all trusted texts fall into one half, one model scores its own texts.
+
     Trusted texts are dealt to two models, and each text, trusted or not, is scored by the
-    one that equal texts do not train. A language's threshold is that quantile of its trusted texts' perplexities (within
-    1 / accuracy in rank); one without trusted texts, and a null language, has that of
+    one that equal texts do not train. A language's threshold is that quantile of its trusted
+    texts' perplexities (within 1 / accuracy in rank); one without trusted texts, and a null language, has that of
     all. A text is kept if it has a perplexity of at most its threshold; texts without a
     word or mark have none. Rows of a repeated id are rows of their own; a null id is not
-    trusted. Without trusted texts nothing is kept.
+    trusted. Without trusted texts nothing is kept. An empty table gives an empty one.
     """
     ids = trusted_ids.select(column(id_col).alias("id")).filter("id is not null").distinct()
     rows = docs.select(column(id_col).alias("id"), column(lang).cast("string").alias("lang"),
