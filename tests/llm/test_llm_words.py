@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tidegauge.llm import quality as q
 from tidegauge.llm import word_model as w
@@ -113,3 +114,30 @@ def test_trusted_texts_are_held_out(spark):
     rows = judge(spark, texts[:200], texts[200:])
     kept = [np.median([rows[i]["perplexity"] for i in part]) for part in (range(200), range(200, 400))]
     assert abs(kept[0] / kept[1] - 1) < 0.05
+
+
+@pytest.mark.parametrize("hot", [2.0 ** -20, 0.02])
+def test_passes_and_buckets_change_no_result(spark, monkeypatch, hot):
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(0, 30))) for _ in range(300)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    trusted = docs.filter(F.xxhash64("text") % 3 == 0)
+
+    def found():
+        return {r["key"]: r["perplexity"] for r in w.word_perplexities(docs, trusted, q.discounts).collect()}
+    whole = found()
+    for name, value in {"HOT": hot, "PASS": 900, "BUCKET": 60, "HELD": 500, "TEXTS": 40}.items():
+        monkeypatch.setattr(w, name, value)
+    parts = found()
+    assert parts.keys() == whole.keys() and len(whole) > 250
+    assert max(abs(parts[k] / whole[k] - 1) for k in whole) < 1e-9
+
+
+def test_little_stays_on_disk(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr("tidegauge.llm.common.shared_root", lambda spark: str(tmp_path))
+    rng = random.Random(4)
+    texts = [" ".join(f"{rng.randrange(3000):x}" for _ in range(600)) for _ in range(100)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert w.word_perplexities(docs, docs, q.discounts).count() == 100
+    left = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
+    assert left < sum(map(len, texts)) / 4

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.settings import shared_root
+from tidegauge.streaming.commits import delete
 
 #: Bytes of text that one step of an operator looks at; a longer text is looked at alone.
 PIECE_BYTES = 1 << 20
@@ -31,6 +33,25 @@ def settle(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def drop(*settled: DataFrame) -> None:
+    """Deletes the files of settled frames, which nothing reads any more."""
+    for frame in settled:
+        for folder in {file.rpartition("/")[0] for file in frame.inputFiles()}:
+            delete(frame.sparkSession, folder)
+
+
+@contextmanager
+def cleaned(spark: SparkSession) -> Iterator[None]:
+    """Within it, what a query shuffled goes from disk when the query ends."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def column(name: str) -> Column:
     """The column of exactly that name, dots and all."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -13,9 +13,8 @@ from tidegauge.llm.common import column, settle
 from tidegauge.llm.word_model import keyed, word_perplexities
 
 
-def discounts(counts: DataFrame) -> list[float]:
+def discounts(found: dict[int, int]) -> list[float]:
     """Of counts 1, 2, and 3 or more, from how often counts 1 to 4 occur."""
-    found = {r["n"]: r["k"] for r in counts.filter("n <= 4").groupBy("n").agg(F.count("*").alias("k")).collect()}
     n1, n2, n3, n4 = (float(found.get(i, 0)) for i in (1, 2, 3, 4))
     y = n1 / (n1 + 2 * n2) if n1 else 0.0
     steps = [(n1, n2), (n2, n3), (n3, n4)]
@@ -40,7 +39,7 @@ def judge_quality(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id
     rows = docs.select(column(id_col).alias("id"), column(lang).cast("string").alias("lang"),
                        column(text).cast("string").alias("text"))
     # Merged at every size: ids that fit a broadcast on little data would not on more.
-    scores = settle(word_perplexities(rows, rows.join(ids.hint("merge"), "id", "left_semi"), discounts), "scores")
+    scores = word_perplexities(rows, rows.join(ids.hint("merge"), "id", "left_semi"), discounts)
     scored = keyed(rows, "text").select("id", "lang", "key").join(scores, "key", "left").drop("key")
     marked = settle(scored.join(ids.withColumn("trusted", F.lit(True)), "id", "left")
                     .withColumn("trusted", F.coalesce("trusted", F.lit(False))), "scored")

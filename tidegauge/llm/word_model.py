@@ -5,12 +5,21 @@ are no white space, and characters of scripts written without blanks, are words
 own. A word is a 63-bit hash of all its code points, its lowest bit the number of its
 model: trusted texts are dealt to two models by a hash of the text, and every text is
 scored by the model that its own half did not train. All grams are counted; no table is
-bounded in rows, and none but that of the hottest grams is sent to the executors.
+bounded in rows, and none but that of the hottest words is sent to the executors.
+
+Places (a, b, c) are taken in up to ``RANGES`` passes by their middle word, so that only a part
+of them is on disk at a time: all counts that a place needs, but that of c alone, are
+of places with the same b. Within a pass places go to a bucket of (a, b), which has the counts
+of abc and ab, then to one of (b, c) or b, which has those of bc and b, and, if c is none
+of the hottest words, to one of c; what a text's places sum up to goes back to its chunk, a run
+of texts that one task read. A row holds all places that go from one chunk or bucket to another.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
+import heapq
 import unicodedata
 from collections.abc import Iterator
 
@@ -19,17 +28,32 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import column, pieces, settle
+from tidegauge.llm.common import cleaned, column, drop, pieces, settle
 from tidegauge.llm.decontaminate import HASHED_BYTES, STEP, mixed, powers
 
 ORDER = 3
 W = [f"w{i}" for i in range(ORDER)]
 #: The word before a text.
 START = 0x5851F42D4C957F2C
-#: Grams of at least this share of all places are scored in the scan: at most 2**16 of them.
-HOT = 2.0 ** -16
-#: Grams summed at a time in a task.
-HELD = 1 << 20
+#: Words of at least this share of all, at most ``NEAR`` of them, are sent to all tasks and written in 16 bits.
+HOT, NEAR = 2.0 ** -20, (1 << 16) - 1
+#: Words and texts of a chunk, and places of a bucket, at about.
+HELD, TEXTS, BUCKET = 1 << 21, 1 << 16, 1 << 19
+#: Passes over the texts and, to count, over the trusted ones; fewer where a pass has less than ``PASS`` words.
+RANGES, COUNTED, PASS = 12, 4, 1 << 21
+#: Rows of places: those counted, those asked for, texts of a chunk, sums of a chunk's texts.
+SEEN, ASKED, OWN, SUMS = range(4)
+#: bucket (or chunk), kind; chunks of the places and how many are of each, texts in the chunk, words, how often; known
+#: and share: of those places that longer grams know, the probability by them and what they leave to shorter ones.
+ROWS = "bucket long, kind int, chunks binary, runs binary, place binary, near binary, far binary, n binary, known binary, share binary"
+TYPES = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "double": pa.float64()}
+
+
+def arrow(schema: str) -> pa.Schema:
+    return pa.schema([(name, TYPES[kind]) for name, kind in map(str.split, schema.split(", "))])
+
+
+PACKED = arrow(ROWS)
 #: Scripts without blanks: Thai and Lao, Myanmar, Khmer, Han and kana.
 UNSPACED = ((0xE00, 0xF00), (0x1000, 0x10A0), (0x1780, 0x1800), (0x2E80, 0xA4D0), (0xF900, 0xFB00), (0x20000, 0x40000))
 BLANK, PART, DIGIT, ALONE = range(4)
@@ -81,82 +105,341 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def grams(texts: pa.Array, model: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The gram that ends at each word (ORDER x words), its hash, and each text's words."""
+    """All words, START before each text; the places of words that end a gram; and each text's words."""
     hashes, n = words(texts)
     of = np.repeat(np.arange(len(n)), n)
-    padded = np.full(len(hashes) + len(n) * (ORDER - 1), START, np.uint64)
+    padded = np.repeat(START & ~1 | model.astype(np.uint64), n + ORDER - 1)
     place = np.arange(len(hashes)) + (of + 1) * (ORDER - 1)
-    padded[place] = hashes
-    low = model.astype(np.uint64)[of]
-    parts = np.stack([padded[place - back] & ~np.uint64(1) | low for back in range(ORDER - 1, -1, -1)])
-    key = np.zeros(len(hashes), np.uint64)
-    for part in parts:
-        key = key * np.uint64(STEP) + part
-    return parts, mixed(key), n
+    padded[place] = hashes & ~np.uint64(1) | model.astype(np.uint64)[of]
+    return padded, place, n
+
+
+def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return mixed(a * np.uint64(STEP) + b)
+
+
+class Hot:
+    """Codes of the hottest words, 0 for others, and the pass of each."""
+
+    def __init__(self, known: np.ndarray, of: np.ndarray, ranges: int):
+        self.known, self.of, self.ranges = np.append(np.uint64(0), known), np.append(np.uint8(0), of), ranges
+        self.slots = np.zeros(1 << 22, np.uint16)
+        self.slots[(known >> np.uint64(41)).astype(np.intp)] = np.arange(1, len(known) + 1)
+
+    def codes(self, found: np.ndarray) -> np.ndarray:
+        at = self.slots[(found >> np.uint64(42)).astype(np.intp)]
+        return np.where(self.known[at] == found >> np.uint64(1), at, np.uint16(0))
+
+    def chosen(self, passes: range) -> np.ndarray:
+        """By a word's first 22 bits, whether it is of these passes."""
+        of = np.arange(len(self.slots), dtype=np.uint32) % np.uint32(self.ranges)
+        return np.isin(np.where(self.slots > 0, self.of[self.slots], of), passes)
+
+    def read(self, rows: list[dict], parts: int, model: int) -> tuple[np.ndarray, np.ndarray]:
+        """parts x words of all rows, and their codes."""
+        near = [np.frombuffer(r["near"], np.uint16).reshape(parts, -1) for r in rows]
+        found = [(self.known[x] << np.uint64(1)) | np.uint64(model) for x in near]
+        for x, y, r in zip(near, found, rows):
+            y[x == 0] = np.frombuffer(r["far"], np.uint64)
+        empty = np.zeros((parts, 0), np.uint16)
+        return np.concatenate([empty.astype(np.uint64), *found], axis=1), np.concatenate([empty, *near], axis=1)
+
+
+def joined(rows: list[dict], name: str, kind: type) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *[np.frombuffer(r[name], kind) for r in rows]])
+
+
+def packed(rows: list[dict]) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(rows), 64):
+        some = rows[i:i + 64]
+        yield pa.RecordBatch.from_arrays([pa.array([r.get(f.name) for r in some], f.type) for f in PACKED], schema=PACKED)
 
 
-def count_grams(texts: DataFrame) -> DataFrame:
-    """gram, its words and n over rows of text and model, summed in tasks before the shuffle."""
+def dealt(bucket: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The order by bucket, and each bucket's number and part of the order."""
+    if len(bucket) and bucket.max() < 1 << 16:
+        bucket = bucket.astype(np.uint16)
+    order = np.argsort(bucket, kind="stable")
+    used, at = np.unique(bucket[order], return_index=True)
+    return order, list(zip(used.tolist(), at.tolist(), [*at[1:].tolist(), len(order)]))
+
+
+def words_row(found: np.ndarray, near: np.ndarray) -> dict:
+    return {"near": near.tobytes(), "far": found[near == 0].tobytes()}
+
+
+def asked_row(chunk: np.ndarray, place: np.ndarray) -> dict:
+    """Places by chunk, which are in order."""
+    at = np.flatnonzero(np.append(True, chunk[1:] != chunk[:-1]))
+    return {"chunks": chunk[at].tobytes(), "runs": np.diff(np.append(at, len(chunk))).astype(np.uint32).tobytes(),
+            "place": place.tobytes()}
+
+
+def asked_of(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    return np.repeat(joined(rows, "chunks", np.int64), joined(rows, "runs", np.uint32)), joined(rows, "place", np.uint16)
+
+
+def spread(texts: DataFrame, kind: int, sent, passes: range, buckets: int) -> DataFrame:
+    """Rows of the places with a middle word of these passes, by bucket of the two words before."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot, held, size, n_texts = Hot(*sent.value), [], 0, 0
+        chosen = hot.chosen(passes)
+
+        def rows() -> list[dict]:
+            keys, n = (np.concatenate([h[i] for h in held]) for i in (0, 1))
+            found, near = (np.concatenate([h[i] for h in held], axis=1) for i in (2, 3))
+            chunk = int.from_bytes(hashlib.blake2b(keys.tobytes(), digest_size=8).digest(), "little", signed=True)
+            place, low = np.repeat(np.arange(len(n)), n).astype(np.uint16), found[0] & np.uint64(1)
+            order, parts = dealt(pair(found[0], found[1]) % np.uint64(buckets) * np.uint64(2) + low)
+            out = []
+            for bucket, i, j in parts:
+                at = order[i:j]
+                row = {"bucket": bucket, "kind": kind, **words_row(found[:, at], near[:, at])}
+                out.append(row if kind == SEEN else row | asked_row(np.full(j - i, chunk), place[at]))
+            if kind == ASKED:
+                own = {"bucket": chunk % buckets * 2, "kind": OWN, "chunks": np.int64(chunk).tobytes()}
+                out.append(own | {"runs": n.astype(np.uint32).tobytes(), "share": keys.tobytes()})
+            return out
+        for batch in batches:
+            for whole in pieces(batch, "text"):
+                for at in range(0, whole.num_rows, TEXTS):
+                    piece = whole.slice(at, TEXTS)
+                    if held and (size >= HELD or n_texts + piece.num_rows > TEXTS):
+                        yield from packed(rows())
+                        held, size, n_texts = [], 0, 0
+                    padded, place, n = grams(piece.column("text"), piece.column("model").to_numpy())
+                    mine = chosen[(padded[place - 1] >> np.uint64(42)).astype(np.intp)]
+                    ends = np.cumsum(n)
+                    total = np.append(0, np.cumsum(mine))
+                    used = place[mine]
+                    found = np.stack([padded[used - 2], padded[used - 1], padded[used]])
+                    held.append((piece.column("key").to_numpy(), total[ends] - total[ends - n], found, hot.codes(found)))
+                    size += len(place) // hot.ranges * len(passes)
+                    n_texts += piece.num_rows
+        if held:
+            yield from packed(rows())
+
+    return texts.select("key", "text", "model").mapInArrow(run, ROWS)
+
+
+def freed(n: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    return cut[np.minimum(n, 3).astype(np.intp)]
+
+
+def looked_up(known: np.ndarray, asked: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+    """Whether each is known, then its values, 0 where it is not."""
+    if not len(known):
+        return [np.zeros(len(asked), bool), *[np.zeros(len(asked)) for _ in values]]
+    at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+    found = known[at] == asked
+    return [found, *[np.where(found, v[at], 0) for v in values]]
+
+
+def below(found: np.ndarray, near: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of two words: of both if the first is hot, else of the first."""
+    key = np.where(near[0] > 0, pair(found[0], found[1]), mixed(found[0]))
+    return key % np.uint64(buckets) * np.uint64(2) + (found[0] & np.uint64(1))
+
+
+def seen_pairs(a: np.ndarray, b: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different pairs in order, where each is first, and its number (the sum of n)."""
+    key, at, inverse = np.unique(pair(a, b), return_index=True, return_inverse=True)
+    return key, at, np.bincount(inverse, n, len(key)).astype(np.int64)
+
+
+def long_grams(rows: list[dict], hot: Hot, cuts, buckets: int):
+    """The rows of a bucket of two words, as rows of the last two; and how often each counted gram is."""
+    model = rows[0]["bucket"] & 1
+    seen, asked = ([r for r in rows if r["kind"] == k] for k in (SEEN, ASKED))
+    found, near = hot.read(seen, ORDER, model)
+    two = pair(found[0], found[1])
+    gram, at, n = seen_pairs(two, found[2])
+    _, last, n_last = seen_pairs(found[1][at], found[2][at])
+    last = at[last]
+    out = [r for r in rows if r["kind"] == OWN]
+    order, parts = dealt(below(found[1:, last], near[1:, last], buckets))
+    for bucket, i, j in parts:
+        some = order[i:j]
+        out.append({"bucket": bucket, "kind": SEEN, **words_row(found[1:, last[some]], near[1:, last[some]]),
+                    "n": n_last[some].astype(np.uint32).tobytes()})
+    if cuts is None or not asked:
+        return out, n
+    cut = cuts[2][model]
+    context, of = np.unique(two[at], return_inverse=True)
+    whole, left = np.bincount(of, n, len(context)), np.bincount(of, freed(n, cut), len(context))
+    found, near = hot.read(asked, ORDER, model)
+    chunk, place = asked_of(asked)
+    two = pair(found[0], found[1])
+    known, whole, left = looked_up(context, two, whole, left)
+    own = looked_up(gram, pair(two, found[2]), n - freed(n, cut))[1]
+    share = np.stack([own[known] / whole[known], left[known] / whole[known]])
+    rank = np.cumsum(known) - 1
+    order, parts = dealt(below(found[1:], near[1:], buckets))
+    for bucket, i, j in parts:
+        some = order[i:j]
+        out.append({"bucket": bucket, "kind": ASKED, **asked_row(chunk[some], place[some]),
+                    **words_row(found[1:, some], near[1:, some]), "known": np.packbits(known[some]).tobytes(),
+                    "share": share[:, rank[some][known[some]]].tobytes()})
+    return out, n
+
+
+def sums_rows(chunk: np.ndarray, place: np.ndarray, logs: np.ndarray) -> list[dict]:
+    order = np.lexsort((place, chunk))
+    chunk, place = chunk[order], place[order]
+    at = np.flatnonzero(np.append(True, (chunk[1:] != chunk[:-1]) | (place[1:] != place[:-1])) if len(chunk) else [])
+    if not len(at):
+        return []
+    logs = np.add.reduceat(logs[order], at)
+    chunk, place = chunk[at], place[at]
+    first = np.flatnonzero(np.append(True, chunk[1:] != chunk[:-1]))
+    return [{"bucket": int(chunk[i]), "kind": SUMS, "place": place[i:j].tobytes(), "share": logs[i:j].tobytes()}
+            for i, j in zip(first, [*first[1:], len(at)])]
+
+
+def short_grams(rows: list[dict], hot: Hot, cuts, by_code, buckets: int) -> list[dict]:
+    """The rows of a bucket of last words, as sums of texts, and as rows of those whose last word is not hot."""
+    model = rows[0]["bucket"] & 1
+    seen, asked = ([r for r in rows if r["kind"] == k] for k in (SEEN, ASKED))
+    out = [r | {"bucket": int(np.frombuffer(r["chunks"], np.int64)[0])} for r in rows if r["kind"] == OWN]
+    if not asked:
+        return out
+    cut = cuts[1][model]
+    found, near = hot.read(seen, 2, model)
+    gram, at, n = seen_pairs(found[0], found[1], joined(seen, "n", np.uint32))
+    context, of = np.unique(found[0][at], return_inverse=True)
+    whole, left = np.bincount(of, n, len(context)), np.bincount(of, freed(n, cut), len(context))
+    found, near = hot.read(asked, 2, model)
+    chunk, place = asked_of(asked)
+    runs = [len(r["place"]) // 2 for r in asked]
+    known = np.concatenate([np.unpackbits(np.frombuffer(r["known"], np.uint8), count=k) for r, k in zip(asked, runs)]).astype(bool)
+    p, rest = np.zeros(len(known)), np.ones(len(known))
+    share = np.concatenate([np.frombuffer(r["share"]).reshape(2, -1) for r in asked], axis=1)
+    p[known], rest[known] = share
+    _, whole, left = looked_up(context, found[0], whole, left)
+    is_hot = near[0] > 0
+    whole, left = (np.where(is_hot, by_code[i][model][near[0]], x) for i, x in ((0, whole), (1, left)))
+    own = looked_up(gram, pair(found[0], found[1]), n - freed(n, cut))[1]
+    known = whole > 0
+    p[known] += rest[known] * own[known] / whole[known]
+    rest[known] *= left[known] / whole[known]
+    done = near[1] > 0
+    out += sums_rows(chunk[done], place[done], np.log(p[done] + rest[done] * by_code[2][model][near[1][done]]))
+    chunk, place, last, share = chunk[~done], place[~done], found[1][~done], np.stack([p[~done], rest[~done]])
+    order, parts = dealt(mixed(last) % np.uint64(buckets))
+    for bucket, i, j in parts:
+        some = order[i:j]
+        out.append({"bucket": bucket, "kind": ASKED, **asked_row(chunk[some], place[some]),
+                    "far": last[some].tobytes(), "share": share[:, some].tobytes()})
+    return out
+
+
+def last_words(rows: list[dict], chance) -> list[dict]:
+    """The rows of a bucket of words that are not hot, as sums of texts."""
+    seen, asked = ([r for r in rows if r["kind"] == k] for k in (SEEN, ASKED))
+    found, n = joined(seen, "far", np.uint64), joined(seen, "n", np.int64)
+    order = np.argsort(found)
+    last = joined(asked, "far", np.uint64)
+    n = looked_up(found[order], last, n[order])[1].astype(np.int64)
+    share = np.concatenate([np.zeros((2, 0)), *[np.frombuffer(r["share"]).reshape(2, -1) for r in asked]], axis=1)
+    return sums_rows(*asked_of(asked), np.log(share[0] + share[1] * chance(n, last & np.uint64(1))))
+
+
+def by_bucket(rows: DataFrame, work, schema: str = ROWS) -> DataFrame:
+    """What work makes, as record batches, of the rows of each bucket."""
+
+    def run(table: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(work(table.to_pylist()), kinds)
+
+    def run_packed(table: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(packed(work(table.to_pylist())), PACKED)
+
+    kinds = arrow(schema)
+    return rows.groupBy("bucket").applyInArrow(run_packed if schema == ROWS else run, schema)
+
+
+def hot_words(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """The hottest words in order, the pass of each, how many passes, and how many words there are in all.
+
+    How often words are matters to the work alone; those rare in each chunk may be missed.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
-        def sums() -> pa.RecordBatch:
-            parts, key = np.concatenate([p for p, _ in held], axis=1), np.concatenate([k for _, k in held])
-            used, at, n = np.unique(key, return_index=True, return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(used.view(np.int64)),
-                                               *[pa.array(p[at].view(np.int64)) for p in parts], pa.array(n)],
-                                              ["gram", *W, "n"])
+        def counts() -> pa.RecordBatch:
+            used, n = np.unique(np.concatenate(held) >> np.uint64(1), return_counts=True)
+            often = n >= 1 + size * HOT
+            return pa.RecordBatch.from_arrays([pa.array(np.append(used[often].view(np.int64), -1)),
+                                               pa.array(np.append(n[often], size))], ["word", "n"])
         for batch in batches:
             for piece in pieces(batch, "text"):
-                parts, key, _ = grams(piece.column("text"), piece.column("model").to_numpy())
-                held.append((parts, key))
-                size += len(key)
+                held.append(words(piece.column("text"))[0])
+                size += len(held[-1])
                 if size >= HELD:
-                    yield sums()
+                    yield counts()
                     held, size = [], 0
         if size:
-            yield sums()
+            yield counts()
 
-    fields = ", ".join(f"{w} long" for w in W)
-    return (texts.select("text", "model").mapInArrow(run, f"gram long, {fields}, n long")
-            .groupBy("gram", *W).agg(F.sum("n").alias("n")))
+    counts = texts.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    # The number of all words, -1, is more often than any.
+    found = counts.orderBy(F.desc("n"), "word").limit(NEAR + 1).toArrow()
+    used, n = (found.column(c).to_numpy() for c in ("word", "n"))
+    total = int(n[used == -1].sum())
+    keep = (used != -1) & (n >= total * HOT)
+    used, n = used[keep].view(np.uint64), n[keep]
+    ranges = max(1, min(RANGES, -(-total // PASS)))
+    load, of = [(0, r) for r in range(ranges)], np.zeros(len(used), np.uint8)
+    for i, k in enumerate(n.tolist()):
+        size, r = load[0]
+        of[i] = r
+        heapq.heapreplace(load, (size + k, r))
+    order = np.argsort(used)
+    return used[order], of[order], ranges, total
 
 
-def model_of(word: str) -> Column:
-    return F.col(word).bitwiseAND(F.lit(1))
+def count_passes(trusted: DataFrame, sent, ranges: int, buckets: int) -> DataFrame:
+    """kind and word with sums: of each word, n, the different words before it, and of hot ones the grams after it, all
+    and how many of number 1, 2 and more; of gram orders 2 and 3, by number up to 4 and model, how many grams."""
+    sums = [f"x{i}" for i in range(5)]
+    schema = "kind int, word long, " + ", ".join(f"{x} long" for x in sums)
 
+    def batch(kind: int, word: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+        columns = [*columns, *[np.zeros(len(word), np.int64)] * (5 - len(columns))]
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(word), kind, np.int32)), pa.array(word.view(np.int64)),
+                                           *[pa.array(c.astype(np.int64)) for c in columns]], ["kind", "word", *sums])
 
-def chances(counts: DataFrame, asked: DataFrame, discounts) -> DataFrame:
-    """gram, n and p, the probability of the last word after the others, for the asked grams.
+    def tally(order: int, n: np.ndarray, model: int) -> pa.RecordBatch:
+        return batch(order, np.arange(1, 5) * 2 + model, np.bincount(np.minimum(n, 5), minlength=6)[1:5])
 
-    Unknown words share what the counts of single words leave, evenly with the known ones.
-    """
-    last, levels = W[-1], []
-    for k in range(ORDER, 0, -1):
-        names = W[ORDER - k:]
-        cut = [discounts(counts.filter(model_of(last) == m)) for m in (0, 1)]
-
-        def less(i: int) -> Column:
-            return F.when(model_of(last) == 0, cut[0][i]).otherwise(cut[1][i])
-        freed = F.when(F.col("n") == 1, less(0)).when(F.col("n") == 2, less(1)).otherwise(less(2))
-        key = [F.col(w) for w in names[:-1]] or [model_of(last).alias("model")]
-        contexts = settle(counts.groupBy(*key).agg(F.sum("n").alias("all"), F.sum(freed).alias("freed")), "contexts")
-        levels.append((names, counts.select(*names, (F.col("n") - freed).alias("left")), contexts))
-        # A shorter gram counts the words that it follows, not its occurrences.
-        if k > 1:
-            counts = settle(counts.groupBy(*names[1:]).agg(F.count("*").alias("n")), "counts")
-    known = counts.select(F.shiftright(last, 1)).distinct().count()
-    out = None
-    for names, own, contexts in reversed(levels):
-        whole = len(names) == ORDER
-        rows = asked if whole else asked.select(*names).distinct()
-        rows = (rows.withColumn("p", F.lit(1.0 / (known + 1))).withColumn("model", model_of(last)) if out is None
-                else rows.join(out, names[1:]))
-        rows = rows.join(own, names, "left").join(contexts, names[:-1] or ["model"], "left")
-        p = F.when(F.col("all").isNull(), F.col("p")).otherwise(
-            (F.coalesce("left", F.lit(0.0)) + F.col("freed") * F.col("p")) / F.col("all"))
-        out = settle(rows.select(*(["gram", "n"] if whole else names), p.alias("p")), "chances")
+    def first(rows: list[dict]) -> list[dict]:
+        out, n = long_grams(rows, Hot(*sent.value), None, buckets)
+        model = rows[0]["bucket"] & 1
+        return [*out, {"bucket": model, "kind": SUMS, "n": np.bincount(np.minimum(n, 5), minlength=6)[1:5].tobytes()}]
+
+    def second(rows: list[dict]) -> list[pa.RecordBatch]:
+        hot, model = Hot(*sent.value), rows[0]["bucket"] & 1
+        seen = [r for r in rows if r["kind"] == SEEN]
+        found, near = hot.read(seen, 2, model)
+        _, at, n = seen_pairs(found[0], found[1], joined(seen, "n", np.uint32))
+        out = [batch(3, np.arange(1, 5) * 2 + model, np.frombuffer(r["n"], np.int64)) for r in rows if r["kind"] == SUMS]
+        word, of = np.unique(found[1][at], return_counts=True)
+        out += [tally(2, n, model), batch(1, word, of)]
+        mine = near[0][at] > 0
+        word, of = np.unique(found[0][at][mine], return_inverse=True)
+        some = n[mine]
+        after = [np.bincount(of, x, len(word)) for x in (some, some == 1, some == 2, some > 2)]
+        return [*out, batch(1, word, np.zeros(len(word)), *after)]
+
+    whole = None
+    for i in range(min(COUNTED, ranges)):
+        rows = spread(trusted, SEEN, sent, range(i, ranges, COUNTED), buckets)
+        done = settle(by_bucket(by_bucket(rows, first), second, schema)
+                      .groupBy("kind", "word").agg(*[F.sum(x).alias(x) for x in sums]), "words")
+        whole = done if whole is None else whole.union(done)
+    out = settle(whole.groupBy("kind", "word").agg(*[F.sum(x).alias(x) for x in sums]), "words")
+    drop(whole)
     return out
 
 
@@ -172,50 +455,83 @@ def word_perplexities(docs: DataFrame, trusted: DataFrame, discounts, text: str
 
     Where all trusted texts fall into one half there is one model, which scores its own texts.
     """
-    ours, theirs = keyed(docs, text), keyed(trusted, text)
-    whole = column(text).cast("string").alias("text")
-    counts = settle(count_grams(theirs.select(whole, F.col("half").alias("model"))), "counts")
-    halves = [r[0] for r in counts.select(model_of(W[-1]).alias("m")).distinct().collect()]
-    other = F.lit(int(halves[0])) if len(halves) == 1 else 1 - F.col("half")
-    scored = ours.select("key", whole, other.cast("int").alias("model"))
-    asked = settle(count_grams(scored), "asked")
-    table = chances(counts, asked, discounts)
-    total = table.agg(F.sum("n")).first()[0] or 0
-    hot = table.filter(F.col("n") >= total * HOT).select("gram", F.log("p").alias("log")).orderBy("gram").toArrow()
-    sent = docs.sparkSession.sparkContext.broadcast(
-        (hot.column("gram").to_numpy(), hot.column("log").to_numpy()))
+    spark = docs.sparkSession
+    with cleaned(spark):
+        whole = column(text).cast("string").alias("text")
+        theirs = settle(keyed(trusted, text).select("key", whole, F.col("half").alias("model")), "trusted")
+        ours = keyed(docs, text).select("key", whole, "half")
+        known, of, ranges, total = hot_words(ours)
+        buckets = max(1, -(-total // (ranges * BUCKET)))
+        sent = spark.sparkContext.broadcast((known, of, ranges))
+        counts = count_passes(theirs, sent, ranges, buckets)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, logs = sent.value
-        for batch in batches:
-            for piece in pieces(batch, "text"):
-                _, key, n = grams(piece.column("text"), piece.column("model").to_numpy())
-                names, gram = piece.column("key").to_numpy(), key.view(np.int64)
-                of = np.repeat(np.arange(len(n)), n)
-                at = np.searchsorted(known, gram)
-                near = np.zeros(len(gram), bool)
-                fits = at < len(known)
-                near[fits] = known[at[fits]] == gram[fits]
-                # Hot grams of a text are one row, whose gram is of no account.
-                sums, some = np.bincount(of[near], logs[at[near]], len(n)), np.bincount(of[near], minlength=len(n))
-                used = np.flatnonzero(some)
-                of, gram = of[~near], gram[~near]
-                order = np.lexsort((gram, of))
-                of, gram = of[order], gram[order]
-                new = np.ones(len(of), bool)
-                new[1:] = (of[1:] != of[:-1]) | (gram[1:] != gram[:-1])
-                place = np.flatnonzero(new)
-                times = np.diff(np.append(place, len(of)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate((names[of[place]], names[used]))),
-                     pa.array(np.concatenate((gram[place], names[used]))),
-                     pa.array(np.concatenate((times, some[used])).astype(np.int32)),
-                     pa.array(np.concatenate((np.zeros(len(place)), sums[used])),
-                              mask=np.arange(len(place) + len(used)) < len(place))],
-                    ["key", "gram", "times", "part"])
-
-    found = scored.mapInArrow(run, "key long, gram long, times int, part double")
-    rest = table.filter(F.col("n") < total * HOT).select("gram", F.log("p").alias("log"))
-    # Rows of equal texts add up in the sum and in the number alike.
-    return found.join(rest, "gram", "left").groupBy("key").agg(
-        F.exp(-F.sum(F.coalesce("part", F.col("times") * F.col("log"))) / F.sum("times")).alias("perplexity"))
+        low = F.col("word").bitwiseAND(F.lit(1))
+        tallies = [[{}, {}] for _ in range(ORDER)]
+        for r in counts.filter("kind > 1").collect():
+            tallies[r["kind"] - 1][r["word"] & 1][r["word"] >> 1] = r["x0"]
+        ones = counts.filter("kind = 1 and x0 > 0")
+        for r in ones.groupBy(low.alias("m"), F.least("x0", F.lit(5)).alias("n")).agg(F.count("*").alias("k")).collect():
+            tallies[0][r["m"]][r["n"]] = r["k"]
+        cuts = [[np.array([0.0, *discounts(t)]) for t in level] for level in tallies]
+        halves = [m for m in (0, 1) if tallies[0][m]]
+        words_in_all = ones.select(F.shiftright("word", 1)).distinct().count()
+        sums = {r["m"]: r["s"] for r in ones.groupBy(low.alias("m")).agg(F.sum("x0").alias("s")).collect()}
+        all_ = np.array([sums.get(m, 0) for m in (0, 1)], float)
+        # Counts of 3 and more free alike, so the few tallies say what is freed.
+        free = np.array([sum(k * cuts[0][m][min(n, 3)] for n, k in tallies[0][m].items()) for m in (0, 1)])
+
+        def chance(n: np.ndarray, model: np.ndarray) -> np.ndarray:
+            """Unknown words share what the counts of single words leave, evenly with the known ones."""
+            model, even = model.astype(np.intp), 1.0 / (words_in_all + 1)
+            cut = np.stack([c[0:4] for c in cuts[0]])[model, np.minimum(n, 3)]
+            with np.errstate(invalid="ignore", divide="ignore"):
+                return np.where(all_[model] > 0, (n - cut + free[model] * even) / all_[model], even)
+
+        at_hot = spark.createDataFrame(pa.table({"hot": pa.array(known.view(np.int64))}))
+        table = counts.filter("kind = 1").join(F.broadcast(at_hot), F.shiftrightunsigned("word", 1) == F.col("hot")).drop("hot").toArrow()
+        found = table.column("word").to_numpy().view(np.uint64)
+        x = [table.column(f"x{i}").to_numpy() for i in range(5)]
+        codes, by_code = Hot(known, of, ranges).codes(found), np.zeros((3, 2, len(known) + 1))
+        models = (found & np.uint64(1)).astype(np.intp)
+        n = np.zeros((2, len(known) + 1), np.int64)
+        by_code[0, models, codes] = x[1]
+        by_code[1, models, codes] = sum(x[i + 1] * np.stack([c[i] for c in cuts[1]])[models] for i in (1, 2, 3))
+        n[models, codes] = x[0]
+        by_code[2] = [chance(n[m], np.full(len(known) + 1, m)) for m in (0, 1)]
+        given = spark.sparkContext.broadcast(by_code)
+
+        def cold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            hot = Hot(*sent.value)
+            for batch in batches:
+                found, n = batch.column("word").to_numpy().view(np.uint64), batch.column("x0").to_numpy()
+                far = hot.codes(found) == 0
+                found, n = found[far], n[far]
+                order, parts = dealt(mixed(found) % np.uint64(buckets))
+                yield from packed([{"bucket": b, "kind": SEEN, "far": found[order[i:j]].tobytes(), "n": n[order[i:j]].tobytes()}
+                                   for b, i, j in parts])
+
+        def back(rows: list[dict]) -> list[pa.RecordBatch]:
+            own = [r for r in rows if r["kind"] == OWN]
+            if not own:
+                raise ValueError("a text was read in another order than before")
+            keys, n = np.frombuffer(own[0]["share"], np.int64), sum(np.frombuffer(r["runs"], np.uint32).astype(np.int64) for r in own)
+            rows = [r for r in rows if r["kind"] == SUMS]
+            logs = np.bincount(joined(rows, "place", np.uint16), joined(rows, "share", float), len(keys)).astype(float)
+            some = n > 0
+            return [pa.RecordBatch.from_arrays([pa.array(keys[some]), pa.array(n[some]), pa.array(logs[some])], ["key", "n", "log"])]
+
+        other = F.lit(halves[0]) if len(halves) == 1 else 1 - F.col("half")
+        asked, out = ours.select("key", "text", other.cast("int").alias("model")), []
+        for r in range(ranges):
+            rows = spread(theirs, SEEN, sent, range(r, r + 1), buckets).union(spread(asked, ASKED, sent, range(r, r + 1), buckets))
+            rows = by_bucket(rows, lambda x: long_grams(x, Hot(*sent.value), cuts, buckets)[0])
+            rows = settle(by_bucket(rows, lambda x: short_grams(x, Hot(*sent.value), cuts, given.value, buckets)), "places")
+            rest = rows.filter(F.col("kind") == ASKED).union(ones.select("word", "x0").mapInArrow(cold, ROWS))
+            rest = by_bucket(rest, lambda x: last_words(x, chance))
+            out.append(settle(by_bucket(rows.filter(F.col("kind") != ASKED).union(rest), back, "key long, n long, log double"), "sums"))
+            drop(rows)
+        # Rows of equal texts add up in the sum and in the number alike.
+        found = functools.reduce(DataFrame.union, out).groupBy("key").agg(F.exp(-F.sum("log") / F.sum("n")).alias("perplexity"))
+        found = settle(found, "perplexities")
+        drop(theirs, counts, *out)
+        return found
