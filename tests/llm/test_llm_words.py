@@ -141,3 +141,22 @@ def test_little_stays_on_disk(spark, monkeypatch, tmp_path):
     assert w.word_perplexities(docs, docs, q.discounts).count() == 100
     left = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
     assert left < sum(map(len, texts)) / 4
+
+
+def test_texts_are_split_into_words_twice_whatever_the_passes(spark, monkeypatch, tmp_path):
+    seen = tmp_path / "seen"
+
+    def noted(name):
+        def run(texts):
+            from tidegauge.llm import word_model
+            with open(seen, "a") as f:
+                f.write(f"{len(texts)}\n")
+            return getattr(word_model, name)(texts)
+        return run
+    rng = random.Random(6)
+    docs = spark.createDataFrame([(" ".join(rng.choice("abcdefghijklmnop") for _ in range(30)),) for _ in range(200)], "text string")
+    for name in ("words", "grams"):
+        monkeypatch.setattr(w, name, noted(name))
+    monkeypatch.setattr(w, "PASS", 900)
+    assert w.word_perplexities(docs, docs, q.discounts).count() == 200
+    assert sum(map(int, seen.read_text().split())) == 2 * (200 + 200)

@@ -26,10 +26,10 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def settle(frame: DataFrame, name: str) -> DataFrame:
+def settle(frame: DataFrame, name: str, **options: str) -> DataFrame:
     """The frame written to the shared folder and read again, which cuts its lineage."""
     path = fresh_path(frame.sparkSession, name)
-    frame.write.parquet(path)
+    frame.write.options(**options).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.common import column, settle
-from tidegauge.llm.word_model import keyed, word_perplexities
+from tidegauge.llm.word_model import keyed, perplexities
 
 
 def discounts(found: dict[int, int]) -> list[float]:
@@ -38,8 +38,13 @@ def judge_quality(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id
     ids = trusted_ids.select(column(id_col).alias("id")).filter("id is not null").distinct()
     rows = docs.select(column(id_col).alias("id"), column(lang).cast("string").alias("lang"),
                        column(text).cast("string").alias("text"))
-    # Merged at every size: ids that fit a broadcast on little data would not on more.
-    scores = word_perplexities(rows, rows.join(ids.hint("merge"), "id", "left_semi"), discounts)
+
+    def marked(coded: DataFrame) -> DataFrame:
+        # Merged at every size: ids that fit a broadcast on little data would not on more.
+        found = coded.join(ids.withColumn("seen", F.lit(True)).hint("merge"), "id", "left")
+        return found.withColumn("seen", F.coalesce("seen", F.lit(False))).withColumn("asked", F.lit(True))
+
+    scores = perplexities(keyed(rows, "text").select("id", "key", "text"), marked, discounts)
     scored = keyed(rows, "text").select("id", "lang", "key").join(scores, "key", "left").drop("key")
     marked = settle(scored.join(ids.withColumn("trusted", F.lit(True)), "id", "left")
                     .withColumn("trusted", F.coalesce("trusted", F.lit(False))), "scored")

@@ -2,11 +2,12 @@
 
 Words are runs of letters, marks and digits (digits as 0), lowered; other characters that
 are no white space, and characters of scripts written without blanks, are words of their
-own. A word is a 63-bit hash of all its code points, its lowest bit the number of its
-model: trusted texts are dealt to two models by a hash of the text, and every text is
+own. A word is a 63-bit hash of all its code points; where words are counted, the lowest bit
+is the number of the model: trusted texts are dealt to two models by a hash of the text, and every text is
 scored by the model that its own half did not train. All grams are counted; no table is
 bounded in rows, and none but that of the hottest words is sent to the executors.
 
+Texts are split twice, to find the hottest words and to be stored as codes, which the passes read.
 Places (a, b, c) are taken in up to ``RANGES`` passes by their middle word, so that only a part
 of them is on disk at a time: all counts that a place needs, but that of c alone, are
 of places with the same b. Within a pass places go to a bucket of (a, b), which has the counts
@@ -27,9 +28,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegauge.llm.common import cleaned, column, drop, pieces, settle
-from tidegauge.llm.decontaminate import HASHED_BYTES, STEP, mixed, powers
+from tidegauge.llm.decontaminate import STEP, mixed, powers
 
 ORDER = 3
 W = [f"w{i}" for i in range(ORDER)]
@@ -39,10 +41,15 @@ START = 0x5851F42D4C957F2C
 HOT, NEAR = 2.0 ** -20, (1 << 16) - 1
 #: Words and texts of a chunk, and places of a bucket, at about.
 HELD, TEXTS, BUCKET = 1 << 21, 1 << 16, 1 << 19
-#: Passes over the texts and, to count, over the trusted ones; fewer where a pass has less than ``PASS`` words.
-RANGES, COUNTED, PASS = 12, 4, 1 << 21
-#: Rows of places: those counted, those asked for, texts of a chunk, sums of a chunk's texts.
-SEEN, ASKED, OWN, SUMS = range(4)
+#: Passes over the coded texts and, to count, over the trusted ones; fewer where a pass has less than ``PASS`` words.
+RANGES, COUNTED, PASS = 15, 3, 1 << 21
+#: Parts in which the texts are coded.
+PARTS = 2
+#: Letters that are hashed together, and words that are looked at together: arrays that stay in the processor's cache.
+HASHED, STEP_WORDS = 1 << 15, 1 << 17
+#: Rows: words counted; places asked of each of the two models; texts of a chunk; sums of a chunk's texts; and, from
+#: there on, places by half, plus 2 if they are counted, plus 4 if they are asked for.
+SEEN, ASKED, OWN, SUMS, PLACES = 0, 1, 3, 4, 8
 #: bucket (or chunk), kind; chunks of the places and how many are of each, texts in the chunk, words, how often; known
 #: and share: of those places that longer grams know, the probability by them and what they leave to shorter ones.
 ROWS = "bucket long, kind int, chunks binary, runs binary, place binary, near binary, far binary, n binary, known binary, share binary"
@@ -80,11 +87,14 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
     kind = classes()[points]
     n = len(points)
-    points = np.where(kind == DIGIT, np.uint32(0x30), points).astype(np.uint64)
+    digits = np.flatnonzero(kind == DIGIT)
+    if len(digits):
+        points = points.copy()
+        points[digits] = 0x30
     # A place begins a word unless it goes on one of the same text.
-    inside = (kind == PART) | (kind == DIGIT)
+    apart = (kind == BLANK) | (kind == ALONE)
     first = np.ones(n, bool)
-    first[1:] = ~(inside[1:] & inside[:-1])
+    np.logical_or(apart[1:], apart[:-1], out=first[1:])
     cuts = ends_of[:-1]
     first[cuts[cuts < n]] = True
     last = np.ones(n, bool)
@@ -93,25 +103,45 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     hashes = np.empty(len(starts), np.uint64)
     i = 0
     while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + HASHED_BYTES, "right")))
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + HASHED, "right")))
         base, stop = int(starts[i]), int(ends[j - 1])
-        up, down = powers(max(HASHED_BYTES, 1 << (stop - base - 1).bit_length()))
+        up, down = powers(max(HASHED, 1 << (stop - base - 1).bit_length()))
         sums = np.zeros(stop - base + 1, np.uint64)
-        np.cumsum((points[base:stop] + np.uint64(1)) * up[: stop - base], out=sums[1:])
+        sums[1:] = points[base:stop]
+        sums[1:] += np.uint64(1)
+        sums[1:] *= up[: stop - base]
+        np.cumsum(sums, out=sums)
         a, b = starts[i:j] - base, ends[i:j] - base
         hashes[i:j] = mixed((sums[b] - sums[a]) * down[a])
         i = j
     return hashes, np.diff(np.searchsorted(starts, np.concatenate(([0], ends_of))))
 
 
-def grams(texts: pa.Array, model: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All words, START before each text; the places of words that end a gram; and each text's words."""
+def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words of all texts, START before each text; where the texts' words begin; and each text's words, START too."""
     hashes, n = words(texts)
-    of = np.repeat(np.arange(len(n)), n)
-    padded = np.repeat(START & ~1 | model.astype(np.uint64), n + ORDER - 1)
-    place = np.arange(len(hashes)) + (of + 1) * (ORDER - 1)
-    padded[place] = hashes & ~np.uint64(1) | model.astype(np.uint64)[of]
-    return padded, place, n
+    sizes = n + ORDER - 1
+    a_word = np.ones(len(hashes) + len(n) * (ORDER - 1), bool)
+    first = np.cumsum(sizes) - n
+    for i in range(1, ORDER):
+        a_word[first - i] = False
+    padded = np.full(len(a_word), START & ~1, np.uint64)
+    padded[a_word] = hashes
+    return padded, first, sizes
+
+
+def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all rows of a binary column, and how many each row has."""
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset: column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    whole = np.zeros(0, np.uint8) if data is None else np.frombuffer(data, np.uint8)
+    return whole[ends[0]:ends[-1]], np.diff(ends)
+
+
+def cells(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """A binary column of rows of these many items."""
+    ends = np.append(0, np.cumsum(sizes) * data.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))])
 
 
 def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -119,34 +149,64 @@ def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class Hot:
-    """Codes of the hottest words, 0 for others, and the pass of each."""
+    """Codes of the hottest words, most often first, 0 for others, and the pass of each."""
 
     def __init__(self, known: np.ndarray, of: np.ndarray, ranges: int):
-        self.known, self.of, self.ranges = np.append(np.uint64(0), known), np.append(np.uint8(0), of), ranges
-        self.slots = np.zeros(1 << 22, np.uint16)
-        self.slots[(known >> np.uint64(41)).astype(np.intp)] = np.arange(1, len(known) + 1)
+        self.words, self.of, self.ranges = np.append(np.uint64(0), known << np.uint64(1)), np.append(np.uint8(0), of), ranges
+
+    @functools.cached_property
+    def slots(self) -> np.ndarray:
+        slots = np.zeros(1 << 22, np.uint16)
+        # Of words with one slot the most frequent has it.
+        slots[(self.words[:0:-1] >> np.uint64(42)).astype(np.intp)] = np.arange(len(self.words) - 1, 0, -1)
+        return slots
 
     def codes(self, found: np.ndarray) -> np.ndarray:
         at = self.slots[(found >> np.uint64(42)).astype(np.intp)]
-        return np.where(self.known[at] == found >> np.uint64(1), at, np.uint16(0))
-
-    def chosen(self, passes: range) -> np.ndarray:
-        """By a word's first 22 bits, whether it is of these passes."""
-        of = np.arange(len(self.slots), dtype=np.uint32) % np.uint32(self.ranges)
-        return np.isin(np.where(self.slots > 0, self.of[self.slots], of), passes)
+        return np.where(self.words[at] == found & ~np.uint64(1), at, np.uint16(0))
 
-    def read(self, rows: list[dict], parts: int, model: int) -> tuple[np.ndarray, np.ndarray]:
+    def read(self, rows: list[dict], parts: int) -> tuple[np.ndarray, np.ndarray]:
         """parts x words of all rows, and their codes."""
         near = [np.frombuffer(r["near"], np.uint16).reshape(parts, -1) for r in rows]
-        found = [(self.known[x] << np.uint64(1)) | np.uint64(model) for x in near]
+        found = [self.words[x] for x in near]
         for x, y, r in zip(near, found, rows):
             y[x == 0] = np.frombuffer(r["far"], np.uint64)
         empty = np.zeros((parts, 0), np.uint16)
         return np.concatenate([empty.astype(np.uint64), *found], axis=1), np.concatenate([empty, *near], axis=1)
 
 
-def joined(rows: list[dict], name: str, kind: type) -> np.ndarray:
-    return np.concatenate([np.zeros(0, kind), *[np.frombuffer(r[name], kind) for r in rows]])
+def coded(texts: DataFrame, sent) -> DataFrame:
+    """The texts' words, as the low and high bytes of their codes and the hashes of those without, in place of the text."""
+    kept = [c for c in texts.columns if c != "text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot = Hot(*sent.value)
+        for batch in batches:
+            for piece in pieces(batch, "text"):
+                found, _, n = grams(piece.column("text"))
+                near = hot.codes(found)
+                far = near == 0
+                total, ends = np.append(0, np.cumsum(far)), np.cumsum(n)
+                split = near.view(np.uint8).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays(
+                    [*[piece.column(c) for c in kept], cells(split[:, 0], n), cells(split[:, 1], n),
+                     cells(found[far] & ~np.uint64(1), total[ends] - total[ends - n])], [*kept, "low", "high", "far"])
+
+    schema = T.StructType([*[texts.schema[c] for c in kept], *[T.StructField(c, T.BinaryType()) for c in ("low", "high", "far")]])
+    return texts.mapInArrow(run, schema)
+
+
+def joined(rows: list[dict], name: str, kind: type, parts: int = 0) -> np.ndarray:
+    """The items of all rows; if in parts, those of each part end to end."""
+    found = [np.frombuffer(r[name], kind) for r in rows]
+    if parts:
+        return np.concatenate([np.zeros((parts, 0), kind), *[x.reshape(parts, -1) for x in found]], axis=1)
+    return np.concatenate([np.zeros(0, kind), *found])
+
+
+def each(rows: list[dict], name: str, width: int) -> np.ndarray:
+    """The kind of each row's items."""
+    return np.repeat(np.array([r["kind"] for r in rows], np.uint8), np.array([len(r[name]) // width for r in rows], np.int64))
 
 
 def packed(rows: list[dict]) -> Iterator[pa.RecordBatch]:
@@ -157,15 +217,28 @@ def packed(rows: list[dict]) -> Iterator[pa.RecordBatch]:
 
 def dealt(bucket: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
     """The order by bucket, and each bucket's number and part of the order."""
-    if len(bucket) and bucket.max() < 1 << 16:
+    if not len(bucket):
+        return np.zeros(0, np.intp), []
+    if bucket.max() < 1 << 16:
         bucket = bucket.astype(np.uint16)
     order = np.argsort(bucket, kind="stable")
-    used, at = np.unique(bucket[order], return_index=True)
-    return order, list(zip(used.tolist(), at.tolist(), [*at[1:].tolist(), len(order)]))
+    bucket = bucket[order]
+    at = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    return order, list(zip(bucket[at].tolist(), at.tolist(), [*at[1:].tolist(), len(order)]))
+
 
+def numbers(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each key among the different ones, and a place of each of these."""
+    found = pa.array(keys).dictionary_encode()
+    of, at = found.indices.to_numpy(), np.empty(len(found.dictionary), np.intp)
+    at[of] = np.arange(len(of))
+    return of, at
 
-def words_row(found: np.ndarray, near: np.ndarray) -> dict:
-    return {"near": near.tobytes(), "far": found[near == 0].tobytes()}
+
+def words_row(found: np.ndarray, near: np.ndarray, some: np.ndarray) -> dict:
+    """The words of some places, whose codes are near."""
+    part, at = np.nonzero(near == 0)
+    return {"near": near.tobytes(), "far": found[part, some[at]].tobytes()}
 
 
 def asked_row(chunk: np.ndarray, place: np.ndarray) -> dict:
@@ -179,170 +252,197 @@ def asked_of(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(joined(rows, "chunks", np.int64), joined(rows, "runs", np.uint32)), joined(rows, "place", np.uint16)
 
 
-def spread(texts: DataFrame, kind: int, sent, passes: range, buckets: int) -> DataFrame:
+def spread(texts: DataFrame, ask: bool, sent, passes: range, buckets: int) -> DataFrame:
     """Rows of the places with a middle word of these passes, by bucket of the two words before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot, held, size, n_texts = Hot(*sent.value), [], 0, 0
-        chosen = hot.chosen(passes)
+        ours = np.isin(np.arange(hot.ranges), passes)
+        chosen = ours[hot.of]
 
         def rows() -> list[dict]:
-            keys, n = (np.concatenate([h[i] for h in held]) for i in (0, 1))
-            found, near = (np.concatenate([h[i] for h in held], axis=1) for i in (2, 3))
+            keys, n, kind, found, near = (np.concatenate([h[i] for h in held], axis=-1) for i in range(5))
             chunk = int.from_bytes(hashlib.blake2b(keys.tobytes(), digest_size=8).digest(), "little", signed=True)
-            place, low = np.repeat(np.arange(len(n)), n).astype(np.uint16), found[0] & np.uint64(1)
-            order, parts = dealt(pair(found[0], found[1]) % np.uint64(buckets) * np.uint64(2) + low)
+            of = np.repeat(np.arange(len(n)), n)
+            order, parts = dealt(pair(found[0], found[1]) % np.uint64(buckets) * np.uint64(8) + kind[of])
+            near, place = near[:, order], of[order].astype(np.uint16)
             out = []
             for bucket, i, j in parts:
-                at = order[i:j]
-                row = {"bucket": bucket, "kind": kind, **words_row(found[:, at], near[:, at])}
-                out.append(row if kind == SEEN else row | asked_row(np.full(j - i, chunk), place[at]))
-            if kind == ASKED:
-                own = {"bucket": chunk % buckets * 2, "kind": OWN, "chunks": np.int64(chunk).tobytes()}
-                out.append(own | {"runs": n.astype(np.uint32).tobytes(), "share": keys.tobytes()})
+                row = {"bucket": bucket // 8, "kind": PLACES + bucket % 8, **words_row(found, near[:, i:j], order[i:j])}
+                out.append(row | asked_row(np.full(j - i, chunk), place[i:j]) if bucket & 4 else row)
+            if ask:
+                own = {"bucket": chunk % buckets, "kind": OWN, "chunks": np.int64(chunk).tobytes()}
+                out.append(own | {"runs": np.where(kind & 4, n, 0).astype(np.uint32).tobytes(), "share": keys.tobytes()})
             return out
+
         for batch in batches:
-            for whole in pieces(batch, "text"):
-                for at in range(0, whole.num_rows, TEXTS):
-                    piece = whole.slice(at, TEXTS)
-                    if held and (size >= HELD or n_texts + piece.num_rows > TEXTS):
-                        yield from packed(rows())
-                        held, size, n_texts = [], 0, 0
-                    padded, place, n = grams(piece.column("text"), piece.column("model").to_numpy())
-                    mine = chosen[(padded[place - 1] >> np.uint64(42)).astype(np.intp)]
-                    ends = np.cumsum(n)
-                    total = np.append(0, np.cumsum(mine))
-                    used = place[mine]
-                    found = np.stack([padded[used - 2], padded[used - 1], padded[used]])
-                    held.append((piece.column("key").to_numpy(), total[ends] - total[ends - n], found, hot.codes(found)))
-                    size += len(place) // hot.ranges * len(passes)
-                    n_texts += piece.num_rows
+            low, sizes = bytes_of(batch.column("low"))
+            high, (far, far_sizes) = bytes_of(batch.column("high"))[0], bytes_of(batch.column("far"))
+            far, ends, far_ends = far.view(np.uint64) if far.ctypes.data % 8 == 0 else np.frombuffer(far.tobytes(), np.uint64), \
+                np.append(0, np.cumsum(sizes, dtype=np.int64)), np.append(0, np.cumsum(far_sizes // 8, dtype=np.int64))
+            keys = batch.column("key").to_numpy()
+            kinds = (keys >> 32 & 1).astype(np.uint8) + 2 * batch.column("seen").to_numpy(zero_copy_only=False).astype(np.uint8)
+            kinds += 4 * batch.column("asked").to_numpy(zero_copy_only=False).astype(np.uint8) * ask
+            at = 0
+            while at < len(keys):
+                stop = max(at + 1, min(at + TEXTS, int(np.searchsorted(ends, ends[at] + STEP_WORDS, "right")) - 1))
+                if held and (size >= HELD or n_texts + stop - at > TEXTS):
+                    yield from packed(rows())
+                    held, size, n_texts = [], 0, 0
+                near = high[ends[at]:ends[stop]].astype(np.uint16)
+                near <<= 8
+                near |= low[ends[at]:ends[stop]]
+                mine, cold = chosen[near], np.flatnonzero(near == 0)
+                theirs = far[far_ends[at]:far_ends[stop]]
+                mine[cold] = ours[(theirs >> np.uint64(42)) % np.uint64(hot.ranges)]
+                # The first two words are of no text.
+                first = ends[at:stop] - ends[at] + ORDER - 1
+                mine[first - 2] = False
+                mine[(first - 2)[1:] - 1] = False
+                used = np.flatnonzero(mine[:-1]) + 1
+                used_all = np.stack([used - 2, used - 1, used])
+                codes = near[used_all]
+                found = hot.words[codes]
+                rare = codes == 0
+                found[rare] = theirs[np.searchsorted(cold, used_all[rare])]
+                mine = np.diff(np.append(np.searchsorted(used, first), len(used)))
+                held.append((keys[at:stop], mine, kinds[at:stop], found, codes))
+                size += len(used)
+                n_texts += stop - at
+                at = stop
         if held:
             yield from packed(rows())
 
-    return texts.select("key", "text", "model").mapInArrow(run, ROWS)
+    return texts.select("key", "low", "high", "far", "seen", "asked").mapInArrow(run, ROWS)
 
 
 def freed(n: np.ndarray, cut: np.ndarray) -> np.ndarray:
     return cut[np.minimum(n, 3).astype(np.intp)]
 
 
-def looked_up(known: np.ndarray, asked: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
-    """Whether each is known, then its values, 0 where it is not."""
+def looked_up(known: np.ndarray, asked: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The value of each, 0 where it is not known."""
     if not len(known):
-        return [np.zeros(len(asked), bool), *[np.zeros(len(asked)) for _ in values]]
+        return np.zeros(len(asked), values.dtype)
     at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
-    found = known[at] == asked
-    return [found, *[np.where(found, v[at], 0) for v in values]]
+    return np.where(known[at] == asked, values[at], 0)
 
 
 def below(found: np.ndarray, near: np.ndarray, buckets: int) -> np.ndarray:
     """The bucket of two words: of both if the first is hot, else of the first."""
-    key = np.where(near[0] > 0, pair(found[0], found[1]), mixed(found[0]))
-    return key % np.uint64(buckets) * np.uint64(2) + (found[0] & np.uint64(1))
+    return np.where(near[0] > 0, pair(found[0], found[1]), mixed(found[0])) % np.uint64(buckets)
 
 
-def seen_pairs(a: np.ndarray, b: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Different pairs in order, where each is first, and its number (the sum of n)."""
-    key, at, inverse = np.unique(pair(a, b), return_index=True, return_inverse=True)
-    return key, at, np.bincount(inverse, n, len(key)).astype(np.int64)
+def after(of: np.ndarray, contexts: int, n: np.ndarray, cuts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """model x context: the number of the grams after it, and what they leave to shorter ones."""
+    return (np.stack([np.bincount(of, x, contexts) for x in n]),
+            np.stack([np.bincount(of, freed(x, cut), contexts) for x, cut in zip(n, cuts)]))
 
 
-def long_grams(rows: list[dict], hot: Hot, cuts, buckets: int):
-    """The rows of a bucket of two words, as rows of the last two; and how often each counted gram is."""
-    model = rows[0]["bucket"] & 1
-    seen, asked = ([r for r in rows if r["kind"] == k] for k in (SEEN, ASKED))
-    found, near = hot.read(seen, ORDER, model)
+def long_grams(rows: list[dict], hot: Hot, cuts, scorer, buckets: int) -> tuple[list[dict], np.ndarray]:
+    """The rows of a bucket of two words, as rows of the last two; and model x gram, how often each is."""
+    out, rows = [r for r in rows if r["kind"] == OWN], [r for r in rows if r["kind"] >= PLACES]
+    found, near = hot.read(rows, ORDER)
+    kind = each(rows, "near", 2 * ORDER) - PLACES
     two = pair(found[0], found[1])
-    gram, at, n = seen_pairs(two, found[2])
-    _, last, n_last = seen_pairs(found[1][at], found[2][at])
-    last = at[last]
-    out = [r for r in rows if r["kind"] == OWN]
-    order, parts = dealt(below(found[1:, last], near[1:, last], buckets))
+    gram, at = numbers(pair(two, found[2]))
+    seen = np.flatnonzero(kind & 2)
+    n = np.bincount(gram[seen] + (kind[seen] & 1) * np.int64(len(at)), minlength=2 * len(at)).reshape(2, -1)
+    some = np.flatnonzero(n.any(axis=0))
+    last, last_at = numbers(pair(found[1][at[some]], found[2][at[some]]))
+    n_last = np.stack([np.bincount(last, x, len(last_at)) for x in n[:, some] > 0]).astype(np.uint32)
+    last_at = at[some[last_at]]
+    to = below(found[1:, at], near[1:, at], buckets)
+    order, parts = dealt(to[gram[last_at]])
+    last_at, n_last = last_at[order], n_last[:, order]
+    codes = near[1:, last_at]
     for bucket, i, j in parts:
-        some = order[i:j]
-        out.append({"bucket": bucket, "kind": SEEN, **words_row(found[1:, last[some]], near[1:, last[some]]),
-                    "n": n_last[some].astype(np.uint32).tobytes()})
-    if cuts is None or not asked:
+        out.append({"bucket": bucket, "kind": SEEN, **words_row(found[1:], codes[:, i:j], last_at[i:j]), "n": n_last[:, i:j].tobytes()})
+    asking = [r for r in rows if r["kind"] & 4]
+    if cuts is None or not asking:
         return out, n
-    cut = cuts[2][model]
-    context, of = np.unique(two[at], return_inverse=True)
-    whole, left = np.bincount(of, n, len(context)), np.bincount(of, freed(n, cut), len(context))
-    found, near = hot.read(asked, ORDER, model)
-    chunk, place = asked_of(asked)
-    two = pair(found[0], found[1])
-    known, whole, left = looked_up(context, two, whole, left)
-    own = looked_up(gram, pair(two, found[2]), n - freed(n, cut))[1]
-    share = np.stack([own[known] / whole[known], left[known] / whole[known]])
-    rank = np.cumsum(known) - 1
-    order, parts = dealt(below(found[1:], near[1:], buckets))
+    # By model and gram, as a place has them.
+    context, context_at = numbers(two[at])
+    whole, left = after(context, len(context_at), n, cuts[2])
+    known, all_ = whole[:, context] > 0, np.maximum(whole, 1.0)[:, context]
+    p = (n - np.stack([freed(x, cut) for x, cut in zip(n, cuts[2])])) / all_
+    known, p, rest = known.ravel(), p.ravel(), (left[:, context] / all_).ravel()
+    places = np.flatnonzero(kind & 4)
+    model, of = scorer[kind[places] & 1], gram[places]
+    order, parts = dealt(to[of] * np.uint64(2) + model.astype(np.uint64))
+    of = (of + model * len(at))[order]
+    known, chunk, place = known[of], *(x[order] for x in asked_of(asking))
+    places, of = places[order], of[known]
+    codes, share, rank = near[1:, places], np.stack([p[of], rest[of]]), np.append(0, np.cumsum(known))
     for bucket, i, j in parts:
-        some = order[i:j]
-        out.append({"bucket": bucket, "kind": ASKED, **asked_row(chunk[some], place[some]),
-                    **words_row(found[1:, some], near[1:, some]), "known": np.packbits(known[some]).tobytes(),
-                    "share": share[:, rank[some][known[some]]].tobytes()})
+        out.append({"bucket": bucket // 2, "kind": ASKED + bucket % 2, **asked_row(chunk[i:j], place[i:j]),
+                    **words_row(found[1:], codes[:, i:j], places[i:j]), "known": np.packbits(known[i:j]).tobytes(),
+                    "share": share[:, rank[i]:rank[j]].tobytes()})
     return out, n
 
 
 def sums_rows(chunk: np.ndarray, place: np.ndarray, logs: np.ndarray) -> list[dict]:
-    order = np.lexsort((place, chunk))
-    chunk, place = chunk[order], place[order]
-    at = np.flatnonzero(np.append(True, (chunk[1:] != chunk[:-1]) | (place[1:] != place[:-1])) if len(chunk) else [])
-    if not len(at):
+    if not len(chunk):
         return []
-    logs = np.add.reduceat(logs[order], at)
-    chunk, place = chunk[at], place[at]
-    first = np.flatnonzero(np.append(True, chunk[1:] != chunk[:-1]))
-    return [{"bucket": int(chunk[i]), "kind": SUMS, "place": place[i:j].tobytes(), "share": logs[i:j].tobytes()}
-            for i, j in zip(first, [*first[1:], len(at)])]
+    of, chunk_at = numbers(chunk)
+    text, text_at = numbers(of.astype(np.uint64) << np.uint64(16) | place)
+    logs = np.bincount(text, logs, len(text_at))
+    order, parts = dealt(of[text_at])
+    place, logs = place[text_at[order]], logs[order]
+    return [{"bucket": int(chunk[chunk_at[c]]), "kind": SUMS, "place": place[i:j].tobytes(), "share": logs[i:j].tobytes()}
+            for c, i, j in parts]
 
 
 def short_grams(rows: list[dict], hot: Hot, cuts, by_code, buckets: int) -> list[dict]:
     """The rows of a bucket of last words, as sums of texts, and as rows of those whose last word is not hot."""
-    model = rows[0]["bucket"] & 1
-    seen, asked = ([r for r in rows if r["kind"] == k] for k in (SEEN, ASKED))
+    seen, asked = [r for r in rows if r["kind"] == SEEN], [r for r in rows if r["kind"] in (ASKED, ASKED + 1)]
     out = [r | {"bucket": int(np.frombuffer(r["chunks"], np.int64)[0])} for r in rows if r["kind"] == OWN]
     if not asked:
         return out
-    cut = cuts[1][model]
-    found, near = hot.read(seen, 2, model)
-    gram, at, n = seen_pairs(found[0], found[1], joined(seen, "n", np.uint32))
-    context, of = np.unique(found[0][at], return_inverse=True)
-    whole, left = np.bincount(of, n, len(context)), np.bincount(of, freed(n, cut), len(context))
-    found, near = hot.read(asked, 2, model)
+    found, near = hot.read([*seen, *asked], 2)
+    n = joined(seen, "n", np.uint32, 2)
+    gram, at = numbers(pair(found[0], found[1]))
+    context, context_at = numbers(found[0][at])
+    mine, size = gram[:n.shape[1]], n.shape[1]
+    n = np.stack([np.bincount(mine, x, len(at)) for x in n])
+    whole, left = after(context, len(context_at), n, cuts[1])
+    first = near[0][at[context_at]]
+    for x, y in ((whole, by_code[0]), (left, by_code[1])):
+        x[:, first > 0] = y[:, first[first > 0]]
+    # By model and gram: the probability by pairs, and what it leaves to single words.
+    known, all_ = whole[:, context] > 0, np.maximum(whole, 1.0)[:, context]
+    own = np.where(known, (n - np.stack([freed(x, cut) for x, cut in zip(n, cuts[1])])) / all_, 0.0)
+    leaves = np.where(known, left[:, context] / all_, 1.0)
+    whole = (own + leaves * by_code[2][:, near[1][at]]).ravel()
+    model = (each(asked, "near", 4) - ASKED).astype(np.int64)
+    of, last, is_hot = gram[size:] + model * len(at), found[1][size:], near[1][size:] > 0
     chunk, place = asked_of(asked)
-    runs = [len(r["place"]) // 2 for r in asked]
-    known = np.concatenate([np.unpackbits(np.frombuffer(r["known"], np.uint8), count=k) for r, k in zip(asked, runs)]).astype(bool)
+    known = np.concatenate([np.unpackbits(np.frombuffer(r["known"], np.uint8), count=len(r["place"]) // 2) for r in asked]).astype(bool)
     p, rest = np.zeros(len(known)), np.ones(len(known))
-    share = np.concatenate([np.frombuffer(r["share"]).reshape(2, -1) for r in asked], axis=1)
-    p[known], rest[known] = share
-    _, whole, left = looked_up(context, found[0], whole, left)
-    is_hot = near[0] > 0
-    whole, left = (np.where(is_hot, by_code[i][model][near[0]], x) for i, x in ((0, whole), (1, left)))
-    own = looked_up(gram, pair(found[0], found[1]), n - freed(n, cut))[1]
-    known = whole > 0
-    p[known] += rest[known] * own[known] / whole[known]
-    rest[known] *= left[known] / whole[known]
-    done = near[1] > 0
-    out += sums_rows(chunk[done], place[done], np.log(p[done] + rest[done] * by_code[2][model][near[1][done]]))
-    chunk, place, last, share = chunk[~done], place[~done], found[1][~done], np.stack([p[~done], rest[~done]])
-    order, parts = dealt(mixed(last) % np.uint64(buckets))
+    p[known], rest[known] = joined(asked, "share", float, 2)
+    done = np.flatnonzero(is_hot)
+    out += sums_rows(chunk[done], place[done], np.log(p[done] + rest[done] * whole[of[done]]))
+    done = np.flatnonzero(~is_hot)
+    p, rest, of = p[done], rest[done], of[done]
+    chunk, place, last, model = chunk[done], place[done], last[done], model[done].astype(np.uint64)
+    share = np.stack([p + rest * own.ravel()[of], rest * leaves.ravel()[of]])
+    order, parts = dealt(mixed(last) % np.uint64(buckets) * np.uint64(2) + model)
     for bucket, i, j in parts:
         some = order[i:j]
-        out.append({"bucket": bucket, "kind": ASKED, **asked_row(chunk[some], place[some]),
+        out.append({"bucket": bucket // 2, "kind": ASKED + bucket % 2, **asked_row(chunk[some], place[some]),
                     "far": last[some].tobytes(), "share": share[:, some].tobytes()})
     return out
 
 
 def last_words(rows: list[dict], chance) -> list[dict]:
     """The rows of a bucket of words that are not hot, as sums of texts."""
-    seen, asked = ([r for r in rows if r["kind"] == k] for k in (SEEN, ASKED))
+    seen, asked = [r for r in rows if r["kind"] == SEEN], [r for r in rows if r["kind"] in (ASKED, ASKED + 1)]
     found, n = joined(seen, "far", np.uint64), joined(seen, "n", np.int64)
     order = np.argsort(found)
-    last = joined(asked, "far", np.uint64)
-    n = looked_up(found[order], last, n[order])[1].astype(np.int64)
-    share = np.concatenate([np.zeros((2, 0)), *[np.frombuffer(r["share"]).reshape(2, -1) for r in asked]], axis=1)
-    return sums_rows(*asked_of(asked), np.log(share[0] + share[1] * chance(n, last & np.uint64(1))))
+    model = (each(asked, "far", 8) - ASKED).astype(np.uint64)
+    n = looked_up(found[order], joined(asked, "far", np.uint64) | model, n[order])
+    share = joined(asked, "share", float, 2)
+    return sums_rows(*asked_of(asked), np.log(share[0] + share[1] * chance(n, model)))
 
 
 def by_bucket(rows: DataFrame, work, schema: str = ROWS) -> DataFrame:
@@ -359,7 +459,7 @@ def by_bucket(rows: DataFrame, work, schema: str = ROWS) -> DataFrame:
 
 
 def hot_words(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
-    """The hottest words in order, the pass of each, how many passes, and how many words there are in all.
+    """The hottest words, most often first, the pass of each, how many passes, and how many words there are in all.
 
     How often words are matters to the work alone; those rare in each chunk may be missed.
     """
@@ -384,7 +484,7 @@ def hot_words(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
 
     counts = texts.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     # The number of all words, -1, is more often than any.
-    found = counts.orderBy(F.desc("n"), "word").limit(NEAR + 1).toArrow()
+    found = counts.orderBy(F.desc("n"), "word").limit(NEAR).toArrow()
     used, n = (found.column(c).to_numpy() for c in ("word", "n"))
     total = int(n[used == -1].sum())
     keep = (used != -1) & (n >= total * HOT)
@@ -395,11 +495,11 @@ def hot_words(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
         size, r = load[0]
         of[i] = r
         heapq.heapreplace(load, (size + k, r))
-    order = np.argsort(used)
-    return used[order], of[order], ranges, total
+    # The word before a text has a code as well.
+    return np.append(np.uint64(START >> 1), used), np.append(np.uint8(0), of), ranges, total
 
 
-def count_passes(trusted: DataFrame, sent, ranges: int, buckets: int) -> DataFrame:
+def count_passes(counted: DataFrame, sent, ranges: int, buckets: int) -> DataFrame:
     """kind and word with sums: of each word, n, the different words before it, and of hot ones the grams after it, all
     and how many of number 1, 2 and more; of gram orders 2 and 3, by number up to 4 and model, how many grams."""
     sums = [f"x{i}" for i in range(5)]
@@ -410,31 +510,34 @@ def count_passes(trusted: DataFrame, sent, ranges: int, buckets: int) -> DataFra
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(word), kind, np.int32)), pa.array(word.view(np.int64)),
                                            *[pa.array(c.astype(np.int64)) for c in columns]], ["kind", "word", *sums])
 
-    def tally(order: int, n: np.ndarray, model: int) -> pa.RecordBatch:
-        return batch(order, np.arange(1, 5) * 2 + model, np.bincount(np.minimum(n, 5), minlength=6)[1:5])
+    def tallies(n: np.ndarray) -> np.ndarray:
+        return np.stack([np.bincount(np.minimum(x, 5).astype(np.intp), minlength=6)[1:5] for x in n])
 
     def first(rows: list[dict]) -> list[dict]:
-        out, n = long_grams(rows, Hot(*sent.value), None, buckets)
-        model = rows[0]["bucket"] & 1
-        return [*out, {"bucket": model, "kind": SUMS, "n": np.bincount(np.minimum(n, 5), minlength=6)[1:5].tobytes()}]
+        out, n = long_grams(rows, Hot(*sent.value), None, None, buckets)
+        return [*out, {"bucket": 0, "kind": SUMS, "n": tallies(n).tobytes()}]
 
     def second(rows: list[dict]) -> list[pa.RecordBatch]:
-        hot, model = Hot(*sent.value), rows[0]["bucket"] & 1
-        seen = [r for r in rows if r["kind"] == SEEN]
-        found, near = hot.read(seen, 2, model)
-        _, at, n = seen_pairs(found[0], found[1], joined(seen, "n", np.uint32))
-        out = [batch(3, np.arange(1, 5) * 2 + model, np.frombuffer(r["n"], np.int64)) for r in rows if r["kind"] == SUMS]
-        word, of = np.unique(found[1][at], return_counts=True)
-        out += [tally(2, n, model), batch(1, word, of)]
-        mine = near[0][at] > 0
-        word, of = np.unique(found[0][at][mine], return_inverse=True)
-        some = n[mine]
-        after = [np.bincount(of, x, len(word)) for x in (some, some == 1, some == 2, some > 2)]
-        return [*out, batch(1, word, np.zeros(len(word)), *after)]
+        hot, seen = Hot(*sent.value), [r for r in rows if r["kind"] == SEEN]
+        found, near = hot.read(seen, 2)
+        gram, at = numbers(pair(found[0], found[1]))
+        n = np.stack([np.bincount(gram, x, len(at)) for x in joined(seen, "n", np.uint32, 2)])
+        known = [(2, tallies(n)), *[(3, np.frombuffer(r["n"], np.int64).reshape(2, 4)) for r in rows if r["kind"] == SUMS]]
+        out = [batch(k, np.arange(1, 5) * 2 + m, x[m]) for k, x in known for m in (0, 1)]
+        for m in (0, 1):
+            mine, some = at[n[m] > 0], n[m][n[m] > 0]
+            word, word_at = numbers(found[1][mine])
+            out.append(batch(1, found[1][mine[word_at]] | np.uint64(m), np.bincount(word, minlength=len(word_at))))
+            hottest = near[0][mine] > 0
+            mine, some = mine[hottest], some[hottest]
+            word, word_at = numbers(found[0][mine])
+            follow = [np.bincount(word, x, len(word_at)) for x in (some, some == 1, some == 2, some > 2)]
+            out.append(batch(1, found[0][mine[word_at]] | np.uint64(m), np.zeros(len(word_at)), *follow))
+        return out
 
     whole = None
     for i in range(min(COUNTED, ranges)):
-        rows = spread(trusted, SEEN, sent, range(i, ranges, COUNTED), buckets)
+        rows = spread(counted, False, sent, range(i, ranges, COUNTED), buckets)
         done = settle(by_bucket(by_bucket(rows, first), second, schema)
                       .groupBy("kind", "word").agg(*[F.sum(x).alias(x) for x in sums]), "words")
         whole = done if whole is None else whole.union(done)
@@ -451,19 +554,29 @@ def keyed(docs: DataFrame, text: str) -> DataFrame:
 
 
 def word_perplexities(docs: DataFrame, trusted: DataFrame, discounts, text: str = "text") -> DataFrame:
-    """key (see ``keyed``) and perplexity per word of each different text with a word.
+    """key (see ``keyed``) and perplexity per word of each different text with a word."""
+    whole = column(text).cast("string").alias("text")
+    ours, theirs = (keyed(x, text).select("key", whole, F.lit(seen).alias("seen")) for x, seen in ((docs, False), (trusted, True)))
+    return perplexities(ours.union(theirs), lambda rows: rows.withColumn("asked", ~F.col("seen")), discounts)
+
+
+def perplexities(texts: DataFrame, marked, discounts) -> DataFrame:
+    """key and perplexity per word of each different text with a word.
 
+    texts has key and text; ``marked`` gets its other columns and key, with the words in place of
+    the text, and adds ``seen``, whether a row trains its half's model, and ``asked``, whether it is scored.
     Where all trusted texts fall into one half there is one model, which scores its own texts.
     """
-    spark = docs.sparkSession
+    spark = texts.sparkSession
     with cleaned(spark):
-        whole = column(text).cast("string").alias("text")
-        theirs = settle(keyed(trusted, text).select("key", whole, F.col("half").alias("model")), "trusted")
-        ours = keyed(docs, text).select("key", whole, "half")
-        known, of, ranges, total = hot_words(ours)
+        known, of, ranges, total = hot_words(texts)
         buckets = max(1, -(-total // (ranges * BUCKET)))
         sent = spark.sparkContext.broadcast((known, of, ranges))
-        counts = count_passes(theirs, sent, ranges, buckets)
+        # In parts, so that only one of them is on disk twice.
+        ours = functools.reduce(DataFrame.union, [
+            settle(marked(coded(texts.filter(F.pmod("key", F.lit(PARTS)) == i), sent))
+                   .select("key", "low", "high", "far", "seen", "asked"), "coded", compression="zstd") for i in range(PARTS)])
+        counts = count_passes(ours.filter("seen"), sent, ranges, buckets)
 
         low = F.col("word").bitwiseAND(F.lit(1))
         tallies = [[{}, {}] for _ in range(ORDER)]
@@ -503,10 +616,11 @@ def word_perplexities(docs: DataFrame, trusted: DataFrame, discounts, text: str
         def cold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hot = Hot(*sent.value)
             for batch in batches:
+                # The model is a word's last bit.
                 found, n = batch.column("word").to_numpy().view(np.uint64), batch.column("x0").to_numpy()
                 far = hot.codes(found) == 0
                 found, n = found[far], n[far]
-                order, parts = dealt(mixed(found) % np.uint64(buckets))
+                order, parts = dealt(mixed(found & ~np.uint64(1)) % np.uint64(buckets))
                 yield from packed([{"bucket": b, "kind": SEEN, "far": found[order[i:j]].tobytes(), "n": n[order[i:j]].tobytes()}
                                    for b, i, j in parts])
 
@@ -520,18 +634,20 @@ def word_perplexities(docs: DataFrame, trusted: DataFrame, discounts, text: str
             some = n > 0
             return [pa.RecordBatch.from_arrays([pa.array(keys[some]), pa.array(n[some]), pa.array(logs[some])], ["key", "n", "log"])]
 
-        other = F.lit(halves[0]) if len(halves) == 1 else 1 - F.col("half")
-        asked, out = ours.select("key", "text", other.cast("int").alias("model")), []
+        scorer, out = np.array([halves[0]] * 2 if len(halves) == 1 else [1, 0]), []
+        rare = settle(ones.select("word", "x0").mapInArrow(cold, ROWS), "rare")
+        drop(counts)
         for r in range(ranges):
-            rows = spread(theirs, SEEN, sent, range(r, r + 1), buckets).union(spread(asked, ASKED, sent, range(r, r + 1), buckets))
-            rows = by_bucket(rows, lambda x: long_grams(x, Hot(*sent.value), cuts, buckets)[0])
+            rows = spread(ours, True, sent, range(r, r + 1), buckets)
+            rows = by_bucket(rows, lambda x: long_grams(x, Hot(*sent.value), cuts, scorer, buckets)[0])
             rows = settle(by_bucket(rows, lambda x: short_grams(x, Hot(*sent.value), cuts, given.value, buckets)), "places")
-            rest = rows.filter(F.col("kind") == ASKED).union(ones.select("word", "x0").mapInArrow(cold, ROWS))
+            rest = rows.filter(F.col("kind").between(ASKED, ASKED + 1)).union(rare)
             rest = by_bucket(rest, lambda x: last_words(x, chance))
-            out.append(settle(by_bucket(rows.filter(F.col("kind") != ASKED).union(rest), back, "key long, n long, log double"), "sums"))
+            sums = rows.filter(F.col("kind") >= OWN).union(rest)
+            out.append(settle(by_bucket(sums, back, "key long, n long, log double"), "sums"))
             drop(rows)
         # Rows of equal texts add up in the sum and in the number alike.
         found = functools.reduce(DataFrame.union, out).groupBy("key").agg(F.exp(-F.sum("log") / F.sum("n")).alias("perplexity"))
         found = settle(found, "perplexities")
-        drop(theirs, counts, *out)
+        drop(ours, rare, *out)
         return found
